@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import intervals
+from . import intervals, quality_kpi
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for mod in (intervals,):
+    for mod in (intervals, quality_kpi):
         for k, v in mod.ORACLE.items():
             if k in out:
                 raise KeyError(f"duplicate oracle key {k}")

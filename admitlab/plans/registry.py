@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import tables as T
-from . import intervals
+from . import intervals, kpi, quality
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -39,7 +39,33 @@ def register(key: str, job: Job) -> None:
     _REGISTRY[key] = job
 
 
+def _regional_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Materialised view: aggregate, store under the shared checkpoint
+    folder (overwrite = refresh), read the stored copy back."""
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
+    path = f"{base.rstrip('/')}/mv_regional_stats"
+    return kpi.materialize(kpi.regional_stats(T.encounters(spark, sf_dir)), path)
+
+
 def _register_all() -> None:
+    for name in ["column_profile", "table_scan", "table_sample", "row_count", "impute_income",
+                 "standardize_labels", "age_brackets", "length_of_stay", "impute_multi",
+                 "threshold_outliers", "duplicate_encounters", "drop_duplicate_encounters",
+                 "missing_counts", "category_profile", "date_range", "numeric_ranges"]:
+        register(name, _enc_job(getattr(quality, name)))
+    register("age_brackets_young_adult",
+             _enc_job(quality.age_brackets, young_label="Young Adult", descending=False))
+    for name in ["readmission_rate", "payer_mix", "gender_distribution", "los_distribution",
+                 "top_diagnoses", "rate_by_income_tier", "insured_vs_uninsured", "payer_price_gap",
+                 "rate_by_diagnosis", "revenue_by_region", "los_by_hospital_type",
+                 "comorbidity_impact", "adherence_impact", "icu_impact", "payer_profitability",
+                 "age_income_crosstab", "diagnosis_by_region", "revenue_pivot_by_month",
+                 "wealth_health", "complex_chronic", "multi_diagnosis_patients", "revenue_per_day",
+                 "revenue_by_diagnosis", "revenue_pareto", "executive_dashboard"]:
+        register(name, _enc_job(getattr(kpi, name)))
+    register("payer_market_share", _enc_job(kpi.payer_mix, digits=1, share_name="market_share"))
+    register("executive_dashboard_wide", _enc_job(kpi.executive_dashboard, wide=True))
+    register("regional_stats", _regional_stats)
     for name in ["visit_gap", "visit_gap_context", "visit_gap_risk", "revisit_detail",
                  "gap_distribution_4", "gap_distribution_5", "gap_by_diagnosis",
                  "high_risk_share", "frequent_flyers", "case_management_targets",
