@@ -11,9 +11,10 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import tables as T
-from . import intervals, kpi, quality
+from . import changes, finance, intervals, kpi, quality, relate, risk, semi, timeline
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,7 @@ AS_OF = dt.date(2001, 8, 1)
 REGEX = "heart|stroke"
 REFERRAL_START = 137
 JSON_THRESHOLD = 50
+LOOKUP_PATIENT = "PAT0000500"
 
 _REGISTRY: dict[str, Job] = {}
 
@@ -47,6 +49,11 @@ def _regional_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.materialize(kpi.regional_stats(T.encounters(spark, sf_dir)), path)
 
 
+def _delinquent_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.delinquency(spark, sf_dir).select(F.col("customer_id").alias("patient_id"),
+                                               F.lit("Home Health").alias("disposition"))
+
+
 def _register_all() -> None:
     for name in ["column_profile", "table_scan", "table_sample", "row_count", "impute_income",
                  "standardize_labels", "age_brackets", "length_of_stay", "impute_multi",
@@ -71,6 +78,45 @@ def _register_all() -> None:
                  "high_risk_share", "frequent_flyers", "case_management_targets",
                  "care_episodes"]:
         register(name, _enc_job(getattr(intervals, name)))
+    # 2.3 time
+    for name in ["monthly_active", "cohort_retention", "day_of_week_effect", "weekend_mix",
+                 "seasonal_months", "monthly_rate_change", "yoy_admissions", "moving_avg_daily"]:
+        register(name, _enc_job(getattr(timeline, name)))
+    register("yoy_admissions_dense", _enc_job(timeline.yoy_admissions, dense=True))
+    register("moving_avg_daily_dense", _enc_job(timeline.moving_avg_daily, dense=True))
+    register("churn_status", _enc_job(timeline.churn_status, as_of=AS_OF))
+    # 2.6 risk, 2.7 finance
+    for name in ["lace_view", "lace_score", "predictive_risk", "risk_validation",
+                 "risk_validation_predictive", "risk_category", "young_high_risk", "high_risk_list"]:
+        register(name, _enc_job(getattr(risk, name)))
+    for name in ["debt_ratio", "debt_ratio_rounded", "bad_debt", "bad_debt_exposure"]:
+        register(name, _enc_job(getattr(finance, name)))
+    # 2.8 joins
+    register("delinquent_in", lambda spark, d: relate.delinquent_in(T.encounters(spark, d), T.delinquency(spark, d)))
+    register("delinquent_exists",
+             lambda spark, d: relate.delinquent_exists(T.encounters(spark, d), T.delinquency(spark, d)))
+    register("diagnosis_pairs", _enc_job(relate.diagnosis_pairs))
+    register("referral_chain",
+             lambda spark, d: relate.referral_chain(T.referral_tree(spark, d), REFERRAL_START))
+    register("patient_lookup", _enc_job(relate.patient_lookup, patient_id=LOOKUP_PATIENT))
+    # 2.9 semi-structured
+    register("json_filter", lambda spark, d: semi.json_filter(T.patient_logs(spark, d), "k", JSON_THRESHOLD))
+    register("unnest_counts", lambda spark, d: semi.unnest_counts(T.patient_surveys(spark, d)))
+    for name in ["diagnosis_history", "unnest_history", "json_summary", "json_patients_by_payer",
+                 "json_profile"]:
+        register(name, _enc_job(getattr(semi, name)))
+    register("regex_match", _enc_job(semi.regex_match, pattern=REGEX))
+    # 2.10 table versions
+    register("scale_income_by_payer", _enc_job(changes.scale_income_by_payer))
+    register("discharge_patients",
+             lambda spark, d: changes.discharge_patients(T.encounters(spark, d), _delinquent_requests(spark, d)))
+    register("set_bill",
+             lambda spark, d: changes.set_bill(T.encounters(spark, d), _delinquent_requests(spark, d)))
+
+    def _audit(spark, d):
+        old = T.encounters(spark, d)
+        return changes.bill_audit(old, changes.set_bill(old, _delinquent_requests(spark, d)))
+    register("bill_audit", _audit)
 
 
 def jobs() -> dict[str, Job]:
