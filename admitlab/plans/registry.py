@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tables as T
-from . import changes, finance, intervals, kpi, quality, relate, risk, semi, timeline
+from . import changes, finance, intervals, kpi, quality, relate, risk, semi, timeline, windows
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,13 @@ def _register_all() -> None:
                  "high_risk_share", "frequent_flyers", "case_management_targets",
                  "care_episodes"]:
         register(name, _enc_job(getattr(intervals, name)))
+    # 2.4 windows
+    for name in ["bill_rank", "top_bills_per_diagnosis", "los_outliers", "moving_avg_bill", "bill_deviation",
+                 "bill_delta", "bill_trends", "monthly_cumulative", "running_total", "top_cost_percentiles",
+                 "cost_ntiles", "quartile_summary", "spend_cdf", "cdf_threshold", "visit_sequence",
+                 "pareto_top1", "top1_patients", "bill_zscore"]:
+        register(name, _enc_job(getattr(windows, name)))
+    register("running_total_range", _enc_job(windows.running_total, frame="range"))
     # 2.3 time
     for name in ["monthly_active", "cohort_retention", "day_of_week_effect", "weekend_mix",
                  "seasonal_months", "monthly_rate_change", "yoy_admissions", "moving_avg_daily"]:
