@@ -233,10 +233,10 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
         out = (out.withColumn(f"_rows_{s}", F.when(rows_n > 0, rows_s))
                   .withColumn(f"_range_{s}", F.when(rng_n > 0, rng_s))
                   .withColumn(f"_rangen_{s}", rng_n))
-    drop = [c for c in out.columns if c.startswith(("_l", "_b", "_s", "_off", "_doff", "_h", "_noff", "_vd"))
-            and c not in ("_le",)]
-    drop += ["_hp"]
-    return out.drop(*[c for c in set(drop) if c in out.columns])
+    keep = list(df.columns) + ["_rn", "_rank", "_dense_rank", "_le", "_n"]
+    for s_ in sums:
+        keep += [f"_rows_{s_}", f"_range_{s_}", f"_rangen_{s_}"]
+    return out.select(*keep)
 
 
 def ntile(n_buckets: int, rn: Column, total: Column) -> Column:

@@ -14,13 +14,32 @@ from pyspark.sql.window import Window
 
 from ..functions import expr as X
 from ..functions.numeric import rdiv
+from ..operators.sequence import hot_keys, sequence
 
+# A patient with more visits than this is "hot": its visits are ordered by
+# the bucketed global order instead of inside one window task.
+MAX_ROWS_PER_KEY = 2_000_000
 
-def with_gaps(enc: DataFrame) -> DataFrame:
-    """Adds prev_discharge_date and days_gap (bigint, NULL on a first visit)."""
-    w = X.patient_window()
-    return (enc.withColumn("prev_discharge_date", F.lag("discharge_date").over(w))
-               .withColumn("days_gap", F.datediff("admission_date", "prev_discharge_date").cast("bigint")))
+
+def patient_sequence(enc: DataFrame, lag=(), lead=(), sums=(), hot=None) -> DataFrame:
+    """Visits of each patient in (admission_date, id) order: ``_seq``,
+    ``_prev_<c>``, ``_next_<c>``, ``_cum_<c>`` (see operators.sequence)."""
+    return sequence(enc, "patient_key", "admission_date", "id", tuple(lag), tuple(lead), tuple(sums),
+                    MAX_ROWS_PER_KEY, hot)
+
+
+def patient_hot_keys(enc: DataFrame) -> list:
+    return hot_keys(enc, "patient_key", MAX_ROWS_PER_KEY)
+
+
+def with_gaps(enc: DataFrame, lag_more=(), hot=None) -> DataFrame:
+    """Adds prev_discharge_date and days_gap (bigint, NULL on a first visit),
+    plus ``_seq`` and ``_prev_<c>`` for ``lag_more``.  For ordinary patients
+    this is one window partitioned on patient_key (the partitioning the
+    encounter join already has)."""
+    s = patient_sequence(enc, lag=("discharge_date",) + tuple(lag_more), hot=hot)
+    return (s.withColumnRenamed("_prev_discharge_date", "prev_discharge_date")
+             .withColumn("days_gap", F.datediff("admission_date", "prev_discharge_date").cast("bigint")))
 
 
 def visit_gap(enc: DataFrame) -> DataFrame:
@@ -28,13 +47,12 @@ def visit_gap(enc: DataFrame) -> DataFrame:
 
 
 def visit_gap_context(enc: DataFrame) -> DataFrame:
-    w = X.patient_window()
-    return (with_gaps(enc)
+    return (with_gaps(enc, lag_more=("discharge_disposition", "primary_diagnosis"))
             .select("patient_id", "admission_date", "prev_discharge_date", "days_gap",
-                    F.lag("discharge_disposition").over(w).alias("prev_discharge_disposition"),
+                    F.col("_prev_discharge_disposition").alias("prev_discharge_disposition"),
                     F.col("discharge_disposition").alias("current_discharge_disposition"),
                     "primary_diagnosis",
-                    F.lag("primary_diagnosis").over(w).alias("prev_diagnosis")))
+                    F.col("_prev_primary_diagnosis").alias("prev_diagnosis")))
 
 
 def visit_gap_risk(enc: DataFrame) -> DataFrame:
@@ -49,10 +67,9 @@ def visit_gap_risk(enc: DataFrame) -> DataFrame:
 
 
 def revisit_detail(enc: DataFrame) -> DataFrame:
-    w = X.patient_window()
-    g = (with_gaps(enc)
-         .withColumn("visit_number", F.row_number().over(w).cast("bigint"))
-         .withColumn("prev_diagnosis", F.lag("primary_diagnosis").over(w)))
+    g = (with_gaps(enc, lag_more=("primary_diagnosis",))
+         .withColumn("visit_number", F.col("_seq"))
+         .withColumn("prev_diagnosis", F.col("_prev_primary_diagnosis")))
     return (g.filter(F.col("visit_number") > 1)
              .select("patient_id", "visit_number", "admission_date", "prev_discharge_date",
                      "days_gap", "primary_diagnosis", "prev_diagnosis", "readmitted_30_days",
@@ -160,9 +177,11 @@ def care_episodes(enc: DataFrame, continue_days: int = 1) -> DataFrame:
     the episode, a first visit or longer gap starts a new one.  The running
     sum uses the default RANGE frame on admission_date, so visits on the same
     day share the number."""
-    g = with_gaps(enc)
-    starts = F.when(F.col("days_gap") <= continue_days, 0).otherwise(1)
-    w = Window.partitionBy("patient_key").orderBy("admission_date")
-    return g.select("patient_id", "admission_date", "discharge_date",
+    hot = patient_hot_keys(enc)
+    g = with_gaps(enc, hot=hot)
+    g = g.select("patient_key", "id", "patient_id", "admission_date", "discharge_date", "days_gap",
+                 F.when(F.col("days_gap") <= continue_days, 0).otherwise(1).alias("_start"))
+    e = patient_sequence(g, sums=("_start",), hot=hot)
+    return e.select("patient_id", "admission_date", "discharge_date",
                     F.col("days_gap").alias("days_since_last_discharge"),
-                    F.sum(starts).over(w).cast("bigint").alias("episode_id"))
+                    F.col("_cum__start").cast("bigint").alias("episode_id"))

@@ -39,10 +39,8 @@ def unnest_history(enc: DataFrame) -> DataFrame:
     reference builds a text list per patient and splits it again; counting
     the rows of those patients directly gives the same numbers without
     building any list."""
-    from pyspark.sql.window import Window
-    visits = F.count(F.lit(1)).over(Window.partitionBy("patient_key"))
-    return (enc.select("patient_key", "primary_diagnosis", visits.alias("_visits"))
-               .filter(F.col("_visits") > 1)
+    multi = enc.groupBy("patient_key").agg(F.count(F.lit(1)).alias("_visits")).filter(F.col("_visits") > 1)
+    return (enc.join(multi, "patient_key", "left_semi")
                .groupBy(F.trim(F.col("primary_diagnosis")).alias("single_diagnosis"))
                .agg(F.count(F.lit(1)).alias("patient_count"))
                .orderBy(F.col("patient_count").desc()))

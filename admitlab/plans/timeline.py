@@ -32,10 +32,13 @@ def monthly_active(df: DataFrame) -> DataFrame:
 
 def cohort_retention(df: DataFrame) -> DataFrame:
     """Cohort = month of the first admission; patients seen k months later.
-    The first month is a window minimum per patient (same partitioning as
-    every per-patient job), then one distinct count per (cohort, k)."""
-    first = F.min("m").over(Window.partitionBy("patient_key"))
-    m = df.select("patient_key", _month().alias("m")).withColumn("cohort_month", first)
+    The first month is a per-patient minimum joined back, then one distinct
+    count per (cohort, k)."""
+    visits = df.select("patient_key", _month().alias("m"))
+    # first month per patient: a partial aggregate joined back (a hot
+    # patient's rows are combined map-side, the join splits skewed partitions)
+    first = visits.groupBy("patient_key").agg(F.min("m").alias("cohort_month"))
+    m = visits.join(first, "patient_key")
     k = F.months_between(F.col("m"), F.col("cohort_month")).cast("int")
     return (m.groupBy("cohort_month", k.alias("months_since_first"))
              .agg(F.count_distinct("patient_key").alias("patients"))

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from ..functions import expr as X
 from ..functions.numeric import money, rdiv
 from ..operators.order import OrderSpec, moving_frame, ntile, ordered
+from .intervals import patient_sequence
 
 BILL = "total_bill_amount"
 
@@ -103,19 +104,17 @@ def bill_deviation(enc: DataFrame, rows: int = 10, limit: int | None = None) ->
 
 
 def bill_delta(enc: DataFrame) -> DataFrame:
-    w = X.patient_window()
-    prev = F.lag(BILL).over(w)
-    return enc.select("patient_id", "admission_date", money(F.col(BILL)).alias(BILL),
+    prev = F.col(f"_prev_{BILL}")
+    return patient_sequence(enc, lag=(BILL,)).select("patient_id", "admission_date", money(F.col(BILL)).alias(BILL),
                       money(prev).alias("previous_bill"), money(F.col(BILL) - prev).alias("bill_change"))
 
 
 def bill_trends(enc: DataFrame, trend: str | None = "First Visit") -> DataFrame:
     """Bill change against the previous visit with % change, trend label and
     visit number; ``trend`` filters on the label (None keeps all)."""
-    w = X.patient_window()
-    prev = F.lag(BILL).over(w)
-    t = enc.select("patient_id", "admission_date", F.col(BILL).alias("_b"), prev.alias("_p"),
-                   F.row_number().over(w).cast("bigint").alias("visit_number"))
+    t = patient_sequence(enc, lag=(BILL,)).select(
+        "patient_id", "admission_date", F.col(BILL).alias("_b"), F.col(f"_prev_{BILL}").alias("_p"),
+        F.col("_seq").alias("visit_number"))
     b, p = F.col("_b"), F.col("_p")
     label = (F.when(p.isNull(), "First Visit").when(b > p, "Increasing").when(b < p, "Decreasing").otherwise("Same"))
     out = t.select("patient_id", "admission_date", money(b).alias(BILL), money(p).alias("previous_bill"),
@@ -205,11 +204,10 @@ def cdf_threshold(enc: DataFrame, p: float = 0.8, top: float = 0.9) -> DataFrame
 
 
 def visit_sequence(enc: DataFrame) -> DataFrame:
-    w = X.patient_window()
-    return enc.select("patient_id", "admission_date",
-                      F.row_number().over(w).cast("bigint").alias("visit_number"),
-                      F.lag("admission_date").over(w).alias("prev_visit"),
-                      F.lead("admission_date").over(w).alias("next_visit"))
+    s = patient_sequence(enc, lag=("admission_date",), lead=("admission_date",))
+    return s.select("patient_id", "admission_date", F.col("_seq").alias("visit_number"),
+                    F.col("_prev_admission_date").alias("prev_visit"),
+                    F.col("_next_admission_date").alias("next_visit"))
 
 
 def _patient_spend(enc: DataFrame) -> DataFrame:
