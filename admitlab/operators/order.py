@@ -3,7 +3,7 @@
 ``row_number() OVER (ORDER BY v)`` with no PARTITION BY makes Spark move every
 row into one partition.  Here the order is cut into value ranges instead:
 
-1. ``approxQuantile`` on v gives cut values (any cuts give an exact result;
+1. ``percentile_approx`` on v gives cut values (any cuts give an exact result;
    they only steer balance).  A value that fills more than one quantile is
    "hot": its rows are split again into equal-width ranges of the unique
    tie-break column, which keeps the (v, tiebreak) order.  NULLs form their
@@ -62,50 +62,53 @@ def _default_buckets(spark, n_rows: int, rows_per_bucket: int, max_buckets: int)
     return max(1, min(max_buckets, max(floor, math.ceil(n_rows / max(1, rows_per_bucket)))))
 
 
-def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
-            n_buckets: int | None = None, rows_per_bucket: int = 5_000_000,
-            max_buckets: int = 100_000) -> DataFrame:
-    """``df`` plus the global order columns:
+@dataclass
+class OrderPlan:
+    """What the planning pass learned: sizes, cut values, hot values."""
+    n_rows: int
+    n_val: int
+    cuts: list
+    hot_info: dict
+    null_split: tuple | None
 
-    ``_rn`` row number, ``_rank``, ``_dense_rank``, ``_le`` (rows up to the end
-    of the row's tie group: ``cume_dist = _le / _n``), ``_n`` (rows), and for
-    every column s in ``sums``: ``_rows_<s>`` (running sum, ROWS frame) and
-    ``_range_<s>`` (running sum, RANGE frame: ties share), NULL while no
-    non-NULL value has been seen, like SQL's SUM; ``_rangen_<s>`` counts the
-    non-NULL values in the RANGE frame.
 
-    Runs three small planning jobs (row count, quantiles, sizes of hot values)
-    and then one plan whose widest exchange is hash-partitioned by range."""
+def plan_order(df: DataFrame, spec: OrderSpec, n_buckets: int | None = None,
+               rows_per_bucket: int = 5_000_000, max_buckets: int = 100_000) -> OrderPlan:
+    """One aggregate gives the row counts, the tie-break range of the NULL
+    group and ``percentile_approx`` cut values (one per range); only when the
+    data is larger than the first guess of ranges, or a value fills several
+    ranges, a second small job follows.  Everything returned to the driver is
+    bounded by the number of ranges."""
     spark = df.sparkSession
     v, tb = spec.value, spec.tiebreak
-    vd = "_vd"
-    base = df.withColumn(vd, _as_double(df, v))
+    vd = F.col("_vd")
+    base = df.select(_as_double(df, v).alias("_vd"), F.col(tb))
+    k0 = n_buckets or _default_buckets(spark, 0, rows_per_bucket, max_buckets)
+
+    def quantiles(k: int):
+        probs = F.array(*[F.lit(i / k) for i in range(1, k)]) if k > 1 else F.array(F.lit(0.5))
+        return F.percentile_approx(vd, probs, max(10000, 4 * k))
 
-    # -- planning job 1: sizes
     s0 = base.agg(F.count(F.lit(1)).alias("n"), F.count(vd).alias("nv"),
-                  F.min(F.when(F.col(vd).isNull(), F.col(tb))).alias("nmin"),
-                  F.max(F.when(F.col(vd).isNull(), F.col(tb))).alias("nmax")).first()
+                  F.min(F.when(vd.isNull(), F.col(tb))).alias("nmin"),
+                  F.max(F.when(vd.isNull(), F.col(tb))).alias("nmax"),
+                  quantiles(k0).alias("q")).first()
     n_rows, n_val = int(s0["n"]), int(s0["nv"])
     k = n_buckets or _default_buckets(spark, n_rows, rows_per_bucket, max_buckets)
+    if k == k0:
+        cuts = list(s0["q"] or []) if k > 1 else []
+    else:
+        cuts = list(base.agg(quantiles(k).alias("q")).first()["q"] or [])
     target = max(1, math.ceil(n_rows / k))
-
-    # -- planning job 2: cut values
-    cuts: list[float] = []
-    if n_val and k > 1:
-        probs = [i / k for i in range(1, k)]
-        cuts = base.approxQuantile(vd, probs, 1.0 / (4 * k))
-    distinct_cuts = sorted(set(cuts))
-    mult = {}
+    mult: dict = {}
     for c in cuts:
         mult[c] = mult.get(c, 0) + 1
-    hot = [c for c in distinct_cuts if mult[c] >= 2]
-
-    # -- planning job 3: tie-break range of each hot value
+    hot = [c for c in sorted(mult) if mult[c] >= 2]
     hot_info = {}
     if hot:
         aggs = []
         for i, h in enumerate(hot):
-            m = F.col(vd) == F.lit(h)
+            m = vd == F.lit(h)
             aggs += [F.min(F.when(m, F.col(tb))).alias(f"a{i}"), F.max(F.when(m, F.col(tb))).alias(f"b{i}"),
                      F.count_if(m).alias(f"c{i}")]
         r = base.agg(*aggs).first()
@@ -115,6 +118,29 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
     null_split = None
     if n_rows - n_val > 0:
         null_split = (int(s0["nmin"]), int(s0["nmax"]), max(1, math.ceil((n_rows - n_val) / target)))
+    return OrderPlan(n_rows, n_val, cuts, hot_info, null_split)
+
+
+def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
+            n_buckets: int | None = None, rows_per_bucket: int = 5_000_000,
+            max_buckets: int = 100_000, plan: OrderPlan | None = None) -> DataFrame:
+    """``df`` plus the global order columns:
+
+    ``_rn`` row number, ``_rank``, ``_dense_rank``, ``_le`` (rows up to the end
+    of the row's tie group: ``cume_dist = _le / _n``), ``_n`` (rows), and for
+    every column s in ``sums``: ``_rows_<s>`` (running sum, ROWS frame) and
+    ``_range_<s>`` (running sum, RANGE frame: ties share), NULL while no
+    non-NULL value has been seen, like SQL's SUM; ``_rangen_<s>`` counts the
+    non-NULL values in the RANGE frame.
+
+    Planning (``plan_order``) is one small job in the common case; the plan
+    itself has one exchange for the rows (hash-partitioned by range)."""
+    v, tb = spec.value, spec.tiebreak
+    vd = "_vd"
+    base = df.withColumn(vd, _as_double(df, v))
+    p = plan or plan_order(df, spec, n_buckets, rows_per_bucket, max_buckets)
+    distinct_cuts = sorted(set(p.cuts))
+    hot_info, null_split = p.hot_info, p.null_split
 
     # -- range key
     splits = [-math.inf] + distinct_cuts + [math.inf]
@@ -260,9 +286,10 @@ def moving_frame(df: DataFrame, order_col: str, value_cols: list[str], preceding
     block are copied into the next block as a halo, the window runs per
     block, and halo rows are dropped.  Adds ``_win_sum_<c>`` and
     ``_win_cnt_<c>`` per value column."""
-    o = ordered(df, OrderSpec(order_col, tiebreak=order_col), n_buckets=n_buckets)
-    o = o.drop("_rank", "_dense_rank", "_le")
-    total = df.count()
+    spec = OrderSpec(order_col, tiebreak=order_col)
+    plan = plan_order(df, spec, n_buckets)
+    o = ordered(df, spec, plan=plan).drop("_rank", "_dense_rank", "_le")
+    total = plan.n_rows
     spark = df.sparkSession
     try:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

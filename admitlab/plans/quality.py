@@ -13,25 +13,36 @@ def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """Per column in schema order: position, name, Spark type, rows, NULLs,
     distinct values (the catalogue query re-aimed at the data).
 
-    All counts come from ONE aggregate over the table.  ``exact_distinct``
-    uses count(DISTINCT) (Spark expands rows once per column, partially
-    aggregated); at scale pass ``False`` for HyperLogLog++ sketches, which
-    merge map-side and cost one pass."""
+    Row and NULL counts are one aggregate.  Distinct counts unpivot the table
+    into narrow (column, value-as-text) rows, de-duplicate them with a partial
+    (map-side) aggregate and count per column - one exchange of two narrow
+    columns instead of one wide row copy per column.  ``exact_distinct=False``
+    uses HyperLogLog++ sketches instead (one pass, no exchange of values)."""
     cols = df.columns
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(cols):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_n{i}"))
-        d = F.count_distinct(F.col(c)) if exact_distinct else F.approx_count_distinct(F.col(c))
-        aggs.append(d.alias(f"_d{i}"))
-    wide = df.agg(*aggs)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    entries = ", ".join(
-        f"{i + 1}, '{c}', '{types[c]}', _n{i}, _d{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(
-        "_rows AS row_count",
-        f"stack({len(cols)}, {entries}) AS (ordinal_position, column_name, data_type, null_count, distinct_count)",
-    ).select(F.col("ordinal_position").cast("int"), "column_name", "data_type",
-             "row_count", F.col("null_count").cast("bigint"), F.col("distinct_count").cast("bigint"))
+    meta = df.sparkSession.createDataFrame(
+        [(i + 1, c, types[c]) for i, c in enumerate(cols)],
+        "ordinal_position int, column_name string, data_type string")
+    nulls = df.agg(F.count(F.lit(1)).alias("row_count"),
+                   *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
+    nulls = nulls.selectExpr("row_count", f"stack({len(cols)}, " + ", ".join(
+        f"'{c}', _n{i}" for i, c in enumerate(cols)) + ") AS (column_name, null_count)")
+    if exact_distinct:
+        pairs = df.selectExpr(f"stack({len(cols)}, " + ", ".join(
+            f"'{c}', CAST(`{c}` AS STRING)" for c in cols) + ") AS (column_name, v)")
+        distinct = (pairs.filter(F.col("v").isNotNull()).distinct()
+                         .groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count")))
+        # columns holding only NULLs have no value rows
+        distinct = meta.select("column_name").join(distinct, "column_name", "left").select(
+            "column_name", F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"))
+    else:
+        d = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
+        distinct = d.selectExpr(f"stack({len(cols)}, " + ", ".join(
+            f"'{c}', _d{i}" for i, c in enumerate(cols)) + ") AS (column_name, distinct_count)")
+    # three tables of one row per column: small joins
+    return (meta.join(nulls, "column_name").join(distinct, "column_name")
+                .select("ordinal_position", "column_name", "data_type", F.col("row_count").cast("bigint"),
+                        F.col("null_count").cast("bigint"), F.col("distinct_count").cast("bigint")))
 
 
 def table_scan(df: DataFrame) -> DataFrame:
@@ -102,13 +113,13 @@ def duplicate_encounters(df: DataFrame) -> DataFrame:
 def drop_duplicate_encounters(df: DataFrame) -> DataFrame:
     """New table version keeping the lowest id per (patient, admission_date).
 
-    ``min_by(row, id)`` is an ordinary aggregate: each map task keeps one row
-    per group before the shuffle, so a group of any size costs one row of
-    shuffle per task (no group is ever held in one task)."""
-    cols = df.columns
-    keep = (df.groupBy("patient_key", "admission_date")
-              .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col("id")).alias("_row")))
-    return keep.select(*[F.col("_row")[c].alias(c) for c in cols])
+    The lowest id per group is a partial (map-side) aggregate, so a group of
+    any size costs one row per task; the rows are then kept by a semi join on
+    (patient_key, admission_date, id).  Both sides are already partitioned by
+    patient_key when the encounter join is a shuffle join, and adaptive
+    execution splits a skewed patient's partition."""
+    keep = df.groupBy("patient_key", "admission_date").agg(F.min("id").alias("id"))
+    return df.join(keep, ["patient_key", "admission_date", "id"], "left_semi")
 
 
 def missing_counts(df: DataFrame) -> DataFrame:

@@ -32,15 +32,25 @@ ENCOUNTER_COLUMNS = [
 ]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_READ_MEMO: dict = {}
+
+
+def _memo_key(spark: SparkSession, *parts) -> tuple:
+    return (spark.sparkContext.applicationId, id(spark)) + parts
 
 
-def _lookup(col: Column, mapping: dict, default: str) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(col == k, v) if expr is None else expr.when(col == k, v)
-    return expr.otherwise(default)
+def clear_cache() -> None:
+    """Forget remembered readers (after the input files changed)."""
+    _READ_MEMO.clear()
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet reader, remembered per Spark application: the file listing and
+    schema are read once per process, not once per job."""
+    key = _memo_key(spark, sf_dir, name)
+    if key not in _READ_MEMO:
+        _READ_MEMO[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _READ_MEMO[key]
 
 
 def patient_id_of(key: Column) -> Column:
@@ -48,6 +58,50 @@ def patient_id_of(key: Column) -> Column:
     return F.concat(F.lit("PAT"), F.lpad(key.cast("string"), 7, "0"))
 
 
+def _case(expr: str, mapping: dict, default: str) -> str:
+    whens = " ".join(f"WHEN {expr} = '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {whens} ELSE '{default}' END"
+
+
+def _diagnosis_sql() -> str:
+    whens = " ".join(f"WHEN (o_orderkey * 11) % 8 = {i} THEN '{n}'" for i, n in enumerate(DIAGNOSES))
+    return f"CASE {whens} END"
+
+
+def _encounter_exprs() -> list[str]:
+    """The mapping of FIXTURES.md §2 as SQL expressions (parsed once in the JVM)."""
+    admit = "CAST(o_orderdate AS DATE)"
+    return [
+        "o_orderkey AS id",
+        "o_custkey AS patient_key",
+        "concat('PAT', lpad(CAST(o_custkey AS STRING), 7, '0')) AS patient_id",
+        "CAST(CASE WHEN o_orderkey % 997 = 0 THEN 105 ELSE 18 + (c_custkey * 7) % 78 END AS INT) AS age",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender",
+        f"{admit} AS admission_date",
+        f"date_add({admit}, CAST(1 + (o_orderkey * 3) % 10 AS INT)) AS discharge_date",
+        "CAST(CASE WHEN c_custkey % 20 = 3 THEN NULL ELSE CAST(c_acctbal * 8 + 30000 AS DECIMAL(12,2)) END"
+        " AS DECIMAL(12,2)) AS household_income",
+        f"{_case('c_mktsegment', INSURANCE_BY_SEGMENT, INSURANCE_DEFAULT)} AS insurance_type",
+        f"{_case('c_mktsegment', INSURANCE_RAW_BY_SEGMENT, INSURANCE_RAW_DEFAULT)} AS insurance_raw",
+        f"{_diagnosis_sql()} AS primary_diagnosis",
+        "CAST(CASE WHEN o_orderkey % 33 = 7 THEN NULL ELSE (o_orderkey * 13) % 25 END AS INT) AS comorbidity_score",
+        "CAST(((o_orderkey * 37) % 8001) / 10000.0 AS DECIMAL(5,4)) AS icu_utilization_ratio",
+        "CAST((o_orderkey * 5) % 8 AS INT) AS missed_medications",
+        "CAST(CASE WHEN o_orderkey % 50 = 9 THEN NULL WHEN o_orderkey % 1999 = 5 THEN CAST(500000 AS DECIMAL(12,2))"
+        " ELSE CAST(o_totalprice / 5 AS DECIMAL(12,2)) END AS DECIMAL(12,2)) AS total_bill_amount",
+        "CAST(((o_orderkey * 53) % 5001) / 10000.0 AS DECIMAL(5,4)) AS out_of_pocket_ratio",
+        "CAST(CASE WHEN (o_orderkey * 29) % 100 < 20 THEN 1 ELSE 0 END AS INT) AS readmitted_30_days",
+        "r_name AS hospital_region",
+        "CASE WHEN o_orderkey % 20 < 12 THEN 'General' WHEN o_orderkey % 20 < 18 THEN 'Academic'"
+        " ELSE 'Critical Access' END AS hospital_type",
+        "CASE (o_orderkey * 7) % 10 WHEN 0 THEN 'AMA' WHEN 1 THEN 'SNF' WHEN 2 THEN 'Home Health'"
+        " ELSE 'Home' END AS discharge_disposition",
+        "CASE WHEN substring(o_orderpriority, 1, 1) IN ('1', '2') THEN 'Emergency'"
+        " WHEN substring(o_orderpriority, 1, 1) = '3' THEN 'Urgent' ELSE 'Elective' END AS admission_type",
+        "CAST((o_orderkey * 17) % 5 AS INT) AS previous_admissions_12m",
+    ]
+
+
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The admissions table.
 
@@ -55,8 +109,12 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     and aggregates partition on it, so a shuffle join of orders and customers
     on the customer key already leaves the rows where those jobs need them.
     nation (25 rows) and region (5 rows) are fixed-size dimension tables and
-    are broadcast.
+    are broadcast.  The DataFrame (a plan, no data) is remembered per Spark
+    application.
     """
+    key = _memo_key(spark, sf_dir, "__encounters__")
+    if key in _READ_MEMO:
+        return _READ_MEMO[key]
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -66,49 +124,9 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
                       .select("n_nationkey", "r_name"))
     j = (o.join(c, o.o_custkey == c.c_custkey)
           .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
-
-    k = F.col("o_orderkey")
-    ck = F.col("c_custkey")
-    admit = F.to_date(F.col("o_orderdate"))
-    diag_idx = (k * 11) % 8
-    diagnosis = None
-    for i, name in enumerate(DIAGNOSES):
-        diagnosis = (F.when(diag_idx == i, name) if diagnosis is None
-                     else diagnosis.when(diag_idx == i, name))
-    prio = F.substring(F.col("o_orderpriority"), 1, 1)
-    disp = (k * 7) % 10
-    h = k % 20
-    return j.select(
-        k.alias("id"),
-        F.col("o_custkey").alias("patient_key"),
-        patient_id_of(F.col("o_custkey")).alias("patient_id"),
-        F.when(k % 997 == 0, 105).otherwise(18 + (ck * 7) % 78).cast("int").alias("age"),
-        F.when(ck % 2 == 0, "Male").otherwise("Female").alias("gender"),
-        admit.alias("admission_date"),
-        F.date_add(admit, (1 + (k * 3) % 10).cast("int")).alias("discharge_date"),
-        F.when(ck % 20 == 3, F.lit(None))
-         .otherwise((F.col("c_acctbal") * 8 + 30000).cast("decimal(12,2)"))
-         .cast("decimal(12,2)").alias("household_income"),
-        _lookup(F.col("c_mktsegment"), INSURANCE_BY_SEGMENT, INSURANCE_DEFAULT).alias("insurance_type"),
-        _lookup(F.col("c_mktsegment"), INSURANCE_RAW_BY_SEGMENT, INSURANCE_RAW_DEFAULT).alias("insurance_raw"),
-        diagnosis.alias("primary_diagnosis"),
-        F.when(k % 33 == 7, F.lit(None)).otherwise((k * 13) % 25).cast("int").alias("comorbidity_score"),
-        (((k * 37) % 8001) / F.lit(10000.0)).cast("decimal(5,4)").alias("icu_utilization_ratio"),
-        ((k * 5) % 8).cast("int").alias("missed_medications"),
-        F.when(k % 50 == 9, F.lit(None))
-         .when(k % 1999 == 5, F.lit(500000).cast("decimal(12,2)"))
-         .otherwise((F.col("o_totalprice") / 5).cast("decimal(12,2)"))
-         .cast("decimal(12,2)").alias("total_bill_amount"),
-        (((k * 53) % 5001) / F.lit(10000.0)).cast("decimal(5,4)").alias("out_of_pocket_ratio"),
-        F.when((k * 29) % 100 < 20, 1).otherwise(0).cast("int").alias("readmitted_30_days"),
-        F.col("r_name").alias("hospital_region"),
-        F.when(h < 12, "General").when(h < 18, "Academic").otherwise("Critical Access").alias("hospital_type"),
-        F.when(disp == 0, "AMA").when(disp == 1, "SNF").when(disp == 2, "Home Health")
-         .otherwise("Home").alias("discharge_disposition"),
-        F.when(prio.isin("1", "2"), "Emergency").when(prio == "3", "Urgent")
-         .otherwise("Elective").alias("admission_type"),
-        ((k * 17) % 5).cast("int").alias("previous_admissions_12m"),
-    )
+    out = j.selectExpr(*_encounter_exprs())
+    _READ_MEMO[key] = out
+    return out
 
 
 # ---------------------------------------------------------------- side tables
