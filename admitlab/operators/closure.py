@@ -15,19 +15,32 @@ from pyspark.sql import functions as F
 
 
 def walk_up(nodes: DataFrame, start: DataFrame, node_col: str, parent_col: str,
-            max_depth: int = 100) -> DataFrame:
+            max_depth: int = 100, lookup_limit: int = 1000) -> DataFrame:
     """All ancestors of the ``start`` rows (rows of ``nodes``), with ``level``
     1 for the start row itself, 2 for its parent, ...
 
     ``path`` keeps the visited node keys so a cycle ends the walk instead of
-    looping for ever."""
+    looping for ever.
+
+    While a level has at most ``lookup_limit`` distinct parents (a walk from
+    one node has one), they are looked up by literal key: the predicate is
+    pushed into the Parquet scan and row groups are skipped by their min/max
+    statistics, so a level costs a point lookup, not a scan of the tree.
+    Larger frontiers use an ordinary join."""
     cols = nodes.columns
     frontier = start.select(*cols, F.lit(1).alias("level"),
                             F.array(F.col(node_col)).alias("_path"))
     result = frontier
     for depth in range(2, max_depth + 1):
+        parents = frontier.select(parent_col).where(F.col(parent_col).isNotNull()).distinct()
+        few = parents.limit(lookup_limit + 1).collect()
+        if not few:
+            break
+        candidates = nodes
+        if len(few) <= lookup_limit:
+            candidates = nodes.where(F.col(node_col).isin([r[0] for r in few]))
         step = (frontier.alias("rc")
-                .join(nodes.alias("d"), F.col(f"d.{node_col}") == F.col(f"rc.{parent_col}"))
+                .join(candidates.alias("d"), F.col(f"d.{node_col}") == F.col(f"rc.{parent_col}"))
                 .filter(~F.array_contains(F.col("rc._path"), F.col(f"d.{node_col}")))
                 .select(*[F.col(f"d.{c}").alias(c) for c in cols],
                         F.lit(depth).alias("level"),

@@ -18,15 +18,20 @@ def json_filter(logs: DataFrame, field: str = "k", threshold: float = 50) -> Dat
                 .filter(F.col("temperature").try_cast("decimal(38,10)") > threshold))
 
 
-def diagnosis_history(enc: DataFrame) -> DataFrame:
-    """One row per patient: diagnoses in visit order, comma separated.
-    Sorting happens inside each patient's group (bounded by that patient's
-    visits); grouping reuses the patient_key partitioning."""
-    items = F.array_sort(F.collect_list(F.struct("admission_date", "id", "primary_diagnosis")))
-    return (enc.groupBy("patient_key", "patient_id")
-               .agg(F.array_join(F.transform(items, lambda x: x["primary_diagnosis"]), ", ")
-                    .alias("diagnosis_history"))
-               .drop("patient_key"))
+def diagnosis_history(enc: DataFrame, max_items: int = 100_000) -> DataFrame:
+    """Diagnoses of each patient in visit order, comma separated.
+
+    One row per patient and ``part``: part k holds visits k*max_items+1 ..
+    (k+1)*max_items, so no list grows beyond ``max_items`` entries in one task
+    (every ordinary patient has only part 0; joining the parts in order gives
+    the whole history).  Visit numbers come from the hot-key-safe sequence."""
+    from .intervals import patient_sequence
+    s = patient_sequence(enc).withColumn("part", F.floor((F.col("_seq") - 1) / max_items).cast("bigint"))
+    items = F.array_sort(F.collect_list(F.struct("_seq", "primary_diagnosis")))
+    return (s.groupBy("patient_key", "patient_id", "part")
+             .agg(F.array_join(F.transform(items, lambda x: x["primary_diagnosis"]), ", ")
+                  .alias("diagnosis_history"))
+             .drop("patient_key"))
 
 
 def unnest_counts(surveys: DataFrame) -> DataFrame:
