@@ -57,6 +57,7 @@ ORACLE = {
 FROM (SELECT DISTINCT insurance_raw AS raw_input FROM enc) t""",
     "age_brackets": H + f"""SELECT DISTINCT patient_id, age, {AGE_BRACKET.format(young='Young Age')} AS age_bracket
 FROM enc ORDER BY age DESC""",
+    "age_brackets_rows": H + f"""SELECT patient_id, age, {AGE_BRACKET.format(young='Young Age')} AS age_bracket FROM enc""",
     "age_brackets_young_adult": H + f"""SELECT DISTINCT patient_id, age, {AGE_BRACKET.format(young='Young Adult')} AS age_bracket
 FROM enc ORDER BY age""",
     "length_of_stay": H + f"SELECT patient_id, admission_date, discharge_date, {LOS} AS length_of_stay FROM enc",

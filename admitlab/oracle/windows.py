@@ -81,7 +81,8 @@ WHERE percentile = 1 ORDER BY total_spend DESC""",
   SELECT COUNT(*) AS n, SUM(CAST({C} AS HUGEINT)) AS s, SUM(CAST({C} AS HUGEINT) * CAST({C} AS HUGEINT)) AS q
   FROM enc WHERE total_bill_amount IS NOT NULL),
 st2 AS (SELECT n, s, CAST(s AS DOUBLE) / CAST(n AS DOUBLE) AS mean_c,
-  sqrt((CAST(q AS DOUBLE) - CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / CAST(n AS DOUBLE)) / (CAST(n AS DOUBLE) - 1)) AS sd_c FROM st),
+  NULLIF(sqrt(greatest(CASE WHEN n > 1 THEN (CAST(q AS DOUBLE) - CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / CAST(n AS DOUBLE))
+    / (CAST(n AS DOUBLE) - 1) END, 0.0)), 0.0) AS sd_c FROM st),
 z AS (SELECT e.patient_id, e.total_bill_amount, st2.*, ({C} - mean_c) / sd_c AS z FROM enc e CROSS JOIN st2
       WHERE e.total_bill_amount IS NOT NULL)
 SELECT patient_id, CAST(total_bill_amount AS DOUBLE) AS total_bill_amount, {rdiv('s', 'n * 100', 2)} AS population_mean,

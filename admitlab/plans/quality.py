@@ -71,8 +71,16 @@ def standardize_labels(df: DataFrame, column: str = "insurance_raw") -> DataFram
               .select("raw_input", X.pg_initcap(F.trim(F.col("raw_input"))).alias("standardized_insurance")))
 
 
-def age_brackets(df: DataFrame, young_label: str = "Young Age", descending: bool = True) -> DataFrame:
-    out = df.select("patient_id", "age", X.age_bracket(young_label).alias("age_bracket")).distinct()
+def age_brackets(df: DataFrame, young_label: str = "Young Age", descending: bool | None = True,
+                 distinct: bool = True) -> DataFrame:
+    """Age bracket per (patient, age): ``distinct`` as the GROUP BY forms,
+    every admission when False (the ungrouped form); ``descending`` None
+    leaves the rows unsorted."""
+    out = df.select("patient_id", "age", X.age_bracket(young_label).alias("age_bracket"))
+    if distinct:
+        out = out.distinct()
+    if descending is None:
+        return out
     return out.orderBy(F.col("age").desc() if descending else F.col("age").asc())
 
 

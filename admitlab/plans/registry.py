@@ -60,6 +60,7 @@ def _register_all() -> None:
                  "threshold_outliers", "duplicate_encounters", "drop_duplicate_encounters",
                  "missing_counts", "category_profile", "date_range", "numeric_ranges"]:
         register(name, _enc_job(getattr(quality, name)))
+    register("age_brackets_rows", _enc_job(quality.age_brackets, descending=None, distinct=False))
     register("age_brackets_young_adult",
              _enc_job(quality.age_brackets, young_label="Young Adult", descending=False))
     for name in ["readmission_rate", "payer_mix", "gender_distribution", "los_distribution",

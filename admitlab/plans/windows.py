@@ -36,7 +36,8 @@ def bill_rank(enc: DataFrame, top: int = 20) -> DataFrame:
             .select("id", "patient_id", BILL))
     w = Window.orderBy(F.col(BILL).desc())  # over `top` rows
     return t.select("patient_id", money(F.col(BILL)).alias(BILL),
-                    F.rank().over(w).alias("spending_rank"), F.dense_rank().over(w).alias("dense_rank"))
+                    F.rank().over(w).cast("bigint").alias("spending_rank"),
+                    F.dense_rank().over(w).cast("bigint").alias("dense_rank"))
 
 
 def top_bills_per_diagnosis(enc: DataFrame, k: int = 3) -> DataFrame:
@@ -45,7 +46,7 @@ def top_bills_per_diagnosis(enc: DataFrame, k: int = 3) -> DataFrame:
     diagnosis: a diagnosis holding a third of all rows costs nothing extra."""
     w = Window.partitionBy("primary_diagnosis").orderBy(F.col(BILL).desc())
     return (enc.filter(F.col(BILL).isNotNull())
-               .select("patient_id", "primary_diagnosis", BILL, F.dense_rank().over(w).alias("bill_rank"))
+               .select("patient_id", "primary_diagnosis", BILL, F.dense_rank().over(w).cast("bigint").alias("bill_rank"))
                .filter(F.col("bill_rank") <= k)
                .select("patient_id", "primary_diagnosis", money(F.col(BILL)).alias(BILL), "bill_rank"))
 
@@ -246,9 +247,11 @@ def bill_zscore(enc: DataFrame) -> DataFrame:
     c = F.col("_c").cast("decimal(38,0)")
     st = e.agg(F.count(F.lit(1)).alias("_n"), F.sum(c).alias("_s"), F.sum(c * c).alias("_q"))
     n, s, q = F.col("_n").cast("double"), F.col("_s").cast("double"), F.col("_q").cast("double")
+    # sample sd: NULL for fewer than two bills; a zero sd gives NULL z-scores
+    var = F.when(F.col("_n") > 1, (q - s * s / n) / (n - 1))
     st = st.select("_n", "_s",
                    (s / n).alias("_mean_c"),
-                   F.sqrt((q - s * s / n) / (n - 1)).alias("_sd_c"))
+                   F.nullif(F.sqrt(F.greatest(var, F.lit(0.0))), F.lit(0.0)).alias("_sd_c"))
     j = e.crossJoin(F.broadcast(st))  # one row
     z = (F.col("_c") - F.col("_mean_c")) / F.col("_sd_c")
     band = (F.when(z > 3, "Extreme Outlier (3σ+)").when(z > 2, "Moderate Outlier (2σ+)")

@@ -106,3 +106,34 @@ def test_audit_self_empty_and_dedupe_idempotent(spark):
     twice = quality.drop_duplicate_encounters(once)
     assert sorted(r["id"] for r in once.collect()) == [1, 3]
     assert sorted(r["id"] for r in twice.collect()) == [1, 3]
+
+
+def test_zscore_degenerate(spark):
+    from admitlab.plans.windows import bill_zscore
+    one = spark.createDataFrame([(1, "P1", 100.0)], "id long, patient_id string, total_bill_amount double")
+    same = spark.createDataFrame([(1, "P1", 100.0), (2, "P2", 100.0)], "id long, patient_id string, total_bill_amount double")
+    for df in (one, same):
+        rows = bill_zscore(df).collect()
+        assert all(r["z_score"] is None and r["outlier_status"] == "Normal Range" for r in rows)
+
+
+def test_gap_distribution_adds_up(spark):
+    from admitlab.plans import intervals
+    from admitlab.sources.tables import encounters
+    from conftest import SF_SMALL
+    enc = encounters(spark, SF_SMALL)
+    gaps = intervals.with_gaps(enc).filter(F.col("days_gap").isNotNull()).count()
+    for f in (intervals.gap_distribution_4, intervals.gap_distribution_5):
+        assert f(enc).agg(F.sum("patient_count")).first()[0] == gaps
+
+
+def test_append_log(spark, tmp_path):
+    d = dt.date(2020, 1, 1)
+    old = spark.createDataFrame([(1, 1, "P1", d, 10.0), (2, 2, "P2", d, 11.0)],
+                                "id long, patient_key long, patient_id string, admission_date date, total_bill_amount double")
+    new = old.withColumn("total_bill_amount", F.when(F.col("id") == 1, 12.0).otherwise(F.col("total_bill_amount")))
+    path = str(tmp_path / "log")
+    changes.append_log(changes.bill_audit(old, new), path)
+    changes.append_log(changes.bill_audit(old, new), path)
+    rows = spark.read.parquet(path).collect()
+    assert len(rows) == 2 and {(r["old_amount"], r["new_amount"]) for r in rows} == {(10.0, 12.0)}
