@@ -277,7 +277,7 @@ def ntile(n_buckets: int, rn: Column, total: Column) -> Column:
 
 
 def moving_frame(df: DataFrame, order_col: str, value_cols: list[str], preceding: int,
-                 n_buckets: int | None = None) -> DataFrame:
+                 n_buckets: int | None = None, rows_per_block: int = 5_000_000) -> DataFrame:
     """Sums and counts over ``ROWS BETWEEN preceding PRECEDING AND CURRENT
     ROW`` ordered by a unique column, without a single-task window.
 
@@ -295,7 +295,9 @@ def moving_frame(df: DataFrame, order_col: str, value_cols: list[str], preceding
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # noqa: BLE001
         parts = 8
-    block = max(preceding + 1, math.ceil(max(total, 1) / max(parts, 1)), 1)
+    # about one block per shuffle partition on small data, never more than
+    # rows_per_block rows in one block on large data
+    block = max(preceding + 1, min(math.ceil(max(total, 1) / max(parts, 1)), rows_per_block))
     blk = F.floor((F.col("_rn") - 1) / block).cast("bigint")
     pos = (F.col("_rn") - 1) % block
     # every row goes to its block; the last `preceding` rows of a block also

@@ -63,7 +63,8 @@ def _detect_hot(df: DataFrame, key: str, max_rows_per_key: int) -> list:
 def sequence(df: DataFrame, key: str, date_col: str, tiebreak: str,
              lag_cols: tuple[str, ...] = (), lead_cols: tuple[str, ...] = (),
              range_sums: tuple[str, ...] = (),
-             max_rows_per_key: int = 2_000_000, hot: list | None = None) -> DataFrame:
+             max_rows_per_key: int = 2_000_000, hot: list | None = None,
+             rows_per_block: int = 5_000_000) -> DataFrame:
     """``df`` plus ``_seq`` (1-based position in the key's (date, tiebreak)
     order), ``_prev_<c>`` for ``lag_cols``, ``_next_<c>`` for ``lead_cols`` and
     ``_cum_<c>`` for ``range_sums``: the sum of c over the key's rows up to
@@ -108,7 +109,7 @@ def sequence(df: DataFrame, key: str, date_col: str, tiebreak: str,
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # noqa: BLE001
         parts = 8
-    block = F.greatest(F.lit(2), F.ceil(F.col("_n") / F.lit(parts)))
+    block = F.greatest(F.lit(2), F.least(F.ceil(F.col("_n") / F.lit(parts)), F.lit(rows_per_block)))
     blk = F.floor((F.col("_rn") - 1) / block).cast("bigint")
     pos = (F.col("_rn") - 1) - blk * block
     targets = F.array(blk)

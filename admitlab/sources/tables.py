@@ -108,9 +108,9 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``patient_key`` (bigint) is the numeric patient key; per-patient windows
     and aggregates partition on it, so a shuffle join of orders and customers
     on the customer key already leaves the rows where those jobs need them.
-    nation (25 rows) and region (5 rows) are fixed-size dimension tables and
-    are broadcast.  The DataFrame (a plan, no data) is remembered per Spark
-    application.
+    nation (25 rows) and region (5 rows) are tiny dimension tables which the
+    planner broadcasts on its own size check.  The DataFrame (a plan, no
+    data) is remembered per Spark application.
     """
     key = _memo_key(spark, sf_dir, "__encounters__")
     if key in _READ_MEMO:
@@ -120,8 +120,9 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-                      .select("n_nationkey", "r_name"))
+    # no hint: the planner broadcasts nation and region after checking their
+    # size (file statistics, then AQE's measured size)
+    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
     j = (o.join(c, o.o_custkey == c.c_custkey)
           .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
     out = j.selectExpr(*_encounter_exprs())
