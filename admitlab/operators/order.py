@@ -123,7 +123,8 @@ def plan_order(df: DataFrame, spec: OrderSpec, n_buckets: int | None = None,
 
 def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
             n_buckets: int | None = None, rows_per_bucket: int = 5_000_000,
-            max_buckets: int = 100_000, plan: OrderPlan | None = None) -> DataFrame:
+            max_buckets: int = 100_000, plan: OrderPlan | None = None,
+            keep_ranges: bool = False) -> DataFrame:
     """``df`` plus the global order columns:
 
     ``_rn`` row number, ``_rank``, ``_dense_rank``, ``_le`` (rows up to the end
@@ -260,6 +261,8 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
                   .withColumn(f"_range_{s}", F.when(rng_n > 0, rng_s))
                   .withColumn(f"_rangen_{s}", rng_n))
     keep = list(df.columns) + ["_rn", "_rank", "_dense_rank", "_le", "_n"]
+    if keep_ranges:  # the range key, for balance checks
+        keep += ["_b1", "_b2"]
     for s_ in sums:
         keep += [f"_rows_{s_}", f"_range_{s_}", f"_rangen_{s_}"]
     return out.select(*keep)
