@@ -1,38 +1,16 @@
 """Pure column expressions shared by the jobs: tiers, brackets, LACE scores,
-PostgreSQL-style initcap, null-safe ratios."""
+PostgreSQL-style initcap."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-
-def col(name: str) -> Column:
-    return F.col(name)
 
 
 def length_of_stay() -> Column:
     return F.datediff(F.col("discharge_date"), F.col("admission_date"))
 
 
-def patient_window():
-    """Visits of one patient in order (admission_date, id).
-
-    Partitioned on the numeric ``patient_key``: the encounter join is hash
-    partitioned on the same key, so no second exchange is needed."""
-    return Window.partitionBy("patient_key").orderBy("admission_date", "id")
-
-
-def prev_discharge() -> Column:
-    return F.lag("discharge_date").over(patient_window())
-
-
-def days_gap() -> Column:
-    """Days between the previous discharge and this admission (NULL on a first visit)."""
-    return F.datediff(F.col("admission_date"), prev_discharge())
-
-
 def pg_initcap(c: Column) -> Column:
     """INITCAP as PostgreSQL does it: a word starts after any non-alphanumeric
     character ('self-PAY' -> 'Self-Pay'), other letters lowered."""
@@ -99,7 +77,3 @@ def gap_risk_level(g: Column) -> Column:
              .when(g <= 30, "MODERATE RISK (15-30 days)")
              .when(g.isNull(), "First Visit")
              .otherwise("LOW RISK (30+ days)"))
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    return a / F.nullif(b, F.lit(0))

@@ -22,16 +22,6 @@ INSURANCE_RAW_BY_SEGMENT = {"HOUSEHOLD": "Medicare", "MACHINERY": "Private",
                             "BUILDING": "  PRIVATE ", "AUTOMOBILE": "medicaid"}
 INSURANCE_RAW_DEFAULT = "self-PAY"
 
-ENCOUNTER_COLUMNS = [
-    "id", "patient_key", "patient_id", "age", "gender", "admission_date",
-    "discharge_date", "household_income", "insurance_type", "insurance_raw",
-    "primary_diagnosis", "comorbidity_score", "icu_utilization_ratio",
-    "missed_medications", "total_bill_amount", "out_of_pocket_ratio",
-    "readmitted_30_days", "hospital_region", "hospital_type",
-    "discharge_disposition", "admission_type", "previous_admissions_12m",
-]
-
-
 _READ_MEMO: dict = {}
 
 
