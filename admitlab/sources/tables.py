@@ -157,3 +157,19 @@ def patient_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("p_partkey").alias("id"),
                     patient_id_of(F.col("p_partkey")).alias("patient_id"),
                     F.regexp_replace(F.col("p_name"), " ", ",").alias("diagnosis_list"))
+
+
+# ------------------------------------------------------------ stored layout
+
+def save_encounters(df: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Store the encounter table bucketed by ``patient_key`` and sorted by
+    (patient_key, admission_date, id) inside each bucket - the layout of a
+    (patient, date) index.  Jobs reading it get their per-patient windows and
+    aggregates without any exchange: the bucketed scan already provides the
+    hash partitioning they need.  The files go to ``spark.sql.warehouse.dir``,
+    which on a cluster is the shared warehouse."""
+    (df.write.mode("overwrite")
+       .bucketBy(buckets, "patient_key")
+       .sortBy("patient_key", "admission_date", "id")
+       .saveAsTable(table))
+    return df.sparkSession.table(table)

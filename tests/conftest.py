@@ -11,7 +11,10 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from admitlab.session import get_spark
-    s = get_spark("local[4]", 8)
+    wh = tempfile.mkdtemp(prefix="admitlab-wh-", dir=os.environ.get("TMPDIR", "/tmp"))
+    s = get_spark("local[4]", 8, extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()

@@ -32,3 +32,12 @@ def test_top_k_per_group_uses_group_limit(spark):
 def test_global_ntile_is_bucketed(spark):
     p = _plan(jobs()["cost_ntiles"](spark, SF_SMALL))
     assert "hashpartitioning(_b1" in p
+
+
+def test_bucketed_encounters_need_no_exchange(spark):
+    from admitlab.plans import intervals
+    from admitlab.sources.tables import encounters, save_encounters
+    stored = save_encounters(encounters(spark, SF_SMALL), "enc_bucketed_test", 8)
+    p = _plan(intervals.frequent_flyers(stored))
+    assert "Exchange hashpartitioning" not in p
+    assert intervals.frequent_flyers(stored).count() == 10
