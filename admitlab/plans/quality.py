@@ -138,16 +138,15 @@ def missing_counts(df: DataFrame) -> DataFrame:
 
 def category_profile(df: DataFrame, columns=("insurance_type", "primary_diagnosis")) -> DataFrame:
     """Per categorical column: distinct count and the sorted list of values.
-    The set per column is bounded by the code list and merged map-side."""
-    parts = []
-    for c in columns:
-        parts.append(df.agg(F.lit(c).alias("column_name"),
-                            F.count_distinct(F.col(c)).alias("distinct_count"),
-                            F.array_join(F.array_sort(F.collect_set(F.col(c))), ", ").alias("distinct_values")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    One pass: the columns are unpivoted to (column, value) and grouped by
+    column; each set is merged map-side and is bounded by the column's code
+    list."""
+    pairs = df.selectExpr(f"stack({len(columns)}, " + ", ".join(
+        f"'{c}', CAST(`{c}` AS STRING)" for c in columns) + ") AS (column_name, v)")
+    return pairs.groupBy("column_name").agg(
+        F.count_distinct("v").alias("distinct_count"),
+        F.array_join(F.array_sort(F.collect_set("v")), ", ").alias("distinct_values"))
 
 
 def date_range(df: DataFrame) -> DataFrame:
