@@ -6,6 +6,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import fixed as FX
+
+_OPS = {"<": Column.__lt__, "<=": Column.__le__, ">": Column.__gt__, ">=": Column.__ge__}
+
+
+def ladder(c: Column, op: str, steps, default=None, start: Column | None = None) -> Column:
+    """CASE WHEN c <op> bound THEN label ... [ELSE default] END, branches in
+    the given order (after those already in ``start``)."""
+    out = start
+    for bound, label in steps:
+        cond = _OPS[op](c, F.lit(bound))
+        out = F.when(cond, label) if out is None else out.when(cond, label)
+    return out if default is None else out.otherwise(default)
+
 
 def length_of_stay() -> Column:
     return F.datediff(F.col("discharge_date"), F.col("admission_date"))
@@ -20,17 +34,16 @@ def pg_initcap(c: Column) -> Column:
         "")
 
 
-def age_bracket(young_label: str = "Young Age") -> Column:
+def age_bracket(young_label: str = FX.AGE_YOUNG_LABELS[0]) -> Column:
     a = F.col("age")
     return (F.when(a < 30, young_label)
-             .when(a.between(30, 60), "Middle Age")
-             .when(a > 60, "Senior")
-             .otherwise("Unknown"))
+             .when(a.between(30, 60), FX.AGE_MIDDLE)
+             .when(a > 60, FX.AGE_SENIOR)
+             .otherwise(FX.AGE_UNKNOWN))
 
 
 def income_tier() -> Column:
-    i = F.col("household_income")
-    return F.when(i < 40000, "Low Income").when(i < 80000, "Middle Income").otherwise("High Income")
+    return ladder(F.col("household_income"), "<", FX.INCOME_TIERS, FX.INCOME_TIER_ELSE)
 
 
 def lace_capped() -> Column:
@@ -43,7 +56,7 @@ def lace_capped() -> Column:
 
 
 def lace_risk(score: Column) -> Column:
-    return F.when(score > 10, "High").when(score > 5, "Medium").otherwise("Low")
+    return ladder(score, ">", FX.LACE_RISK, FX.LACE_RISK_ELSE)
 
 
 def calculate_lace(len_stay: Column, is_emergency: Column, comorb: Column, ed_visits: Column) -> Column:
@@ -60,20 +73,36 @@ def lace_uncapped() -> Column:
 
 
 def gap_tier4(g: Column) -> Column:
-    return (F.when(g <= 7, "≤7 days (Critical)")
-             .when(g <= 14, "8-14 days (High Risk)")
-             .when(g <= 30, "15-30 days (Moderate)")
-             .when(g > 30, ">30 days (Low Risk)"))
+    """Four tiers; a NULL gap has none (no ELSE branch)."""
+    over = FX.GAP_TIERS_4[-1][0]
+    return ladder(g, "<=", FX.GAP_TIERS_4).when(g > over, FX.GAP_TIERS_4_OVER)
+
+
+def gap_tier4_labels() -> list:
+    return [label for _, label in FX.GAP_TIERS_4] + [FX.GAP_TIERS_4_OVER]
 
 
 def gap_tier5(g: Column) -> Column:
-    return (F.when(g <= 7, "≤7 days").when(g <= 14, "8-14 days").when(g <= 30, "15-30 days")
-             .when(g <= 60, "31-60 days").otherwise(">60 days"))
+    return ladder(g, "<=", FX.GAP_TIERS_5, FX.GAP_TIERS_5_ELSE)
+
+
+def gap_tier5_labels() -> list:
+    return [label for _, label in FX.GAP_TIERS_5] + [FX.GAP_TIERS_5_ELSE]
 
 
 def gap_risk_level(g: Column) -> Column:
-    return (F.when(g <= 7, "CRITICAL (≤7 days)")
-             .when(g <= 14, "HIGH RISK (8-14 days)")
-             .when(g <= 30, "MODERATE RISK (15-30 days)")
-             .when(g.isNull(), "First Visit")
-             .otherwise("LOW RISK (30+ days)"))
+    """Tier tested before the first-visit check (a NULL gap falls through)."""
+    return ladder(g, "<=", FX.GAP_RISK).when(g.isNull(), FX.GAP_FIRST_VISIT).otherwise(FX.GAP_RISK_ELSE)
+
+
+def gap_risk_category(g: Column) -> Column:
+    """First-visit check before the tiers."""
+    return ladder(g, "<=", FX.GAP_RISK, FX.GAP_RISK_ELSE, start=F.when(g.isNull(), FX.GAP_FIRST_VISIT))
+
+
+def order_of(c: Column, labels: list) -> Column:
+    """1-based position of the label in ``labels`` (an explicit sort key)."""
+    out = None
+    for i, label in enumerate(labels):
+        out = F.when(c == label, i + 1) if out is None else out.when(c == label, i + 1)
+    return out.cast("int")

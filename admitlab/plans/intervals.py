@@ -73,11 +73,7 @@ def revisit_detail(enc: DataFrame) -> DataFrame:
     return (g.filter(F.col("visit_number") > 1)
              .select("patient_id", "visit_number", "admission_date", "prev_discharge_date",
                      "days_gap", "primary_diagnosis", "prev_diagnosis", "readmitted_30_days",
-                     F.when(F.col("days_gap").isNull(), "First Visit")
-                      .when(F.col("days_gap") <= 7, "CRITICAL (≤7 days)")
-                      .when(F.col("days_gap") <= 14, "HIGH RISK (8-14 days)")
-                      .when(F.col("days_gap") <= 30, "MODERATE RISK (15-30 days)")
-                      .otherwise("LOW RISK (30+ days)").alias("risk_category")))
+                     X.gap_risk_category(F.col("days_gap")).alias("risk_category")))
 
 
 def _readmissions(enc: DataFrame) -> DataFrame:
@@ -98,10 +94,7 @@ def gap_distribution_4(enc: DataFrame) -> DataFrame:
                  rdiv(F.sum("days_gap"), F.count("days_gap"), 1).alias("avg_days_gap"),
                  F.min("days_gap").alias("min_days"),
                  F.max("days_gap").alias("max_days")))
-    order = (F.when(F.col("readmission_window") == "≤7 days (Critical)", 1)
-              .when(F.col("readmission_window") == "8-14 days (High Risk)", 2)
-              .when(F.col("readmission_window") == "15-30 days (Moderate)", 3)
-              .when(F.col("readmission_window") == ">30 days (Low Risk)", 4))
+    order = X.order_of(F.col("readmission_window"), X.gap_tier4_labels())
     return (agg.withColumn("pct_of_readmissions", _share("patient_count", 2))
                .withColumn("window_order", order.cast("int"))
                .orderBy("window_order"))
@@ -112,10 +105,7 @@ def gap_distribution_5(enc: DataFrame) -> DataFrame:
     agg = (g.groupBy("readmission_window")
             .agg(F.count(F.lit(1)).alias("patient_count"),
                  rdiv(F.sum("days_gap"), F.count("days_gap"), 1).alias("avg_gap")))
-    order = (F.when(F.col("readmission_window") == "≤7 days", 1)
-              .when(F.col("readmission_window") == "8-14 days", 2)
-              .when(F.col("readmission_window") == "15-30 days", 3)
-              .when(F.col("readmission_window") == "31-60 days", 4).otherwise(5))
+    order = X.order_of(F.col("readmission_window"), X.gap_tier5_labels())
     return (agg.withColumn("pct_distribution", _share("patient_count", 2))
                .withColumn("window_order", order.cast("int"))
                .orderBy("window_order"))

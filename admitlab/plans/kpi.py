@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import expr as X
+from ..functions import fixed as FX
 from ..functions.numeric import money, ravg, rdiv, scaled_sum
 
 
@@ -59,8 +60,8 @@ def rate_by_income_tier(df: DataFrame) -> DataFrame:
               .orderBy(F.col("readmission_rate").desc()))
 
 
-def insured_vs_uninsured(df: DataFrame, insured=("Medicare", "Private", "Medicaid")) -> DataFrame:
-    status = F.when(F.col("insurance_type").isin(*insured), "Insured").otherwise("Uninsured")
+def insured_vs_uninsured(df: DataFrame, insured=FX.INSURED) -> DataFrame:
+    status = F.when(F.col("insurance_type").isin(*insured), FX.COVERAGE[0]).otherwise(FX.COVERAGE[1])
     return (df.groupBy(status.alias("coverage_status"))
               .agg(F.count(F.lit(1)).alias("patients"), ravg(F.col("total_bill_amount"), 2, 0).alias("avg_bill")))
 
@@ -131,8 +132,7 @@ def comorbidity_impact(df: DataFrame) -> DataFrame:
 
 def adherence_impact(df: DataFrame) -> DataFrame:
     m = F.col("missed_medications")
-    level = (F.when(m == 0, "Perfect Adherence").when(m <= 2, "Good Adherence")
-              .when(m <= 4, "Poor Adherence").otherwise("Critical Non-Adherence"))
+    level = X.ladder(m, "<=", FX.ADHERENCE, FX.ADHERENCE_ELSE, start=F.when(m == 0, FX.ADHERENCE_PERFECT))
     return (df.groupBy(level.alias("adherence_level"))
               .agg(F.count(F.lit(1)).alias("patients"), _rate(1).alias("readmission_rate"))
               .orderBy("adherence_level"))
@@ -140,8 +140,7 @@ def adherence_impact(df: DataFrame) -> DataFrame:
 
 def icu_impact(df: DataFrame) -> DataFrame:
     r = F.col("icu_utilization_ratio")
-    cat = (F.when(r > 0.5, "High ICU Use").when(r > 0.2, "Moderate ICU Use")
-            .when(r > 0, "Low ICU Use").otherwise("No ICU"))
+    cat = X.ladder(r, ">", FX.ICU_USE, FX.ICU_USE_ELSE)
     return (df.groupBy(cat.alias("icu_category"))
               .agg(F.count(F.lit(1)).alias("patient_count"), _rate(1).alias("readmission_rate"),
                    ravg(F.col("total_bill_amount"), 2, 0).alias("avg_cost"))
@@ -161,10 +160,11 @@ def payer_profitability(df: DataFrame) -> DataFrame:
 
 def age_income_crosstab(df: DataFrame) -> DataFrame:
     a, i = F.col("age"), F.col("household_income")
-    age_group = (F.when(a < 40, "Under 40").when(a.between(40, 64), "40-64 (Working Age)")
-                  .otherwise("65+ (Medicare Age)"))
-    income_level = (F.when(i < 30000, "Low Income").when(i.between(30000, 75000), "Middle Income")
-                     .otherwise("High Income"))
+    (a_lo, a_hi), (i_lo, i_hi) = FX.CROSS_AGE_BOUNDS, FX.CROSS_INCOME_BOUNDS
+    age_group = (F.when(a < a_lo, FX.CROSS_AGE[0]).when(a.between(a_lo, a_hi), FX.CROSS_AGE[1])
+                  .otherwise(FX.CROSS_AGE[2]))
+    income_level = (F.when(i < i_lo, FX.CROSS_INCOME[0]).when(i.between(i_lo, i_hi), FX.CROSS_INCOME[1])
+                     .otherwise(FX.CROSS_INCOME[2]))
     return (df.filter(i.isNotNull())
               .groupBy(age_group.alias("age_group"), income_level.alias("income_level"))
               .agg(F.count(F.lit(1)).alias("patient_count"), _rate(1).alias("readmission_rate"))
@@ -188,7 +188,8 @@ def revenue_pivot_by_month(df: DataFrame, months=(1, 2, 3),
 
 def wealth_health(df: DataFrame) -> DataFrame:
     i = F.col("household_income")
-    cls = F.when(i > 100000, "Wealthy").when(i < 30000, "Low Income").otherwise("Middle Class")
+    rich, poor = FX.WEALTH_BOUNDS
+    cls = F.when(i > rich, FX.WEALTH[0]).when(i < poor, FX.WEALTH[1]).otherwise(FX.WEALTH[2])
     c = F.col("comorbidity_score")
     return (df.groupBy(cls.alias("income_class"))
               .agg(rdiv(F.sum(c), F.count(c), 2).alias("avg_sickness_score"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from ..functions import fixed as FX
 from ..functions.numeric import money, rdiv
 
 
@@ -59,7 +60,7 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_rows"))
 
 
-def impute_income(df: DataFrame, fill: int = 55000) -> DataFrame:
+def impute_income(df: DataFrame, fill: int = FX.FILL_INCOME) -> DataFrame:
     return (df.filter(F.col("household_income").isNull())
               .select("patient_id", "insurance_type",
                       money(F.col("household_income")).alias("raw_income"),
@@ -71,7 +72,7 @@ def standardize_labels(df: DataFrame, column: str = "insurance_raw") -> DataFram
               .select("raw_input", X.pg_initcap(F.trim(F.col("raw_input"))).alias("standardized_insurance")))
 
 
-def age_brackets(df: DataFrame, young_label: str = "Young Age", descending: bool | None = True,
+def age_brackets(df: DataFrame, young_label: str = FX.AGE_YOUNG_LABELS[0], descending: bool | None = True,
                  distinct: bool = True) -> DataFrame:
     """Age bracket per (patient, age): ``distinct`` as the GROUP BY forms,
     every admission when False (the ungrouped form); ``descending`` None
@@ -89,7 +90,8 @@ def length_of_stay(df: DataFrame) -> DataFrame:
                      X.length_of_stay().cast("bigint").alias("length_of_stay"))
 
 
-def impute_multi(df: DataFrame, income: int = 55000, comorbidity: int = 0, bill: int = 20000) -> DataFrame:
+def impute_multi(df: DataFrame, income: int = FX.FILL_INCOME, comorbidity: int = FX.FILL_COMORBIDITY,
+                 bill: int = FX.FILL_BILL) -> DataFrame:
     """Fill three columns.  ``data_quality_flag`` says 'Imputed' when any of them
     was NULL (the stated meaning); ``data_quality_flag_literal`` keeps the
     reference's test, which is always 'Complete'."""

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed as FX
 from ..sources import tables as T
 from . import changes, finance, intervals, kpi, quality, relate, risk, semi, timeline, windows
 
@@ -62,7 +63,7 @@ def _register_all() -> None:
         register(name, _enc_job(getattr(quality, name)))
     register("age_brackets_rows", _enc_job(quality.age_brackets, descending=None, distinct=False))
     register("age_brackets_young_adult",
-             _enc_job(quality.age_brackets, young_label="Young Adult", descending=False))
+             _enc_job(quality.age_brackets, young_label=FX.AGE_YOUNG_LABELS[1], descending=False))
     for name in ["readmission_rate", "payer_mix", "gender_distribution", "los_distribution",
                  "top_diagnoses", "rate_by_income_tier", "insured_vs_uninsured", "payer_price_gap",
                  "rate_by_diagnosis", "revenue_by_region", "los_by_hospital_type",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from ..functions import fixed as FX
 from ..functions.numeric import money
 
 VIEW_NAME = "v_high_risk_patients"
@@ -29,15 +30,16 @@ def lace_score(df: DataFrame) -> DataFrame:
 
 
 def _predictive_score():
-    return (F.when(F.col("age") > 70, 20).otherwise(0)
-            + F.when(F.col("primary_diagnosis").like("%Heart Failure%"), 30).otherwise(0)
-            + F.when(F.col("admission_type") == "Emergency", 10).otherwise(0)
-            + F.when(X.lace_uncapped() > 10, 40).otherwise(0)
-            + F.coalesce(F.col("comorbidity_score"), F.lit(0)) * 5)
+    w = FX.RISK_WEIGHTS
+    return (F.when(F.col("age") > 70, w["age_over_70"]).otherwise(0)
+            + F.when(F.col("primary_diagnosis").like("%Heart Failure%"), w["heart_failure"]).otherwise(0)
+            + F.when(F.col("admission_type") == "Emergency", w["emergency"]).otherwise(0)
+            + F.when(X.lace_uncapped() > 10, w["lace_over_10"]).otherwise(0)
+            + F.coalesce(F.col("comorbidity_score"), F.lit(0)) * w["per_comorbidity"])
 
 
 def _predictive_tier(s):
-    return F.when(s >= 80, "High Risk").when(s >= 50, "Medium Risk").otherwise("Low Risk")
+    return X.ladder(s, ">=", FX.RISK_TIERS, FX.RISK_TIERS_ELSE)
 
 
 def predictive_risk(df: DataFrame) -> DataFrame:
@@ -49,10 +51,11 @@ def predictive_risk(df: DataFrame) -> DataFrame:
 
 def _risk_ladder():
     c, m, a = F.col("comorbidity_score"), F.col("missed_medications"), F.col("age")
-    return (F.when((c > 10) & (m > 3), "Critical Risk")
-             .when((c > 7) | (m > 2), "High Risk")
-             .when((c > 3) | (a > 75), "Moderate Risk")
-             .otherwise("Low Risk"))
+    critical, high, moderate, low = FX.RISK_LADDER
+    return (F.when((c > 10) & (m > 3), critical)
+             .when((c > 7) | (m > 2), high)
+             .when((c > 3) | (a > 75), moderate)
+             .otherwise(low))
 
 
 def risk_category(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import fixed as FX
 from ..functions.numeric import rdiv
 
 
@@ -57,7 +58,7 @@ def day_of_week_effect(df: DataFrame, pad: bool = False) -> DataFrame:
 
 def weekend_mix(df: DataFrame) -> DataFrame:
     iso = F.weekday("admission_date") + 1  # ISO day of week, Monday = 1
-    day_type = F.when(iso.isin(6, 7), "Weekend").otherwise("Weekday")
+    day_type = F.when(iso.isin(*FX.WEEKEND_ISO_DAYS), FX.DAY_TYPES[0]).otherwise(FX.DAY_TYPES[1])
     return (df.groupBy(day_type.alias("day_type"), "primary_diagnosis")
               .agg(F.count(F.lit(1)).alias("admissions"))
               .orderBy("day_type", F.col("admissions").desc()))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import expr as X
+from ..functions import fixed as FX
 from ..functions.numeric import money, rdiv
 from ..operators.order import OrderSpec, moving_frame, ntile, ordered
 from .intervals import patient_sequence
@@ -63,9 +64,9 @@ def los_outliers(enc: DataFrame, top: int = 20) -> DataFrame:
                                                F.count("length_of_stay").alias("_c"))
     j = e.join(bench, "primary_diagnosis")
     los, s, c = F.col("length_of_stay"), F.col("_s"), F.col("_c")
-    status = (F.when(los * c >= 2 * s, "Outlier (2x+)")
-               .when(2 * los * c >= 3 * s, "Extended Stay (1.5x+)")
-               .otherwise("Normal"))
+    status = (F.when(los * c >= 2 * s, FX.STAY_STATUS[0])
+               .when(2 * los * c >= 3 * s, FX.STAY_STATUS[1])
+               .otherwise(FX.STAY_STATUS[2]))
     out = j.select("id", "patient_id", "primary_diagnosis", "admission_date", "discharge_date", "length_of_stay",
                    rdiv(s, c, 1).alias("avg_benchmark"),
                    rdiv(los * c, s, 2).alias("stay_ratio"),
@@ -93,7 +94,8 @@ def bill_deviation(enc: DataFrame, rows: int = 10, limit: int | None = None) ->
     registered job keeps all rows."""
     m = _moving(enc, rows - 1)
     s, n, b = F.col("_win_sum__c"), F.col("_win_cnt__c"), F.col("_c")
-    status = (F.when(2 * b * n > 3 * s, "HIGH").when(2 * b * n < s, "LOW").otherwise("Normal"))
+    status = (F.when(2 * b * n > 3 * s, FX.BILL_STATUS[0]).when(2 * b * n < s, FX.BILL_STATUS[1])
+               .otherwise(FX.BILL_STATUS[2]))
     out = m.select("id", "admission_date", "admission_type", money(F.col(BILL)).alias(BILL),
                    rdiv(s, n * 100, 2).alias(f"moving_avg_{rows}"),
                    rdiv(b * n - s, n * 100, 2).alias("deviation_from_avg"),
@@ -110,14 +112,15 @@ def bill_delta(enc: DataFrame) -> DataFrame:
                       money(prev).alias("previous_bill"), money(F.col(BILL) - prev).alias("bill_change"))
 
 
-def bill_trends(enc: DataFrame, trend: str | None = "First Visit") -> DataFrame:
+def bill_trends(enc: DataFrame, trend: str | None = FX.TRENDS[0]) -> DataFrame:
     """Bill change against the previous visit with % change, trend label and
     visit number; ``trend`` filters on the label (None keeps all)."""
     t = patient_sequence(enc, lag=(BILL,)).select(
         "patient_id", "admission_date", F.col(BILL).alias("_b"), F.col(f"_prev_{BILL}").alias("_p"),
         F.col("_seq").alias("visit_number"))
     b, p = F.col("_b"), F.col("_p")
-    label = (F.when(p.isNull(), "First Visit").when(b > p, "Increasing").when(b < p, "Decreasing").otherwise("Same"))
+    first, up, down, same = FX.TRENDS
+    label = F.when(p.isNull(), first).when(b > p, up).when(b < p, down).otherwise(same)
     out = t.select("patient_id", "admission_date", money(b).alias(BILL), money(p).alias("previous_bill"),
                    money(b - p).alias("bill_change"),
                    rdiv((b * 100 - p * 100).cast("bigint") * 100, (p * 100).cast("bigint"), 2).alias("pct_change"),
@@ -254,8 +257,9 @@ def bill_zscore(enc: DataFrame) -> DataFrame:
                    F.nullif(F.sqrt(F.greatest(var, F.lit(0.0))), F.lit(0.0)).alias("_sd_c"))
     j = e.crossJoin(F.broadcast(st))  # one row
     z = (F.col("_c") - F.col("_mean_c")) / F.col("_sd_c")
-    band = (F.when(z > 3, "Extreme Outlier (3σ+)").when(z > 2, "Moderate Outlier (2σ+)")
-             .when(z > 1, "Above Average (1σ+)").when(z < -1, "Below Average (-1σ)").otherwise("Normal Range"))
+    extreme, moderate, above, below, normal = FX.Z_BANDS
+    band = (F.when(z > 3, extreme).when(z > 2, moderate).when(z > 1, above).when(z < -1, below)
+             .otherwise(normal))
     return (j.select("patient_id", money(F.col(BILL)).alias(BILL),
                      rdiv(F.col("_s"), F.col("_n") * 100, 2).alias("population_mean"),
                      (F.round(F.col("_sd_c") / 100, 2) + F.lit(0.0)).alias("standard_deviation"),
