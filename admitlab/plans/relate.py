@@ -64,3 +64,20 @@ def patient_lookup(enc: DataFrame, patient_id: str) -> DataFrame:
     if m:
         cond = (F.col("patient_key") == int(m.group(1))) & cond
     return enc.filter(cond)
+
+
+def referral_chain_sql(doctors: DataFrame, start_id: int) -> DataFrame:
+    """The same walk as Spark SQL's recursive CTE (Spark 4.1+).  Spark runs
+    one join per level up to its recursion limit (100 levels by default) and
+    has no cycle guard: a cycle fails at the limit, where ``referral_chain``
+    stops at the repeated node."""
+    view = f"_referral_doctors_{abs(hash((id(doctors), start_id)))}"
+    doctors.createOrReplaceTempView(view)
+    return doctors.sparkSession.sql(f"""
+        WITH RECURSIVE chain AS (
+          SELECT doctor_id, name, specialty, referred_by_id, 1 AS level
+          FROM {view} WHERE doctor_id = {int(start_id)}
+          UNION ALL
+          SELECT d.doctor_id, d.name, d.specialty, d.referred_by_id, rc.level + 1
+          FROM {view} d JOIN chain rc ON d.doctor_id = rc.referred_by_id)
+        SELECT * FROM chain""")

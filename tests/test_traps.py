@@ -137,3 +137,12 @@ def test_append_log(spark, tmp_path):
     changes.append_log(changes.bill_audit(old, new), path)
     rows = spark.read.parquet(path).collect()
     assert len(rows) == 2 and {(r["old_amount"], r["new_amount"]) for r in rows} == {(10.0, 12.0)}
+
+
+def test_referral_chain_sql_equals_loop(spark):
+    from admitlab.sources.tables import referral_tree
+    from conftest import SF_SMALL
+    tree = referral_tree(spark, SF_SMALL)
+    a = sorted(tuple(r) for r in relate.referral_chain(tree, 137).collect())
+    b = sorted(tuple(r) for r in relate.referral_chain_sql(tree, 137).collect())
+    assert a == b and [r[0] for r in sorted(a, key=lambda t: t[-1])] == [137, 68, 34, 17, 8, 4, 2, 1, 0]
