@@ -24,7 +24,9 @@ def rdiv(num: Column, den: Column, digits: int) -> Column:
     d2 = (d * 2).cast(_BIG)
     # integer division without a lossy decimal quotient: (q - q mod d2) / d2 is exact
     whole = ((q - q % d2).cast(_BIG) / d2).cast(_BIG)
-    return (F.signum(n) * whole.cast("double")) / F.lit(float(s))
+    # sign applied to the integer: a negative value rounding to 0 gives 0.0, never -0.0
+    signed = F.when(n < 0, -whole).otherwise(whole)
+    return signed.cast("double") / F.lit(float(s))
 
 
 def scaled_sum(col: Column, scale: int) -> Column:

@@ -27,6 +27,7 @@ def test_job_matches_oracle(spark, con, key):
     r = compare(key, JOBS[key](spark, SF_SMALL), con, SQL[key])
     assert r.ok, r.detail
     assert r.exact, "values equal only within tolerance"
+    assert r.types_ok, r.types
 
 
 def test_entry_smoke(spark):

@@ -36,7 +36,9 @@ def main() -> int:
                 print(f"NOSQL {key:32s} rows={n} {time.time()-t:.1f}s")
                 continue
             r = compare(key, df, con, sqls[key])
-            tag = "OK   " if r.ok and r.exact else ("OK~  " if r.ok else "FAIL ")
+            tag = "OK   " if r.ok and r.exact and r.types_ok else ("OK~  " if r.ok else "FAIL ")
+            if r.ok and not r.types_ok:
+                r.detail = f"types: {r.types}"
             if not r.ok:
                 bad += 1
             print(f"{tag}{key:32s} rows={r.spark_rows}/{r.oracle_rows} {time.time()-t:.1f}s {r.detail}")
