@@ -124,7 +124,7 @@ def plan_order(df: DataFrame, spec: OrderSpec, n_buckets: int | None = None,
 def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
             n_buckets: int | None = None, rows_per_bucket: int = 5_000_000,
             max_buckets: int = 100_000, plan: OrderPlan | None = None,
-            keep_ranges: bool = False) -> DataFrame:
+            keep_ranges: bool = False, materialize: bool = False) -> DataFrame:
     """``df`` plus the global order columns:
 
     ``_rn`` row number, ``_rank``, ``_dense_rank``, ``_le`` (rows up to the end
@@ -135,7 +135,17 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
     non-NULL values in the RANGE frame.
 
     Planning (``plan_order``) is one small job in the common case; the plan
-    itself has one exchange for the rows (hash-partitioned by range)."""
+    itself has one exchange for the rows (hash-partitioned by range).  The
+    input is read by both; when it is an expensive derivation (a large join),
+    ``materialize=True`` first checkpoints it to the shared checkpoint folder
+    so both read the stored rows - pass a narrow projection.
+
+    Ties are detected on the value as a double, so splitting a tied value by
+    id ranges assumes distinct values stay distinct as doubles (integers,
+    dates, decimals below 2**53 in their last digit); any value order is kept
+    either way."""
+    if materialize and plan is None:
+        df = df.checkpoint(eager=True)
     v, tb = spec.value, spec.tiebreak
     vd = "_vd"
     base = df.withColumn(vd, _as_double(df, v))

@@ -70,3 +70,10 @@ def test_no_single_partition_exchange(spark):
     df = _data(spark, 200, 50, 0.1, 9)
     plan = ordered(df, OrderSpec("v", "id"), n_buckets=4)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0] or "rangepartitioning" not in plan
+
+
+def test_materialized_input(spark):
+    df = _data(spark, 120, 20, 0.1, 3)
+    a = ordered(df, OrderSpec("v", "id"), n_buckets=3, materialize=True)
+    b = ordered(df, OrderSpec("v", "id"), n_buckets=3)
+    assert sorted((r["id"], r["_rn"]) for r in a.collect()) == sorted((r["id"], r["_rn"]) for r in b.collect())
