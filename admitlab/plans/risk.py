@@ -96,3 +96,15 @@ def high_risk_list(df: DataFrame) -> DataFrame:
     return (df.filter((F.col("comorbidity_score") > 10) & (F.col("missed_medications") > 3))
               .select("patient_id", "age", "comorbidity_score", "primary_diagnosis", "missed_medications")
               .orderBy(F.col("comorbidity_score").desc()))
+
+
+def register_sql_functions(spark) -> None:
+    """Make the scalar LACE function callable from SQL, as in the reference:
+    a SQL function (Spark 4+), inlined by the analyzer into the query plan,
+    so it stays in whole-stage codegen like ``expr.calculate_lace``."""
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION calculate_lace(
+            len_stay INT, is_emergency BOOLEAN, comorb_score INT, ed_visits INT)
+        RETURNS INT
+        RETURN CASE WHEN len_stay >= 14 THEN 7 WHEN len_stay >= 7 THEN 5 ELSE len_stay END
+               + CASE WHEN is_emergency THEN 3 ELSE 0 END + comorb_score + ed_visits""")

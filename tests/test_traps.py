@@ -147,3 +147,18 @@ def test_referral_chain_sql_equals_loop(spark):
     a = sorted(tuple(r) for r in relate.referral_chain(tree, 137).collect())
     b = sorted(tuple(r) for r in relate.referral_chain_sql(tree, 137).collect())
     assert a == b and [r[0] for r in sorted(a, key=lambda t: t[-1])] == [137, 68, 34, 17, 8, 4, 2, 1, 0]
+
+
+def test_sql_lace_function_equals_expression(spark):
+    from admitlab.plans import risk
+    from admitlab.sources.tables import encounters
+    from conftest import SF_SMALL
+    risk.register_sql_functions(spark)
+    enc = encounters(spark, SF_SMALL)
+    enc.createOrReplaceTempView("enc_for_lace")
+    sql = spark.sql("""SELECT id, calculate_lace(datediff(discharge_date, admission_date),
+                              admission_type = 'Emergency', comorbidity_score, previous_admissions_12m) AS s
+                       FROM enc_for_lace""")
+    a = {r["id"]: r["s"] for r in sql.collect()}
+    b = {r["id"]: r["lace_score"] for r in risk.lace_score(enc).collect()}
+    assert a == b and any(v is None for v in a.values())
