@@ -252,22 +252,24 @@ def revenue_pareto(df: DataFrame, threshold: float = 80.0) -> DataFrame:
     return out.filter(F.col("cumulative_pct") <= threshold)
 
 
-def _top_driver(df: DataFrame) -> DataFrame:
-    return (df.groupBy("primary_diagnosis").agg(F.count(F.lit(1)).alias("_n"))
-              .orderBy(F.col("_n").desc(), F.col("primary_diagnosis")).limit(1)
-              .select(F.col("primary_diagnosis").alias("top_driver")))
-
-
 def executive_dashboard(df: DataFrame, wide: bool = False) -> DataFrame:
-    """One row of headline numbers.  The scalars come from ONE aggregate; the
-    top diagnosis is a 1-row top-k; the two 1-row results are cross joined."""
-    aggs = [money(F.sum(F.col("total_bill_amount"))).alias("total_revenue"),
-            F.count(F.lit(1)).alias("total_patients"),
-            _rate(2).alias("readmission_pct")]
+    """One row of headline numbers, from a two-level aggregate and no join:
+    per diagnosis (partial, map-side) the counts and sums, then over those
+    few rows the totals and the most frequent diagnosis (``min_by`` over
+    (-count, name): ties go to the first name)."""
+    bill, flag = F.col("total_bill_amount"), F.col("readmitted_30_days")
+    icu, los = F.col("icu_utilization_ratio"), X.length_of_stay()
+    per = df.groupBy("primary_diagnosis").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(bill).alias("_rev"),
+        F.sum(flag).alias("_flag"), F.count(flag).alias("_nflag"),
+        F.sum((icu * 10000).cast("decimal(18,0)")).alias("_icu"), F.count(icu).alias("_nicu"),
+        F.sum(los).alias("_los"), F.count(los).alias("_nlos"))
+    n_flag = F.sum("_nflag")
+    aggs = [money(F.sum("_rev")).alias("total_revenue"),
+            F.sum("_n").alias("total_patients"),
+            rdiv(F.sum("_flag") * 100, n_flag, 2).alias("readmission_pct")]
     if wide:
-        icu = F.col("icu_utilization_ratio")
-        los = X.length_of_stay()
-        aggs += [rdiv(scaled_sum(icu, 4) * 100, F.count(icu) * 10000, 2).alias("icu_utilization_pct"),
-                 rdiv(F.sum(los), F.count(los), 1).alias("avg_los")]
-    scalars = df.agg(*aggs)
-    return scalars.crossJoin(_top_driver(df))
+        aggs += [rdiv(F.sum("_icu") * 100, F.sum("_nicu") * 10000, 2).alias("icu_utilization_pct"),
+                 rdiv(F.sum("_los"), F.sum("_nlos"), 1).alias("avg_los")]
+    aggs.append(F.min_by("primary_diagnosis", F.struct(-F.col("_n"), F.col("primary_diagnosis"))).alias("top_driver"))
+    return per.agg(*aggs)

@@ -244,25 +244,29 @@ def top1_patients(enc: DataFrame) -> DataFrame:
 def bill_zscore(enc: DataFrame) -> DataFrame:
     """z-score of every bill against the mean and sample standard deviation.
 
-    Sums are taken in whole cents (exact), the variance formula then runs in
-    double on those exact sums; the 1-row statistics are broadcast."""
+    One aggregate gives three exact numbers (count, sum and sum of squares of
+    the bills in whole cents); they enter the row-level plan as literals, so
+    the rows need no join.  The variance formula then runs in double on those
+    exact sums."""
     e = enc.filter(F.col(BILL).isNotNull()).withColumn("_c", _cents())
     c = F.col("_c").cast("decimal(38,0)")
-    st = e.agg(F.count(F.lit(1)).alias("_n"), F.sum(c).alias("_s"), F.sum(c * c).alias("_q"))
-    n, s, q = F.col("_n").cast("double"), F.col("_s").cast("double"), F.col("_q").cast("double")
+    st = e.agg(F.count(F.lit(1)).alias("n"), F.sum(c).alias("s"), F.sum(c * c).alias("q")).first()
+    n_i = int(st["n"])
+    s_i = int(st["s"]) if st["s"] is not None else 0
+    q_i = int(st["q"]) if st["q"] is not None else 0
+    n, s, q = (F.lit(n_i).cast("double"), F.lit(s_i).cast("decimal(38,0)").cast("double"),
+               F.lit(q_i).cast("decimal(38,0)").cast("double"))
+    mean_c = s / n
     # sample sd: NULL for fewer than two bills; a zero sd gives NULL z-scores
-    var = F.when(F.col("_n") > 1, (q - s * s / n) / (n - 1))
-    st = st.select("_n", "_s",
-                   (s / n).alias("_mean_c"),
-                   F.nullif(F.sqrt(F.greatest(var, F.lit(0.0))), F.lit(0.0)).alias("_sd_c"))
-    j = e.crossJoin(F.broadcast(st))  # one row
-    z = (F.col("_c") - F.col("_mean_c")) / F.col("_sd_c")
+    var = F.when(F.lit(n_i) > 1, (q - s * s / n) / (n - 1))
+    sd_c = F.nullif(F.sqrt(F.greatest(var, F.lit(0.0))), F.lit(0.0))
+    z = (F.col("_c") - mean_c) / sd_c
     extreme, moderate, above, below, normal = FX.Z_BANDS
     band = (F.when(z > 3, extreme).when(z > 2, moderate).when(z > 1, above).when(z < -1, below)
              .otherwise(normal))
-    return (j.select("patient_id", money(F.col(BILL)).alias(BILL),
-                     rdiv(F.col("_s"), F.col("_n") * 100, 2).alias("population_mean"),
-                     (F.round(F.col("_sd_c") / 100, 2) + F.lit(0.0)).alias("standard_deviation"),
+    return (e.select("patient_id", money(F.col(BILL)).alias(BILL),
+                     rdiv(F.lit(s_i).cast("decimal(38,0)"), F.lit(n_i * 100), 2).alias("population_mean"),
+                     (F.round(sd_c / 100, 2) + F.lit(0.0)).alias("standard_deviation"),
                      (F.round(z, 2) + F.lit(0.0)).alias("z_score"),
                      band.alias("outlier_status"))
              .orderBy(F.col("z_score").desc()))
