@@ -177,13 +177,11 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
     # hot value, 2 later piece
     b2 = F.lit(0)
     hp = F.lit(0)
-    is_hot = F.lit(False)
     if null_split and null_split[2] > 1:
         lo, hi, m = null_split
         p = piece(lo, hi, m)
         b2 = F.when(F.col(vd).isNull(), p).otherwise(b2)
         hp = F.when(F.col(vd).isNull(), F.when(p == 0, 1).otherwise(2)).otherwise(hp)
-        is_hot = is_hot | F.col(vd).isNull()
     major_hot = []
     for h, (lo, hi, m) in hot_info.items():
         eq = F.col(vd) == F.lit(h)
@@ -195,7 +193,6 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
         idx = distinct_cuts.index(h) + 1  # bucket i covers [splits[i], splits[i+1])
         major_hot.append((idx, inside))
         hp = F.when(eq, F.when(p == 0, 1).otherwise(2)).otherwise(hp)
-        is_hot = is_hot | eq
     for idx, inside in major_hot:
         b2 = F.when(F.col(vd).isNotNull() & (major == idx), inside).otherwise(b2)
     b = b.withColumn("_b1", b1).withColumn("_b2", b2.cast("int")).withColumn("_hp", hp.cast("int")).drop("_major")
@@ -221,13 +218,14 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
                   .withColumn(f"_lsg_{s}", F.sum(s).over(w_val_range))
                   .withColumn(f"_lcg_{s}", F.count(s).over(w_val_range)))
 
-    # -- per-range table (<= number of ranges rows) and its offsets
-    st_aggs = [F.count(F.lit(1)).alias("_bc"),
-               (F.count_distinct(F.col(v)) + F.max(F.when(F.col(v).isNull(), 1).otherwise(0))).alias("_bd"),
-               F.max("_hp").alias("_bhp")]
+    # -- per-range table (<= number of ranges rows) and its offsets.  It is
+    # aggregated from the local windows, whose rows are already partitioned by
+    # range: no further exchange; rows and distinct values per range are the
+    # largest local row number and dense rank.
+    st_aggs = [F.max("_lrn").alias("_bc"), F.max("_ldense").alias("_bd"), F.max("_hp").alias("_bhp")]
     for s in sums:
         st_aggs += [F.sum(s).alias(f"_bs_{s}"), F.count(s).alias(f"_bn_{s}")]
-    st = b.groupBy("_b1", "_b2").agg(*st_aggs)
+    st = loc.groupBy("_b1", "_b2").agg(*st_aggs)
     wo = Window.orderBy("_b1", "_b2")  # over the range table only
     before = wo.rowsBetween(Window.unboundedPreceding, -1)
     dadj = F.when(F.col("_bhp") == 2, 0).otherwise(F.col("_bd"))
