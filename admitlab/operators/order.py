@@ -124,10 +124,11 @@ def plan_order(df: DataFrame, spec: OrderSpec, n_buckets: int | None = None,
 def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
             n_buckets: int | None = None, rows_per_bucket: int = 5_000_000,
             max_buckets: int = 100_000, plan: OrderPlan | None = None,
-            keep_ranges: bool = False, materialize: bool = False) -> DataFrame:
+            keep_ranges: bool = False, materialize: bool = False, dense: bool = False) -> DataFrame:
     """``df`` plus the global order columns:
 
-    ``_rn`` row number, ``_rank``, ``_dense_rank``, ``_le`` (rows up to the end
+    ``_rn`` row number, ``_rank``, ``_dense_rank`` (only with ``dense=True``),
+    ``_le`` (rows up to the end
     of the row's tie group: ``cume_dist = _le / _n``), ``_n`` (rows), and for
     every column s in ``sums``: ``_rows_<s>`` (running sum, ROWS frame) and
     ``_range_<s>`` (running sum, RANGE frame: ties share), NULL while no
@@ -218,14 +219,20 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
                   .withColumn(f"_lsg_{s}", F.sum(s).over(w_val_range))
                   .withColumn(f"_lcg_{s}", F.count(s).over(w_val_range)))
 
-    # -- per-range table (<= number of ranges rows) and its offsets.  It is
-    # aggregated from the local windows, whose rows are already partitioned by
-    # range: no further exchange; rows and distinct values per range are the
-    # largest local row number and dense rank.
-    st_aggs = [F.max("_lrn").alias("_bc"), F.max("_ldense").alias("_bd"), F.max("_hp").alias("_bhp")]
+    # -- per-range table (<= number of ranges rows) and its offsets.  Counts
+    # and sums are a partial aggregate of the rows (one row per range and
+    # task is shuffled).  Dense ranks also need distinct values per range:
+    # then the table is aggregated from the local windows (already
+    # partitioned by range), their largest row number and dense rank.
+    sum_aggs = []
     for s in sums:
-        st_aggs += [F.sum(s).alias(f"_bs_{s}"), F.count(s).alias(f"_bn_{s}")]
-    st = loc.groupBy("_b1", "_b2").agg(*st_aggs)
+        sum_aggs += [F.sum(s).alias(f"_bs_{s}"), F.count(s).alias(f"_bn_{s}")]
+    if dense:
+        st = loc.groupBy("_b1", "_b2").agg(F.max("_lrn").alias("_bc"), F.max("_ldense").alias("_bd"),
+                                           F.max("_hp").alias("_bhp"), *sum_aggs)
+    else:
+        st = b.groupBy("_b1", "_b2").agg(F.count(F.lit(1)).alias("_bc"), F.lit(0).alias("_bd"),
+                                         F.max("_hp").alias("_bhp"), *sum_aggs)
     wo = Window.orderBy("_b1", "_b2")  # over the range table only
     before = wo.rowsBetween(Window.unboundedPreceding, -1)
     dadj = F.when(F.col("_bhp") == 2, 0).otherwise(F.col("_bd"))
@@ -268,7 +275,7 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
         out = (out.withColumn(f"_rows_{s}", F.when(rows_n > 0, rows_s))
                   .withColumn(f"_range_{s}", F.when(rng_n > 0, rng_s))
                   .withColumn(f"_rangen_{s}", rng_n))
-    keep = list(df.columns) + ["_rn", "_rank", "_dense_rank", "_le", "_n"]
+    keep = list(df.columns) + ["_rn", "_rank", "_le", "_n"] + (["_dense_rank"] if dense else [])
     if keep_ranges:  # the range key, for balance checks
         keep += ["_b1", "_b2"]
     for s_ in sums:

@@ -33,7 +33,7 @@ def test_matches_spark(spark, case, desc):
     n, n_vals, null_frac, buckets, hot = case
     df = _data(spark, n, n_vals, null_frac, n + buckets, hot)
     spec = OrderSpec("v", "id", descending=desc)
-    got = ordered(df, spec, sums=("x",), n_buckets=buckets)
+    got = ordered(df, spec, sums=("x",), n_buckets=buckets, dense=True)
     vo = F.col("v").desc_nulls_first() if desc else F.col("v").asc_nulls_last()
     w = Window.orderBy(vo, F.col("id"))
     wv = Window.orderBy(vo)
