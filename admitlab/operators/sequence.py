@@ -105,6 +105,8 @@ def sequence(df: DataFrame, key: str, date_col: str, tiebreak: str,
     for c in range_sums:
         o = o.withColumn(f"_cum_{c}", F.col(f"_range_{c}") - F.col(f"_kb_{c}"))
 
+    if not lag_cols and not lead_cols:  # no neighbour values needed: no blocks
+        return cold.unionByName(o.select(*cold.columns))
     try:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # noqa: BLE001

@@ -127,7 +127,10 @@ def drop_duplicate_encounters(df: DataFrame) -> DataFrame:
     any size costs one row per task; the rows are then kept by a semi join on
     (patient_key, admission_date, id).  Both sides are already partitioned by
     patient_key when the encounter join is a shuffle join, and adaptive
-    execution splits a skewed patient's partition."""
+    execution splits a skewed patient's partition.  With Spark's default
+    ``spark.sql.requireAllClusterKeysForCoPartition`` the semi join still
+    re-partitions on all three keys (one more exchange); a window per
+    (patient, day) would avoid it but would put a hot patient into one task."""
     keep = df.groupBy("patient_key", "admission_date").agg(F.min("id").alias("id"))
     return df.join(keep, ["patient_key", "admission_date", "id"], "left_semi")
 
