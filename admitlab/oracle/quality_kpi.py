@@ -11,23 +11,28 @@ def rate(d):
     return rdiv("SUM(readmitted_30_days) * 100", "COUNT(readmitted_30_days)", d)
 
 
-# Column order and Spark type names of the encounter table (fixed schema).
+# Column order, Spark type names and nullability of the encounter table
+# (its schema as Spark declares it: CASE expressions over literals only are
+# NOT NULL, everything read from Parquet is nullable).
 ENC_SCHEMA = [
-    ("id", "bigint"), ("patient_key", "bigint"), ("patient_id", "string"), ("age", "int"),
-    ("gender", "string"), ("admission_date", "date"), ("discharge_date", "date"),
-    ("household_income", "decimal(12,2)"), ("insurance_type", "string"), ("insurance_raw", "string"),
-    ("primary_diagnosis", "string"), ("comorbidity_score", "int"), ("icu_utilization_ratio", "decimal(5,4)"),
-    ("missed_medications", "int"), ("total_bill_amount", "decimal(12,2)"),
-    ("out_of_pocket_ratio", "decimal(5,4)"), ("readmitted_30_days", "int"), ("hospital_region", "string"),
-    ("hospital_type", "string"), ("discharge_disposition", "string"), ("admission_type", "string"),
-    ("previous_admissions_12m", "int"),
+    ("id", "bigint", "YES"), ("patient_key", "bigint", "YES"), ("patient_id", "string", "YES"),
+    ("age", "int", "YES"), ("gender", "string", "NO"), ("admission_date", "date", "YES"),
+    ("discharge_date", "date", "YES"), ("household_income", "decimal(12,2)", "YES"),
+    ("insurance_type", "string", "NO"), ("insurance_raw", "string", "NO"),
+    ("primary_diagnosis", "string", "YES"), ("comorbidity_score", "int", "YES"),
+    ("icu_utilization_ratio", "decimal(5,4)", "YES"), ("missed_medications", "int", "YES"),
+    ("total_bill_amount", "decimal(12,2)", "YES"), ("out_of_pocket_ratio", "decimal(5,4)", "YES"),
+    ("readmitted_30_days", "int", "NO"), ("hospital_region", "string", "YES"),
+    ("hospital_type", "string", "NO"), ("discharge_disposition", "string", "NO"),
+    ("admission_type", "string", "NO"), ("previous_admissions_12m", "int", "YES"),
 ]
 
 
 def _profile_sql() -> str:
     parts = []
-    for i, (c, t) in enumerate(ENC_SCHEMA):
+    for i, (c, t, nullable) in enumerate(ENC_SCHEMA):
         parts.append(f"SELECT CAST({i + 1} AS INTEGER) AS ordinal_position, '{c}' AS column_name, '{t}' AS data_type, "
+                     f"'{nullable}' AS is_nullable, "
                      f"COUNT(*) AS row_count, CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS null_count, "
                      f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS distinct_count FROM enc")
     return H + "\nUNION ALL\n".join(parts)

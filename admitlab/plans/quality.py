@@ -11,8 +11,8 @@ from ..functions.numeric import money, rdiv
 
 
 def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """Per column in schema order: position, name, Spark type, rows, NULLs,
-    distinct values (the catalogue query re-aimed at the data).
+    """Per column in schema order: position, name, Spark type, nullability
+    (the catalogue query), plus rows, NULLs and distinct values from the data.
 
     Row and NULL counts are one aggregate.  Distinct counts unpivot the table
     into narrow (column, value-as-text) rows, de-duplicate them with a partial
@@ -20,10 +20,11 @@ def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     columns instead of one wide row copy per column.  ``exact_distinct=False``
     uses HyperLogLog++ sketches instead (one pass, no exchange of values)."""
     cols = df.columns
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    fields = {f.name: f for f in df.schema.fields}
     meta = df.sparkSession.createDataFrame(
-        [(i + 1, c, types[c]) for i, c in enumerate(cols)],
-        "ordinal_position int, column_name string, data_type string")
+        [(i + 1, c, fields[c].dataType.simpleString(), "YES" if fields[c].nullable else "NO")
+         for i, c in enumerate(cols)],
+        "ordinal_position int, column_name string, data_type string, is_nullable string")
     nulls = df.agg(F.count(F.lit(1)).alias("row_count"),
                    *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
     nulls = nulls.selectExpr("row_count", f"stack({len(cols)}, " + ", ".join(
@@ -42,7 +43,8 @@ def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
             f"'{c}', _d{i}" for i, c in enumerate(cols)) + ") AS (column_name, distinct_count)")
     # three tables of one row per column: small joins
     return (meta.join(nulls, "column_name").join(distinct, "column_name")
-                .select("ordinal_position", "column_name", "data_type", F.col("row_count").cast("bigint"),
+                .select("ordinal_position", "column_name", "data_type", "is_nullable",
+                        F.col("row_count").cast("bigint"),
                         F.col("null_count").cast("bigint"), F.col("distinct_count").cast("bigint")))
 
 
