@@ -64,9 +64,13 @@ def weekend_mix(df: DataFrame) -> DataFrame:
               .orderBy("day_type", F.col("admissions").desc()))
 
 
-def seasonal_months(df: DataFrame) -> DataFrame:
-    return (df.groupBy(F.month("admission_date").alias("month"),
-                       F.date_format("admission_date", "MMMM").alias("month_name"))
+def seasonal_months(df: DataFrame, pad: bool = False) -> DataFrame:
+    """Month number and name (trimmed; ``pad=True`` pads to 9 characters like
+    TO_CHAR(d, 'Month')): admissions and readmission rate."""
+    name = F.date_format("admission_date", "MMMM")
+    if pad:
+        name = F.rpad(name, 9, " ")
+    return (df.groupBy(F.month("admission_date").alias("month"), name.alias("month_name"))
               .agg(F.count(F.lit(1)).alias("admissions"), _rate(1).alias("readmission_rate"))
               .orderBy("month"))
 

@@ -162,3 +162,11 @@ def test_sql_lace_function_equals_expression(spark):
     a = {r["id"]: r["s"] for r in sql.collect()}
     b = {r["id"]: r["lace_score"] for r in risk.lace_score(enc).collect()}
     assert a == b and any(v is None for v in a.values())
+
+
+def test_to_char_padding(spark):
+    from admitlab.plans import timeline
+    df = spark.createDataFrame([(dt.date(2021, 5, 3), 1)], "admission_date date, readmitted_30_days int")
+    assert timeline.seasonal_months(df, pad=True).first()["month_name"] == "May      "
+    assert timeline.day_of_week_effect(df, pad=True).first()["day_of_week"] == "Monday   "
+    assert timeline.seasonal_months(df).first()["month_name"] == "May"
