@@ -32,6 +32,11 @@ _DAY_SHIFT = 1 << 21  # dates before 1970 stay positive
 _HOT_MEMO: dict = {}
 
 
+def clear_hot_keys() -> None:
+    """Forget remembered hot-key lists (after the input data changed)."""
+    _HOT_MEMO.clear()
+
+
 def hot_keys(df: DataFrame, key: str, max_rows_per_key: int) -> list:
     """Keys with more than ``max_rows_per_key`` rows (exact), found with one
     count, one frequent-items pass and one filtered count of the candidates.
