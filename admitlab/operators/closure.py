@@ -48,8 +48,7 @@ def walk_up(nodes: DataFrame, start: DataFrame, node_col: str, parent_col: str,
         # the frontier is written to the shared checkpoint folder: the next
         # step reads it instead of recomputing all earlier joins
         step = step.checkpoint(eager=True)
-        if step.isEmpty():
-            break
+        # an empty level has no parents: the next pass ends the walk
         result = result.unionByName(step)
         frontier = step
     return result.drop("_path")
