@@ -52,3 +52,40 @@ def walk_up(nodes: DataFrame, start: DataFrame, node_col: str, parent_col: str,
         result = result.unionByName(step)
         frontier = step
     return result.drop("_path")
+
+
+def roots(nodes: DataFrame, node_col: str, parent_col: str, max_rounds: int = 64) -> DataFrame:
+    """Top-level ancestor and depth of EVERY node (pointer doubling).
+
+    Each node keeps a pointer ``up`` (its parent; a root points to itself)
+    and the distance ``d`` to it.  Every round replaces the pointer by the
+    pointer's pointer (one join of the table with itself on ``up = node``)
+    and adds the distances, so after k rounds a node has jumped 2^k levels:
+    a tree of depth D needs about log2(D) joins instead of D.  Rounds stop
+    when no pointer moves (or after ``max_rounds``); each round is
+    checkpointed to the shared folder.  A root is a node without a parent in
+    the table; a node whose pointer does not end on a root (it is in, or
+    leads into, a cycle) gets a NULL root and depth.
+
+    Output: node, root, depth (a root has depth 0)."""
+    n, p = F.col(node_col), F.col(parent_col)
+    ids = nodes.select(n.alias("_pid"))
+    # a parent missing from the table ends the chain like a NULL parent
+    base = nodes.join(ids, p == F.col("_pid"), "left").select(n.alias("node"), F.col("_pid").alias("parent"))
+    cur = base.select("node", F.coalesce("parent", "node").alias("up"),
+                      F.when(F.col("parent").isNull(), 0).otherwise(1).alias("d"),
+                      F.col("parent").isNull().alias("is_root")).checkpoint(eager=True)
+    for _ in range(max_rounds):
+        nxt = (cur.alias("a").join(cur.alias("b"), F.col("a.up") == F.col("b.node"))
+                  .select(F.col("a.node").alias("node"), F.col("b.up").alias("up"),
+                          (F.col("a.d") + F.col("b.d")).alias("d"), F.col("a.is_root").alias("is_root"),
+                          (F.col("b.up") != F.col("a.up")).alias("_moved")))
+        nxt = nxt.checkpoint(eager=True)
+        cur = nxt.drop("_moved")
+        if nxt.filter("_moved").isEmpty():
+            break
+    top = cur.alias("a").join(cur.select(F.col("node").alias("_r"), F.col("is_root").alias("_ok")),
+                              F.col("a.up") == F.col("_r"))
+    ok = F.col("_ok")
+    return top.select(F.col("a.node").alias(node_col), F.when(ok, F.col("a.up")).alias("root"),
+                      F.when(ok, F.col("a.d")).alias("depth"))

@@ -170,3 +170,19 @@ def test_to_char_padding(spark):
     assert timeline.seasonal_months(df, pad=True).first()["month_name"] == "May      "
     assert timeline.day_of_week_effect(df, pad=True).first()["day_of_week"] == "Monday   "
     assert timeline.seasonal_months(df).first()["month_name"] == "May"
+
+
+def test_roots_by_pointer_doubling(spark):
+    from admitlab.operators.closure import roots, walk_up
+    from admitlab.sources.tables import referral_tree
+    from conftest import SF_SMALL
+    tree = referral_tree(spark, SF_SMALL)
+    got = {r["doctor_id"]: (r["root"], r["depth"]) for r in roots(tree, "doctor_id", "referred_by_id").collect()}
+    assert len(got) == tree.count()
+    for start in (0, 1, 137, 199):
+        chain = walk_up(tree, tree.filter(F.col("doctor_id") == start), "doctor_id", "referred_by_id").collect()
+        top = max(chain, key=lambda r: r["level"])
+        assert got[start] == (top["doctor_id"], top["level"] - 1)
+    cyc = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (4, None)], "doctor_id long, referred_by_id long")
+    got2 = {r["doctor_id"]: (r["root"], r["depth"]) for r in roots(cyc, "doctor_id", "referred_by_id", 8).collect()}
+    assert got2[4] == (4, 0) and got2[1] == (None, None) and got2[3] == (None, None)
