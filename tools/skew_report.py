@@ -1,5 +1,6 @@
 """Measure task skew from Spark's event log: plain per-patient window versus
-the hot-key split, on encounters where one patient holds a third of the rows.
+the hot-key split, on encounters where one patient holds a third of the rows;
+and a global ROW_NUMBER without PARTITION BY versus the bucketed order.
 
 usage: python tools/skew_report.py [sf_dir] [scratch_dir]   -> writes SKEW.md
 
@@ -22,6 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.window import Window  # noqa: E402
 
+from admitlab.operators.order import OrderSpec, ordered  # noqa: E402
 from admitlab.operators.sequence import sequence  # noqa: E402
 from admitlab.session import get_spark  # noqa: E402
 from admitlab.sources.tables import encounters  # noqa: E402
@@ -47,6 +49,12 @@ def main() -> None:
     limit = max(1000, n // 100)
     sequence(skewed, "patient_key", "admission_date", "id", ("discharge_date",), max_rows_per_key=limit) \
         .write.format("noop").mode("overwrite").save()
+    bills = enc.select("id", "total_bill_amount")
+    sc.setJobDescription("global-plain")
+    bills.withColumn("_rn", F.row_number().over(Window.orderBy("total_bill_amount", "id"))) \
+        .write.format("noop").mode("overwrite").save()
+    sc.setJobDescription("global-bucketed")
+    ordered(bills, OrderSpec("total_bill_amount", "id")).write.format("noop").mode("overwrite").save()
     sc.setJobDescription(None)
     app = sc.applicationId
     spark.stop()
@@ -76,7 +84,7 @@ def main() -> None:
              "| Run | Stage | Tasks | Largest task | Median task |", "| --- | --- | --- | --- | --- |"]
     for sid in sorted(per_stage):
         label = stage_label.get(sid)
-        if label not in ("plain", "split"):
+        if label not in ("plain", "split", "global-plain", "global-bucketed"):
             continue
         r = per_stage[sid]
         if sum(r) < n // 100:  # planning jobs (counts, sketches): not data stages
@@ -85,7 +93,9 @@ def main() -> None:
     lines += ["", "`plain` is `Window.partitionBy(patient_key)`: the patient's third of the rows is read by one",
               "task.  `split` is `operators.sequence`: ordinary patients keep the plain window, the hot",
               "patient's rows go through the bucketed order (value ranges, then blocks with a one-row",
-              "halo), so no task reads more than about its share.", ""]
+              "halo), so no task reads more than about its share.  `global-plain` is",
+              "`row_number() OVER (ORDER BY bill, id)` without PARTITION BY (one task reads every row);",
+              "`global-bucketed` is `operators.order.ordered` on the same order.", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "SKEW.md"), "w") as f:
         f.write("\n".join(lines))
     print("\n".join(lines))
