@@ -197,7 +197,8 @@ def _place_ranges(b: DataFrame, spec: OrderSpec, distinct_cuts: list, hot_info:
 def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
             n_buckets: int | None = None, rows_per_bucket: int = 5_000_000,
             max_buckets: int = 100_000, plan: OrderPlan | None = None,
-            keep_ranges: bool = False, materialize: bool = False, dense: bool = False) -> DataFrame:
+            keep_ranges: bool = False, materialize: bool = False, dense: bool = False,
+            place_ranges: bool | None = None, place_min_rows: int = 5_000_000) -> DataFrame:
     """``df`` plus the global order columns:
 
     ``_rn`` row number, ``_rank``, ``_dense_rank`` (only with ``dense=True``),
@@ -271,7 +272,13 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
         b2 = F.when(F.col(vd).isNotNull() & (major == idx), inside).otherwise(b2)
     b = b.withColumn("_b1", b1).withColumn("_b2", b2.cast("int")).withColumn("_hp", hp.cast("int")).drop("_major")
     keyed = b  # rows with their range key, before placement (feeds the small range table)
-    b = _place_ranges(b, spec, distinct_cuts, hot_info, null_split)
+    # collision-free placement pays off when ranges are large; on small
+    # inputs a plain hash of the range key is cheaper
+    place = place_ranges if place_ranges is not None else p.n_rows >= place_min_rows
+    if place:
+        b = _place_ranges(b, spec, distinct_cuts, hot_info, null_split)
+    else:
+        b = b.withColumn("_tid", F.lit(0).cast("bigint"))
 
     # -- local windows
     vcol = F.col(v)
