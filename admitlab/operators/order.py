@@ -224,9 +224,9 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
     v, tb = spec.value, spec.tiebreak
     vd = "_vd"
     base = df.withColumn(vd, _as_double(df, v))
-    p = plan or plan_order(df, spec, n_buckets, rows_per_bucket, max_buckets)
-    distinct_cuts = sorted(set(p.cuts))
-    hot_info, null_split = p.hot_info, p.null_split
+    op = plan or plan_order(df, spec, n_buckets, rows_per_bucket, max_buckets)
+    distinct_cuts = sorted(set(op.cuts))
+    hot_info, null_split = op.hot_info, op.null_split
 
     # -- range key
     splits = [-math.inf] + distinct_cuts + [math.inf]
@@ -274,7 +274,7 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
     keyed = b  # rows with their range key, before placement (feeds the small range table)
     # collision-free placement pays off when ranges are large; on small
     # inputs a plain hash of the range key is cheaper
-    place = place_ranges if place_ranges is not None else p.n_rows >= place_min_rows
+    place = place_ranges if place_ranges is not None else op.n_rows >= place_min_rows
     if place:
         b = _place_ranges(b, spec, distinct_cuts, hot_info, null_split)
     else:
