@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ NO_RANK = np.iinfo(np.int32).max
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of a piece beyond which it is merged alone, by blocks.
 TALL = 512
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 100_000
 ROWS_AT_ONCE = 20_000
 
 
@@ -87,13 +88,17 @@ class ByteBPE:
         for t, r in self.ids.items():
             self.tokens[r] = t
         self.byte_id = np.array([self.ids[bytes([i])] for i in range(256)], np.int32)
-        pairs = [(self.ids[t[:i]], self.ids[t[i:]], r) for t, r in self.ids.items()
-                 for i in range(1, len(t)) if t[:i] in self.ids and t[i:] in self.ids]
-        self.table = PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
         self.pattern = regex.compile(pattern)
         self.after_space: dict[str, bytes] = {}
         self.at_start: dict[str, bytes] = {}
 
+    @cached_property
+    def table(self) -> PairTable:
+        """Every pair of tokens that joins to a token (decoding needs none)."""
+        pairs = [(self.ids[t[:i]], self.ids[t[i:]], r) for t, r in self.ids.items()
+                 for i in range(1, len(t)) if t[:i] in self.ids and t[i:] in self.ids]
+        return PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
+
     # merging
 
     def _merge_matrix(self, rows: np.ndarray) -> list[bytes]:
