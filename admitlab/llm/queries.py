@@ -5,18 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import byte_bpe, chat_format, mixing, simhash, token_files
-from .common import read
+from . import byte_bpe, chat_format, mixing, pair_rank, rule_lists, simhash, token_files, toxicity
+from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
+ACCEPT = 0.3
 EXTRA_CONVERSATION = (-7, ("user", "assistant"), r"\### Assistant: </turn> ok")
 
 
@@ -39,6 +40,17 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest, digest=True)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, read(spark, sf_dir, "labels"))
+    return _scored(docs, 4, 2, toxicity.toxic_score(model))
+
+
+def _scored(docs: DataFrame, mod: int, rest: int, score: Column) -> DataFrame:
+    out = docs.select("doc_id", (crc_mod("doc_id", mod) == rest).alias("held_out"), score.alias("score"))
+    return out.withColumn("predicted", F.when(F.col("score") >= ACCEPT, 1).otherwise(0))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     ranked, plan, r = mixing.mix_plan(docs)
@@ -47,6 +59,21 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("copies") * F.col(f"{r}.size")).alias("taken"))
 
 
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rules = rule_lists.learn_rules(docs, read(spark, sf_dir, "labels"))
+    out, r = rule_lists.apply_rules(docs.select("doc_id", "text"), rules)
+    return out.select("doc_id", f"{r}.n_words", f"{r}.word_chars", f"{r}.n_symbols",
+                      F.col(f"{r}.l.dup").alias("n_dup_lines"), f"{r}.n_repeat_words", f"{r}.base_failed", f"{r}.kept",
+                      f"{r}.rule")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = pair_rank.fit_quality(docs, read(spark, sf_dir, "labels"))
+    return _scored(docs, 5, 0, pair_rank.quality_score(model))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conv, roles, text = EXTRA_CONVERSATION
@@ -59,4 +86,5 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op4_token_files, op6_mix, op10_chat)}
+    return {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op4_token_files, op5_toxicity, op6_mix, op7_rules,
+                                      op8_quality, op10_chat)}
