@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import byte_bpe, chat_format, mixing, pair_rank, rule_lists, simhash, token_files, toxicity
+from . import byte_bpe, chat_format, ego_join, lattice_lm, mixing, pair_rank, rule_lists, simhash, token_files, toxicity
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score_documents(read(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2,
+                                      public_tokenizers.path(PIECES))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -74,6 +79,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, 5, 0, pair_rank.quality_score(model))
 
 
+def op9_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.near_vectors(read(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conv, roles, text = EXTRA_CONVERSATION
@@ -86,5 +95,5 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op4_token_files, op5_toxicity, op6_mix, op7_rules,
-                                      op8_quality, op10_chat)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_lattice_lm, op3_simhash, op4_token_files, op5_toxicity, op6_mix, op7_rules,
+                                      op8_quality, op9_ego_join, op10_chat)}

@@ -40,5 +40,25 @@ SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
 FROM digest JOIN verdict USING (conv_id)"""
 
 
+def _op9() -> str:
+    bad = "x IS NULL OR NOT isfinite(x)"
+    return f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: {bad})) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM comp LEFT JOIN n USING (vec_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_chat": _op10()}
+    return {"op9_ego_join": _op9(), "op10_chat": _op10()}

@@ -60,7 +60,7 @@ def _disguised(low: bytes) -> list[bytes]:
     if not _holds(low, _SIGNS):
         return []
     cut = low.translate(_KEEP_SIGNS).split()
-    return [w.translate(_STANDS_FOR) for w in cut if _holds(w, _SIGNS) and len(w.translate(None, _SIGNS)) * 2 >= len(w)]
+    return [w.translate(_STANDS_FOR) for w in cut if _holds(w, _SIGNS) and len(w.translate(None, _SIGNS)) * 3 >= len(w)]
 
 
 _KEEP_SIGNS = bytes(c if c >= 128 or chr(c).isalnum() or c in _SIGNS else 32 for c in range(256))

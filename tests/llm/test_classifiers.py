@@ -109,14 +109,14 @@ def test_scores_of_edge_tables(corpus, make_docs, llm):
 def test_label_model_finds_accuracies_and_ties():
     rng = np.random.default_rng(1)
     y = (rng.random(4000) < 0.2).astype(int)
-    good = rng.random(4000) < np.where(y == 1, 0.8, 0.02)
-    weak = rng.random(4000) < np.where(y == 1, 0.3, 0.2)
+    fires = lambda: rng.random(4000) < np.where(y == 1, 0.8, 0.02)
+    good, weak = [fires() for _ in range(4)], rng.random(4000) < np.where(y == 1, 0.3, 0.2)
     noisy = np.where(rng.random(4000) < 0.05, 1 - y, y)
-    votes = np.column_stack([good, good, weak]).astype(float)  # the first two are one voter twice
+    votes = np.column_stack([good[0], *good, weak]).astype(float)  # the first two are one voter twice
     m, post = X.fit_label_model(votes, noisy)
-    assert abs(m.rate1[0] - 0.8) < 0.1 and m.rate0[0] < 0.05 and abs(m.rate1[2] - 0.3) < 0.1
-    assert m.share[0] < 0.6 and m.share[2] > 0.8
-    assert ((post > 0.5) == y).mean() > ((noisy == y).mean())
+    assert np.abs(m.rate1[:5] - 0.8).max() < 0.05 and m.rate0[:5].max() < 0.05 and abs(m.rate1[5] - 0.3) < 0.05
+    assert m.share[:2].max() < 0.6 and m.share[2:].min() > 0.8
+    assert ((post > 0.5) == y).mean() > 0.98 > (noisy == y).mean()
 
 
 def test_words_and_disguise():
