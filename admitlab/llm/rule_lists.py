@@ -247,6 +247,7 @@ def learn_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", max_
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("t"))
     rows = slim.join(F.broadcast(known), F.col("doc_id") == F.col("label_id")).select(
         "doc_id", "y", text_stats(F.col("t")).alias("s"))
+    rows = store(rows, "rule-stats")  # else the filter moves below the join, to all documents
     rows = rows.where(~base_failed("s"))
     return learn(rows.select("doc_id", "y", *[measure(n, "s").alias(n) for n in MEASURES]))
 
