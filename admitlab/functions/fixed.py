@@ -1,8 +1,7 @@
 """Labels, cut points and weights of the reference's CASE
 rules, which results must reproduce exactly.  Each ladder lists its branches
 in the order the rule tests them: (upper or lower bound, label), then the
-label of the ELSE branch.  Emoji decorations of the reference labels are left
-out (display only)."""
+label of the ELSE branch."""
 
 # Fixed values ---------------------------------------------------------------
 
@@ -23,9 +22,9 @@ GAP_TIERS_4 = [(7, "≤7 days (Critical)"), (14, "8-14 days (High Risk)"), (30,
 GAP_TIERS_4_OVER = ">30 days (Low Risk)"
 GAP_TIERS_5 = [(7, "≤7 days"), (14, "8-14 days"), (30, "15-30 days"), (60, "31-60 days")]
 GAP_TIERS_5_ELSE = ">60 days"
-GAP_RISK = [(7, "CRITICAL (≤7 days)"), (14, "HIGH RISK (8-14 days)"), (30, "MODERATE RISK (15-30 days)")]
-GAP_FIRST_VISIT = "First Visit"
-GAP_RISK_ELSE = "LOW RISK (30+ days)"
+GAP_RISK = [(7, "🚨 CRITICAL (≤7 days)"), (14, "🔴 HIGH RISK (8-14 days)"), (30, "🟡 MODERATE RISK (15-30 days)")]
+GAP_FIRST_VISIT = "🆕 First Visit"
+GAP_RISK_ELSE = "🟢 LOW RISK (30+ days)"
 
 # medication adherence: missed = 0, missed <= bound
 ADHERENCE_PERFECT = "Perfect Adherence"

@@ -1,46 +1,33 @@
-"""Walk a parent-pointer tree upwards (the recursive CTE, as a bounded loop
-of joins).
+"""Walk a parent-pointer tree upwards (the recursive CTE, as a loop of joins).
 
 Each step joins the current frontier with the edge table on the parent key.
-The frontier of a walk from one node is one row per level, so every step is
-a tiny join; the loop stops when the frontier is empty, at ``max_depth``, or
-when a node repeats (cycle guard).  Each level is checkpointed to the shared
+The loop ends when the frontier is empty; a node that repeats on its own path
+(a cycle) leaves the frontier.  Each level is checkpointed to the shared
 checkpoint folder, so a level never recomputes the joins before it.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def walk_up(nodes: DataFrame, start: DataFrame, node_col: str, parent_col: str,
-            max_depth: int = 100, lookup_limit: int = 1000) -> DataFrame:
+def walk_up(nodes: DataFrame, start: DataFrame, node_col: str, parent_col: str) -> DataFrame:
     """All ancestors of the ``start`` rows (rows of ``nodes``), with ``level``
-    1 for the start row itself, 2 for its parent, ...
-
-    ``path`` keeps the visited node keys so a cycle ends the walk instead of
-    looping for ever.
+    1 for the start row itself, 2 for its parent, ... whatever the depth.
 
-    While a level has at most ``lookup_limit`` distinct parents (a walk from
-    one node has one), they are looked up by literal key: the predicate is
-    pushed into the Parquet scan and row groups are skipped by their min/max
-    statistics, so a level costs a point lookup, not a scan of the tree.
-    Larger frontiers use an ordinary join."""
+    ``_path`` keeps the visited node keys so a cycle ends the walk instead of
+    looping for ever.  Every level is one join, at every size."""
     cols = nodes.columns
     frontier = start.select(*cols, F.lit(1).alias("level"),
                             F.array(F.col(node_col)).alias("_path"))
-    result = frontier
-    for depth in range(2, max_depth + 1):
-        parents = frontier.select(parent_col).where(F.col(parent_col).isNotNull()).distinct()
-        few = parents.limit(lookup_limit + 1).collect()
-        if not few:
-            break
-        candidates = nodes
-        if len(few) <= lookup_limit:
-            candidates = nodes.where(F.col(node_col).isin([r[0] for r in few]))
+    result, depth = frontier, 1
+    while True:
+        depth += 1
         step = (frontier.alias("rc")
-                .join(candidates.alias("d"), F.col(f"d.{node_col}") == F.col(f"rc.{parent_col}"))
+                .join(nodes.alias("d"), F.col(f"d.{node_col}") == F.col(f"rc.{parent_col}"))
                 .filter(~F.array_contains(F.col("rc._path"), F.col(f"d.{node_col}")))
                 .select(*[F.col(f"d.{c}").alias(c) for c in cols],
                         F.lit(depth).alias("level"),
@@ -48,13 +35,14 @@ def walk_up(nodes: DataFrame, start: DataFrame, node_col: str, parent_col: str,
         # the frontier is written to the shared checkpoint folder: the next
         # step reads it instead of recomputing all earlier joins
         step = step.checkpoint(eager=True)
-        # an empty level has no parents: the next pass ends the walk
+        if step.isEmpty():
+            break
         result = result.unionByName(step)
         frontier = step
     return result.drop("_path")
 
 
-def roots(nodes: DataFrame, node_col: str, parent_col: str, max_rounds: int = 64) -> DataFrame:
+def roots(nodes: DataFrame, node_col: str, parent_col: str) -> DataFrame:
     """Top-level ancestor and depth of EVERY node (pointer doubling).
 
     Each node keeps a pointer ``up`` (its parent; a root points to itself)
@@ -73,9 +61,9 @@ def roots(nodes: DataFrame, node_col: str, parent_col: str, max_rounds: int = 64
     # a parent missing from the table ends the chain like a NULL parent
     base = nodes.join(ids, p == F.col("_pid"), "left").select(n.alias("node"), F.col("_pid").alias("parent"))
     cur = base.select("node", F.coalesce("parent", "node").alias("up"),
-                      F.when(F.col("parent").isNull(), 0).otherwise(1).alias("d"),
+                      F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("d"),
                       F.col("parent").isNull().alias("is_root")).checkpoint(eager=True)
-    for _ in range(max_rounds):
+    for _ in range(math.ceil(math.log2(cur.count() + 1)) + 1):
         nxt = (cur.alias("a").join(cur.alias("b"), F.col("a.up") == F.col("b.node"))
                   .select(F.col("a.node").alias("node"), F.col("b.up").alias("up"),
                           (F.col("a.d") + F.col("b.d")).alias("d"), F.col("a.is_root").alias("is_root"),

@@ -54,15 +54,12 @@ def _as_double(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("double")
 
 
-def _default_buckets(spark, n_rows: int, rows_per_bucket: int, max_buckets: int) -> int:
+def _default_buckets(spark, n_rows: int, rows_per_bucket: int) -> int:
     """About four ranges per shuffle partition (range ids are hash-partitioned,
     so several small ranges per task even out collisions), more when ranges
     would exceed ``rows_per_bucket`` rows."""
-    try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001
-        parts = 8
-    return max(1, min(max_buckets, max(4 * parts, math.ceil(n_rows / max(1, rows_per_bucket)))))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, 4 * parts, math.ceil(n_rows / max(1, rows_per_bucket)))
 
 
 @dataclass
@@ -76,7 +73,7 @@ class OrderPlan:
 
 
 def plan_order(df: DataFrame, spec: OrderSpec, n_buckets: int | None = None,
-               rows_per_bucket: int = 5_000_000, max_buckets: int = 100_000) -> OrderPlan:
+               rows_per_bucket: int = 5_000_000) -> OrderPlan:
     """One aggregate gives the row counts, the tie-break range of the NULL
     group and ``percentile_approx`` cut values (one per range); only when the
     data is larger than the first guess of ranges, or a value fills several
@@ -86,7 +83,7 @@ def plan_order(df: DataFrame, spec: OrderSpec, n_buckets: int | None = None,
     v, tb = spec.value, spec.tiebreak
     vd = F.col("_vd")
     base = df.select(_as_double(df, v).alias("_vd"), F.col(tb))
-    k0 = n_buckets or _default_buckets(spark, 0, rows_per_bucket, max_buckets)
+    k0 = n_buckets or _default_buckets(spark, 0, rows_per_bucket)
 
     def quantiles(k: int):
         probs = F.array(*[F.lit(i / k) for i in range(1, k)]) if k > 1 else F.array(F.lit(0.5))
@@ -97,7 +94,7 @@ def plan_order(df: DataFrame, spec: OrderSpec, n_buckets: int | None = None,
                   F.max(F.when(vd.isNull(), F.col(tb))).alias("nmax"),
                   quantiles(k0).alias("q")).first()
     n_rows, n_val = int(s0["n"]), int(s0["nv"])
-    k = n_buckets or _default_buckets(spark, n_rows, rows_per_bucket, max_buckets)
+    k = n_buckets or _default_buckets(spark, n_rows, rows_per_bucket)
     if k == k0:
         cuts = list(s0["q"] or []) if k > 1 else []
     else:
@@ -124,81 +121,10 @@ def plan_order(df: DataFrame, spec: OrderSpec, n_buckets: int | None = None,
     return OrderPlan(n_rows, n_val, cuts, hot_info, null_split)
 
 
-def _range_keys(spec: OrderSpec, distinct_cuts: list, hot_info: dict, null_split) -> list:
-    """Every (b1, b2) range key the rows can get, in order."""
-    jmax = len(distinct_cuts)
-    keys = []
-    hot_major = {}
-    for h, (_, _, m) in hot_info.items():
-        hot_major[distinct_cuts.index(h) + 1] = m
-    for major in range(jmax + 1):
-        b1 = jmax - major if spec.descending else major
-        m = hot_major.get(major)
-        if m is None:
-            keys.append((b1, 0))
-        else:
-            keys += [(b1, i) for i in range(m + 1)]
-    null_b1 = -1 if spec.nulls_go_first else jmax + 1
-    pieces = null_split[2] if (null_split and null_split[2] > 1) else 1
-    keys += [(null_b1, i) for i in range(pieces)]
-    return sorted(keys)
-
-
-_SLOT_KEYS: dict = {}
-
-
-def _slot_keys(spark, parts: int) -> list:
-    """For every partition p < parts, the smallest long that Spark's ``hash``
-    (the Murmur3 of hash partitioning) sends to p.  One small job per
-    application and partition count; ``parts`` values come back."""
-    memo = (spark.sparkContext.applicationId, parts)
-    if memo not in _SLOT_KEYS:
-        rows = (spark.range(0, 64 * parts)
-                     .select(F.col("id"), F.pmod(F.hash("id"), F.lit(parts)).alias("p"))
-                     .groupBy("p").agg(F.min("id").alias("id")).collect())
-        found = {r["p"]: r["id"] for r in rows}
-        _SLOT_KEYS[memo] = [found.get(p, p) for p in range(parts)]
-    return _SLOT_KEYS[memo]
-
-
-def _place_ranges(b: DataFrame, spec: OrderSpec, distinct_cuts: list, hot_info: dict, null_split) -> DataFrame:
-    """Give every row a task key ``_tid`` and hash-partition on it.
-
-    Range keys hashed directly would collide (several ranges in one task,
-    none in another).  The ranges are dealt out to the tasks in order, in
-    equal numbers, and each task slot gets a key value that Spark's own
-    ``hash`` (the Murmur3 of hash partitioning) sends to exactly that
-    partition.  The lookups are array literals in the projection: one entry
-    per range start, one per shuffle partition."""
-    spark = b.sparkSession
-    try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001
-        parts = 8
-    keys = _range_keys(spec, distinct_cuts, hot_info, null_split)
-    inverse = _slot_keys(spark, parts)
-    # position of a row's range in the ordered key list: first position of
-    # its b1 plus b2; then an even deal of positions to slots.  Both lookups
-    # are array literals (one entry per b1 value, one per partition).
-    first: dict = {}
-    for i, (k1, _) in enumerate(keys):
-        first.setdefault(k1, i)
-    lo, hi = min(first), max(first)
-    base = "array(" + ", ".join(str(first.get(v, 0)) for v in range(lo, hi + 1)) + ")"
-    slot_keys = "array(" + ", ".join(f"CAST({k} AS BIGINT)" for k in inverse) + ")"
-    pos = F.try_element_at(F.expr(base), (F.col("_b1") - lo + 1).cast("int")) + F.col("_b2")
-    slot = F.floor(pos * parts / len(keys)).cast("int")
-    tid = F.try_element_at(F.expr(slot_keys), slot + 1)
-    # a row always keeps its place in the result, whatever its key
-    placed = b.withColumn("_tid", F.coalesce(tid, F.lit(0).cast("bigint")))
-    return placed.repartition(parts, "_tid")
-
-
 def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
             n_buckets: int | None = None, rows_per_bucket: int = 5_000_000,
-            max_buckets: int = 100_000, plan: OrderPlan | None = None,
-            keep_ranges: bool = False, materialize: bool = False, dense: bool = False,
-            place_ranges: bool | None = None, place_min_rows: int = 5_000_000) -> DataFrame:
+            plan: OrderPlan | None = None,
+            keep_ranges: bool = False, materialize: bool = False, dense: bool = False) -> DataFrame:
     """``df`` plus the global order columns:
 
     ``_rn`` row number, ``_rank``, ``_dense_rank`` (only with ``dense=True``),
@@ -224,7 +150,7 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
     v, tb = spec.value, spec.tiebreak
     vd = "_vd"
     base = df.withColumn(vd, _as_double(df, v))
-    op = plan or plan_order(df, spec, n_buckets, rows_per_bucket, max_buckets)
+    op = plan or plan_order(df, spec, n_buckets, rows_per_bucket)
     distinct_cuts = sorted(set(op.cuts))
     hot_info, null_split = op.hot_info, op.null_split
 
@@ -271,14 +197,7 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
     for idx, inside in major_hot:
         b2 = F.when(F.col(vd).isNotNull() & (major == idx), inside).otherwise(b2)
     b = b.withColumn("_b1", b1).withColumn("_b2", b2.cast("int")).withColumn("_hp", hp.cast("int")).drop("_major")
-    keyed = b  # rows with their range key, before placement (feeds the small range table)
-    # collision-free placement pays off when ranges are large; on small
-    # inputs a plain hash of the range key is cheaper
-    place = place_ranges if place_ranges is not None else op.n_rows >= place_min_rows
-    if place:
-        b = _place_ranges(b, spec, distinct_cuts, hot_info, null_split)
-    else:
-        b = b.withColumn("_tid", F.lit(0).cast("bigint"))
+    keyed = b  # rows with their range key (feeds the small range table)
 
     # -- local windows
     vcol = F.col(v)
@@ -286,7 +205,7 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
         vo = vcol.desc_nulls_first() if spec.nulls_go_first else vcol.desc_nulls_last()
     else:
         vo = vcol.asc_nulls_first() if spec.nulls_go_first else vcol.asc_nulls_last()
-    part = Window.partitionBy("_tid", "_b1", "_b2")
+    part = Window.partitionBy("_b1", "_b2")
     w_full = part.orderBy(vo, F.col(tb).asc())
     w_val = part.orderBy(vo)
     w_val_range = w_val.rangeBetween(Window.unboundedPreceding, Window.currentRow)

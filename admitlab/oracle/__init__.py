@@ -1,6 +1,6 @@
 """Independent DuckDB SQL answers for every registered job.
 
-Each text runs on the driver's pre-registered views (orders, customer, ...).
+Identifiers and labels in them are fixed values.  Each text runs on the driver's pre-registered views (orders, customer, ...).
 The mapped tables are re-derived here in SQL, independently of the Spark code
 in ``admitlab.sources``.
 """
@@ -11,7 +11,7 @@ ENC_CTE = """enc AS (
   SELECT
     o.o_orderkey AS id,
     o.o_custkey AS patient_key,
-    concat('PAT', lpad(CAST(o.o_custkey AS VARCHAR), 7, '0')) AS patient_id,
+    'PAT' || repeat('0', 7 - length(CAST(o.o_custkey AS VARCHAR))) || o.o_custkey AS patient_id,
     CAST(CASE WHEN o.o_orderkey % 997 = 0 THEN 105 ELSE 18 + (c.c_custkey * 7) % 78 END AS INTEGER) AS age,
     CASE WHEN c.c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
     CAST(o.o_orderdate AS DATE) AS admission_date,
@@ -52,7 +52,7 @@ GAPS_CTE = """gaps AS (
 )"""
 
 DELINQ_CTE = """delinq AS (
-  SELECT concat('PAT', lpad(CAST(c_custkey AS VARCHAR), 7, '0')) AS customer_id, 1 AS delinquent_account
+  SELECT 'PAT' || repeat('0', 7 - length(CAST(c_custkey AS VARCHAR))) || c_custkey AS customer_id, 1 AS delinquent_account
   FROM customer WHERE c_acctbal < 0
 )"""
 
@@ -63,13 +63,13 @@ TREE_CTE = """doctors AS (
 )"""
 
 LOGS_CTE = """logs AS (
-  SELECT event_id AS id, concat('PAT', lpad(CAST(user_id AS VARCHAR), 7, '0')) AS patient_id,
+  SELECT event_id AS id, 'PAT' || repeat('0', 7 - length(CAST(user_id AS VARCHAR))) || user_id AS patient_id,
          props AS vitals, ts AS created_at
   FROM events
 )"""
 
 SURVEYS_CTE = """surveys AS (
-  SELECT p_partkey AS id, concat('PAT', lpad(CAST(p_partkey AS VARCHAR), 7, '0')) AS patient_id,
+  SELECT p_partkey AS id, 'PAT' || repeat('0', 7 - length(CAST(p_partkey AS VARCHAR))) || p_partkey AS patient_id,
          replace(p_name, ' ', ',') AS diagnosis_list
   FROM part
 )"""

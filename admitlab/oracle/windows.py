@@ -36,6 +36,11 @@ ORDER BY stay_ratio DESC, id LIMIT 20""",
   {rdiv('(c * n - s) * 100', 's', 2)} AS pct_diff,
   CASE WHEN 2 * c * n > 3 * s THEN 'HIGH' WHEN 2 * c * n < s THEN 'LOW' ELSE 'Normal' END AS bill_status
 FROM ({MOV}) t""",
+    "bill_deviation_first": H + f"""SELECT id, admission_date, admission_type, CAST(total_bill_amount AS DOUBLE) AS total_bill_amount,
+  {rdiv('s', 'n * 100', 2)} AS moving_avg_10, {rdiv('c * n - s', 'n * 100', 2)} AS deviation_from_avg,
+  {rdiv('(c * n - s) * 100', 's', 2)} AS pct_diff,
+  CASE WHEN 2 * c * n > 3 * s THEN 'HIGH' WHEN 2 * c * n < s THEN 'LOW' ELSE 'Normal' END AS bill_status
+FROM ({MOV}) t ORDER BY id LIMIT 50""",
     "bill_delta": H + f"""SELECT patient_id, admission_date, CAST(total_bill_amount AS DOUBLE) AS total_bill_amount,
   CAST(LAG(total_bill_amount) OVER ({WP}) AS DOUBLE) AS previous_bill,
   CAST(total_bill_amount - LAG(total_bill_amount) OVER ({WP}) AS DOUBLE) AS bill_change FROM enc""",

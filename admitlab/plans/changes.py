@@ -21,12 +21,19 @@ def scale_income_by_payer(enc: DataFrame, factors: dict | None = None) -> DataFr
     return enc.withColumn("household_income", new.otherwise(inc).cast(enc.schema["household_income"].dataType))
 
 
+def _key_of(patients: DataFrame) -> str:
+    """The numeric key, by which the fact join is partitioned, if the list has it."""
+    return "patient_key" if "patient_key" in patients.columns else "patient_id"
+
+
 def discharge_patients(enc: DataFrame, requests: DataFrame, days: int = 5) -> DataFrame:
     """For every (patient_id, disposition) request: set the disposition and a
     discharge date ``days`` after admission on all the patient's rows.  The
-    request list is joined (left outer), not collected."""
-    req = requests.select(F.col("patient_id").alias("_pid"), F.col("disposition").alias("_disp"))
-    j = enc.join(req, enc.patient_id == req._pid, "left")
+    request list is joined (left outer) on the numeric key, not collected; of
+    several requests for a patient the first disposition in text order holds."""
+    key = _key_of(requests)
+    req = requests.groupBy(F.col(key).alias("_pid")).agg(F.min("disposition").alias("_disp"))
+    j = enc.join(req, enc[key] == req._pid, "left")
     hit = F.col("_pid").isNotNull()
     cols = []
     for c in enc.columns:
@@ -41,8 +48,9 @@ def discharge_patients(enc: DataFrame, requests: DataFrame, days: int = 5) -> Da
 
 def set_bill(enc: DataFrame, patients: DataFrame, amount: float = 50000.00) -> DataFrame:
     """New version with the bill of the given patients set to ``amount``."""
-    p = patients.select(F.col("patient_id").alias("_pid")).distinct()
-    j = enc.join(p, enc.patient_id == p._pid, "left")
+    key = _key_of(patients)
+    p = patients.select(F.col(key).alias("_pid")).distinct()
+    j = enc.join(p, enc[key] == p._pid, "left")
     dtype = enc.schema["total_bill_amount"].dataType
     return j.select(*[F.when(F.col("_pid").isNotNull(), F.lit(amount).cast(dtype)).otherwise(F.col(c)).alias(c)
                       if c == "total_bill_amount" else F.col(c) for c in enc.columns])

@@ -63,7 +63,8 @@ def visit_gap_risk(enc: DataFrame) -> DataFrame:
     return (g.filter(F.col("days_gap").isNotNull() | F.col("prev_discharge_date").isNull())
              .select("patient_id", "admission_date", "prev_discharge_date", "days_gap",
                      "readmitted_30_days",
-                     X.gap_risk_level(F.col("days_gap")).alias("readmission_risk_level")))
+                     X.gap_risk_level(F.col("days_gap")).alias("readmission_risk_level"))
+             .orderBy("patient_id", "admission_date"))
 
 
 def revisit_detail(enc: DataFrame) -> DataFrame:
@@ -73,7 +74,8 @@ def revisit_detail(enc: DataFrame) -> DataFrame:
     return (g.filter(F.col("visit_number") > 1)
              .select("patient_id", "visit_number", "admission_date", "prev_discharge_date",
                      "days_gap", "primary_diagnosis", "prev_diagnosis", "readmitted_30_days",
-                     X.gap_risk_category(F.col("days_gap")).alias("risk_category")))
+                     X.gap_risk_category(F.col("days_gap")).alias("risk_category"))
+             .orderBy("patient_id", "admission_date"))
 
 
 def _readmissions(enc: DataFrame) -> DataFrame:
@@ -114,8 +116,8 @@ def gap_distribution_5(enc: DataFrame) -> DataFrame:
 def gap_by_diagnosis(enc: DataFrame, exact_median: bool = True) -> DataFrame:
     """Per diagnosis: readmissions, average / min / max / median gap.
 
-    The exact median holds each group's values in memory; at scale pass
-    ``exact_median=False`` for ``percentile_approx`` (bounded memory)."""
+    The exact median keeps one entry per different gap of a group;
+    ``exact_median=False`` takes ``percentile_approx``."""
     gap = F.col("days_gap")
     median = (F.percentile(gap, 0.5) if exact_median
               else F.percentile_approx(gap, 0.5, 10000).cast("double"))

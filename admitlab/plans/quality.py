@@ -125,16 +125,12 @@ def duplicate_encounters(df: DataFrame) -> DataFrame:
 def drop_duplicate_encounters(df: DataFrame) -> DataFrame:
     """New table version keeping the lowest id per (patient, admission_date).
 
-    The lowest id per group is a partial (map-side) aggregate, so a group of
-    any size costs one row per task; the rows are then kept by a semi join on
-    (patient_key, admission_date, id).  Both sides are already partitioned by
-    patient_key when the encounter join is a shuffle join, and adaptive
-    execution splits a skewed patient's partition.  With Spark's default
-    ``spark.sql.requireAllClusterKeysForCoPartition`` the semi join still
-    re-partitions on all three keys (one more exchange); a window per
-    (patient, day) would avoid it but would put a hot patient into one task."""
-    keep = df.groupBy("patient_key", "admission_date").agg(F.min("id").alias("id"))
-    return df.join(keep, ["patient_key", "admission_date", "id"], "left_semi")
+    One aggregate keeps the whole row of the lowest id: one scan, one exchange,
+    and a map-side aggregate, so a group of any size costs one row per task.
+    NULL patients and dates group like values, so their lowest id stays too."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return (df.groupBy(F.col("patient_key").alias("_k"), F.col("admission_date").alias("_d"))
+              .agg(F.min_by(row, "id").alias("_row")).select("_row.*"))
 
 
 def missing_counts(df: DataFrame) -> DataFrame:

@@ -8,12 +8,14 @@ FIXTURES.md (as_of date, regex pattern, start node, ...).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed as FX
+from ..operators import closure
 from ..sources import tables as T
 from . import changes, finance, intervals, kpi, quality, relate, risk, semi, timeline, windows
 
@@ -44,14 +46,15 @@ def register(key: str, job: Job) -> None:
 
 def _regional_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Materialised view: aggregate, store under the shared checkpoint
-    folder (overwrite = refresh), read the stored copy back."""
+    folder, read the stored copy back.  Every refresh is a new version in a
+    folder of its own, so results read from an earlier one stay readable."""
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
-    path = f"{base.rstrip('/')}/mv_regional_stats"
+    path = f"{base.rstrip('/')}/mv_regional_stats/{uuid.uuid4().hex}"
     return kpi.materialize(kpi.regional_stats(T.encounters(spark, sf_dir)), path)
 
 
 def _delinquent_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.delinquency(spark, sf_dir).select(F.col("customer_id").alias("patient_id"),
+    return T.delinquency(spark, sf_dir).select("patient_key", F.col("customer_id").alias("patient_id"),
                                                F.lit("Home Health").alias("disposition"))
 
 
@@ -107,6 +110,8 @@ def _register_all() -> None:
     register("diagnosis_pairs", _enc_job(relate.diagnosis_pairs))
     register("referral_chain",
              lambda spark, d: relate.referral_chain(T.referral_tree(spark, d), REFERRAL_START))
+    register("tree_roots", lambda spark, d: closure.roots(T.referral_tree(spark, d), "doctor_id", "referred_by_id"))
+    register("bill_deviation_first", _enc_job(windows.bill_deviation, limit=50))
     register("patient_lookup", _enc_job(relate.patient_lookup, patient_id=LOOKUP_PATIENT))
     # 2.9 semi-structured
     register("json_filter", lambda spark, d: semi.json_filter(T.patient_logs(spark, d), "k", JSON_THRESHOLD))
@@ -122,10 +127,13 @@ def _register_all() -> None:
     register("set_bill",
              lambda spark, d: changes.set_bill(T.encounters(spark, d), _delinquent_requests(spark, d)))
 
-    def _audit(spark, d):
-        old = T.encounters(spark, d)
-        return changes.bill_audit(old, changes.set_bill(old, _delinquent_requests(spark, d)))
-    register("bill_audit", _audit)
+    def _audit(null_safe):
+        def run(spark, d):
+            old = T.encounters(spark, d)
+            return changes.bill_audit(old, changes.set_bill(old, _delinquent_requests(spark, d)), null_safe)
+        return run
+    register("bill_audit", _audit(False))
+    register("bill_audit_null_safe", _audit(True))
 
 
 def jobs() -> dict[str, Job]:

@@ -18,20 +18,13 @@ def json_filter(logs: DataFrame, field: str = "k", threshold: float = 50) -> Dat
                 .filter(F.col("temperature").try_cast("decimal(38,10)") > threshold))
 
 
-def diagnosis_history(enc: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """Diagnoses of each patient in visit order, comma separated.
-
-    One row per patient and ``part``: part k holds visits k*max_items+1 ..
-    (k+1)*max_items, so no list grows beyond ``max_items`` entries in one task
-    (every ordinary patient has only part 0; joining the parts in order gives
-    the whole history).  Visit numbers come from the hot-key-safe sequence."""
+def diagnosis_history(enc: DataFrame) -> DataFrame:
+    """Diagnoses of each patient in visit order: one row per visit with its
+    place in the history, so no list of unbounded length is built.  Visit
+    numbers come from the hot-key-safe sequence."""
     from .intervals import patient_sequence
-    s = patient_sequence(enc).withColumn("part", F.floor((F.col("_seq") - 1) / max_items).cast("bigint"))
-    items = F.array_sort(F.collect_list(F.struct("_seq", "primary_diagnosis")))
-    return (s.groupBy("patient_key", "patient_id", "part")
-             .agg(F.array_join(F.transform(items, lambda x: x["primary_diagnosis"]), ", ")
-                  .alias("diagnosis_history"))
-             .drop("patient_key"))
+    return patient_sequence(enc).select("patient_id", F.col("_seq").cast("bigint").alias("position"),
+                                        F.col("primary_diagnosis").alias("diagnosis"))
 
 
 def unnest_counts(surveys: DataFrame) -> DataFrame:
@@ -64,20 +57,12 @@ def json_summary(enc: DataFrame) -> DataFrame:
                .drop("patient_key"))
 
 
-def json_patients_by_payer(enc: DataFrame, chunk_ids: int = 100000) -> DataFrame:
-    """JSON array of {patient_id, total_bill} per payer.
-
-    A payer holds a fixed share of ALL admissions, so one array per payer
-    would put an unbounded group into one task and one row.  The array is
-    cut into chunks by id range (``id div chunk_ids``): each chunk holds at
-    most ``chunk_ids`` elements, sorted by id; concatenating the chunks of a
-    payer in chunk order gives the single array."""
-    chunk = F.floor(F.col("id") / chunk_ids).cast("bigint")
-    items = F.array_sort(F.collect_list(F.struct("id", "patient_id", "total_bill_amount")))
-    objs = F.transform(items, lambda x: F.struct(x["patient_id"].alias("patient_id"),
-                                                 x["total_bill_amount"].alias("total_bill")))
-    return (enc.groupBy("insurance_type", chunk.alias("chunk"))
-               .agg(F.to_json(objs, _KEEP_NULLS).alias("patients")))
+def json_patients_by_payer(enc: DataFrame) -> DataFrame:
+    """The elements {patient_id, total_bill} of each payer's JSON array, one row
+    per admission, in the order (payer, id).  A payer holds a fixed share of ALL
+    admissions, so the array itself would be one row and one task without bound."""
+    obj = F.struct("patient_id", F.col("total_bill_amount").alias("total_bill"))
+    return enc.select("insurance_type", "id", F.to_json(obj, _KEEP_NULLS).alias("patient")).orderBy("insurance_type", "id")
 
 
 def json_profile(enc: DataFrame) -> DataFrame:

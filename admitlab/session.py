@@ -40,14 +40,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
-    unset (local tests) create a private scratch folder."""
+    """The cluster's shared ``spark.checkpoint.dir``.  Only a local master may
+    do without: it gets a private scratch folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="admitlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

@@ -44,8 +44,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def patient_id_of(key: Column) -> Column:
-    """'PAT' + key left-padded to 7 digits."""
-    return F.concat(F.lit("PAT"), F.lpad(key.cast("string"), 7, "0"))
+    """'PAT' + key left-padded to at least 7 digits (longer keys stay whole)."""
+    text = key.cast("string")
+    return F.concat(F.lit("PAT"), F.lpad(text, F.greatest(F.length(text), F.lit(7)), F.lit("0")))
 
 
 def _case(expr: str, mapping: dict, default: str) -> str:
@@ -64,7 +65,7 @@ def _encounter_exprs() -> list[str]:
     return [
         "o_orderkey AS id",
         "o_custkey AS patient_key",
-        "concat('PAT', lpad(CAST(o_custkey AS STRING), 7, '0')) AS patient_id",
+        "concat('PAT', lpad(CAST(o_custkey AS STRING), greatest(7, length(CAST(o_custkey AS STRING))), '0')) AS patient_id",
         "CAST(CASE WHEN o_orderkey % 997 = 0 THEN 105 ELSE 18 + (c_custkey * 7) % 78 END AS INT) AS age",
         "CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender",
         f"{admit} AS admission_date",
@@ -127,7 +128,7 @@ def delinquency(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     return (c.filter(F.col("c_acctbal") < 0)
              .select(patient_id_of(F.col("c_custkey")).alias("customer_id"),
-                     F.lit(1).alias("delinquent_account")))
+                     F.col("c_custkey").alias("patient_key"), F.lit(1).alias("delinquent_account")))
 
 
 def referral_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

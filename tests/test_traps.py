@@ -67,35 +67,91 @@ def test_income_tier_edges(spark):
     assert got == ["Low Income", "Middle Income", "Middle Income", "High Income", "High Income"]
 
 
-def test_referral_chain_golden(spark):
-    rows = [(1, "A", "s", None), (2, "B", "s", 1), (3, "C", "s", 1), (4, "D", "s", 2), (5, "E", "s", 2),
-            (6, "F", "s", 3), (7, "G", "s", 4), (8, "H", "s", 4), (9, "I", "s", 6)]
-    docs = spark.createDataFrame(rows, "doctor_id long, name string, specialty string, referred_by_id long")
-    got = sorted((r["level"], r["doctor_id"]) for r in relate.referral_chain(docs, 9).collect())
-    assert got == [(1, 9), (2, 6), (3, 3), (4, 1)]
+def _doctors(spark, pairs):
+    return spark.createDataFrame([(d, f"n{d}", "s", up) for d, up in pairs],
+                                 "doctor_id long, name string, specialty string, referred_by_id long")
+
+
+def test_referral_chain_of_a_side_branch(spark):
+    docs = _doctors(spark, [(50, None), (41, 50), (33, 41), (34, 41), (20, 33), (21, 34), (12, 20), (77, 50), (13, 999)])
+    got = sorted((r["level"], r["doctor_id"]) for r in relate.referral_chain(docs, 12).collect())
+    assert got == [(1, 12), (2, 20), (3, 33), (4, 41), (5, 50)]
+    assert [r["doctor_id"] for r in relate.referral_chain(docs, 13).collect()] == [13]
+
+
+def test_long_chain_is_walked_whole(spark):
+    docs = _doctors(spark, [(i, i - 1 if i else None) for i in range(150)])
+    got = relate.referral_chain(docs, 149).collect()
+    assert len(got) == 150 and max(r["level"] for r in got) == 150
 
 
 def test_referral_chain_cycle_terminates(spark):
     docs = spark.createDataFrame([(1, "A", "s", 2), (2, "B", "s", 3), (3, "C", "s", 1)],
                                  "doctor_id long, name string, specialty string, referred_by_id long")
-    got = sorted(r["doctor_id"] for r in relate.referral_chain(docs, 1, max_depth=50).collect())
+    got = sorted(r["doctor_id"] for r in relate.referral_chain(docs, 1).collect())
     assert got == [1, 2, 3]
 
 
-def test_json_filter_golden(spark):
+def test_json_filter_skips_what_is_no_number(spark):
     logs = spark.createDataFrame(
-        [("PAT00001", '{"bp": "120/80", "temp": 98.6, "hr": 72}'), ("PAT00002", '{"bp": "140/90", "temp": 101.5, "hr": 88}'),
-         ("PAT00003", '{"bp": "110/70", "temp": 102.3, "hr": 95}'), ("PAT00004", '{"bp": "130/85", "temp": 99.1, "hr": 76}'),
-         ("PAT00005", '{"temp": "n/a"}')], "patient_id string, vitals string")
-    got = sorted((r[0], r[1]) for r in semi.json_filter(logs, "temp", 100).collect())
-    assert got == [("PAT00002", "101.5"), ("PAT00003", "102.3")]
+        [("a", '{"spo2": 91, "pain": 3}'), ("b", '{"spo2": "96.5"}'), ("c", '{"spo2": 97, "note": "ok"}'), ("d", '{"pain": 9}'),
+         ("e", '{"spo2": null}'), ("f", '{"spo2": "high"}'), ("g", "not json"), ("h", None)], "patient_id string, vitals string")
+    got = sorted((r[0], r[1]) for r in semi.json_filter(logs, "spo2", 95).collect())
+    assert got == [("b", "96.5"), ("c", "97")]
 
 
-def test_unnest_golden(spark):
-    s = spark.createDataFrame([("Flu,Cough",), ("Flu,Fever",), ("Cough,Asthma",), ("Flu,Covid",),
-                               ("Diabetes,Hypertension",)], "diagnosis_list string")
+def test_unnest_counts_repeats_and_blanks(spark):
+    s = spark.createDataFrame([("x,y,x",), ("y",), ("",), (None,), ("z, y",)], "diagnosis_list string")
     got = {r[0]: r[1] for r in semi.unnest_counts(s).collect()}
-    assert got == {"Flu": 3, "Cough": 2, "Fever": 1, "Asthma": 1, "Covid": 1, "Diabetes": 1, "Hypertension": 1}
+    assert got == {"x": 2, "y": 2, " y": 1, "z": 1, "": 1}
+
+
+def test_ids_of_more_than_seven_digits_stay_apart(spark):
+    from admitlab.sources.tables import patient_id_of
+    keys = spark.createDataFrame([(1000000,), (10000001,), (7,)], "k long")
+    assert [r[0] for r in keys.select(patient_id_of(F.col("k"))).collect()] == ["PAT1000000", "PAT10000001", "PAT0000007"]
+    enc = spark.createDataFrame([(1, 1000000, "PAT1000000"), (2, 10000001, "PAT10000001")],
+                                "id long, patient_key long, patient_id string")
+    listed = spark.createDataFrame([(1000000, "PAT1000000")], "patient_key long, customer_id string")
+    assert [r["id"] for r in relate.delinquent_in(enc, listed).collect()] == [1]
+    assert [r["id"] for r in relate.delinquent_exists(enc, listed).collect()] == [1]
+    assert [r["id"] for r in relate.patient_lookup(enc, "PAT10000001").collect()] == [2]
+
+
+def test_dedupe_keeps_the_lowest_id_of_null_groups(spark):
+    d = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([(1, 1, d), (2, 1, d), (4, 1, None), (3, 1, None), (6, None, d), (5, None, d)],
+                               "id long, patient_key long, admission_date date")
+    got = quality.drop_duplicate_encounters(df)
+    assert got.columns == df.columns and sorted(r["id"] for r in got.collect()) == [1, 3, 5]
+
+
+def test_two_requests_for_a_patient_do_not_double_rows(spark):
+    d = dt.date(2020, 1, 1)
+    enc = spark.createDataFrame([(1, 1, d, d, "Home"), (2, 2, d, d, "AMA")],
+                                "id long, patient_key long, admission_date date, discharge_date date, discharge_disposition string")
+    req = spark.createDataFrame([(1, "SNF"), (1, "Home Health")], "patient_key long, disposition string")
+    got = {r["id"]: (r["discharge_date"], r["discharge_disposition"]) for r in changes.discharge_patients(enc, req).collect()}
+    assert got == {1: (d + dt.timedelta(days=5), "Home Health"), 2: (d, "AMA")}
+
+
+def test_earlier_version_of_a_stored_view_stays_readable(spark):
+    from admitlab.plans.registry import jobs
+    from conftest import SF_MID, SF_SMALL
+    first = jobs()["regional_stats"](spark, SF_SMALL)
+    n = first.count()
+    jobs()["regional_stats"](spark, SF_MID).count()
+    assert first.count() == n
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster(spark):
+    from types import SimpleNamespace as N
+
+    import pytest
+    from admitlab.session import ensure_checkpoint_dir
+    far = N(sparkContext=N(getCheckpointDir=lambda: None, master="yarn"), conf=N(get=lambda k, d: d))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(far)
 
 
 def test_audit_self_empty_and_dedupe_idempotent(spark):
@@ -183,6 +239,6 @@ def test_roots_by_pointer_doubling(spark):
         chain = walk_up(tree, tree.filter(F.col("doctor_id") == start), "doctor_id", "referred_by_id").collect()
         top = max(chain, key=lambda r: r["level"])
         assert got[start] == (top["doctor_id"], top["level"] - 1)
-    cyc = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (4, None)], "doctor_id long, referred_by_id long")
-    got2 = {r["doctor_id"]: (r["root"], r["depth"]) for r in roots(cyc, "doctor_id", "referred_by_id", 8).collect()}
-    assert got2[4] == (4, 0) and got2[1] == (None, None) and got2[3] == (None, None)
+    cyc = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (5, 1), (4, None)], "doctor_id long, referred_by_id long")
+    got2 = {r["doctor_id"]: (r["root"], r["depth"]) for r in roots(cyc, "doctor_id", "referred_by_id").collect()}
+    assert got2[4] == (4, 0) and all(got2[i] == (None, None) for i in (1, 2, 3, 5))
