@@ -283,10 +283,30 @@ def decode_bytes(df: DataFrame, rank_file: str, pattern: str, ids_col: str = "to
     return df.withColumn(out_col, decode(F.col(f"`{ids_col}`")))
 
 
+def round_trip(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text", out_col: str = "bpe") -> DataFrame:
+    """``df`` with a struct column (``ids``, ``decoded``), both binary: the ids
+    as ``encode_bytes`` gives them and the bytes decoded from those ids, made by
+    one worker per task.  The memo of words ends with the task."""
+    data = df.sparkSession.sparkContext.broadcast(file_bytes(rank_file))
+    key = hash((rank_file, pattern))
+    kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
+
+    @F.arrow_udf("ids binary, decoded binary")
+    def both(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = _model(key, data, pattern)
+        for a in parts:
+            ids = model.encode(a.to_pylist())
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(map(model.decode, ids), pa.binary())],
+                                             fields=list(kind))
+        model.after_space, model.at_start = {}, {}
+
+    return df.withColumn(out_col, both(text_or_empty(text_col)))
+
+
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text") -> DataFrame:
     """The documents with ``token_ids`` (binary), ``n_tokens`` and ``decoded``
     (string read back from the ids); a clashing input column is replaced."""
-    ids, raw = fresh(docs, "ids"), fresh(docs, "raw")
-    out = decode_bytes(encode_bytes(docs, rank_file, pattern, text_col, ids), rank_file, pattern, ids, raw)
-    return (out.withColumn("token_ids", F.col(ids)).withColumn("n_tokens", (F.length(ids) / 4).cast("long"))
-            .withColumn("decoded", F.col(raw).cast("string")).drop(ids, raw))
+    at = fresh(docs, "bpe")
+    out = round_trip(docs, rank_file, pattern, text_col, at)
+    return (out.withColumn("token_ids", F.col(f"{at}.ids")).withColumn("n_tokens", (F.length(f"{at}.ids") / 4).cast("long"))
+            .withColumn("decoded", F.col(f"{at}.decoded").cast("string")).drop(at))

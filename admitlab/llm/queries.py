@@ -23,10 +23,9 @@ EXTRA_CONVERSATION = (-7, ("user", "assistant"), r"\### Assistant: </turn> ok")
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, ranks = read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS)
-    ids = byte_bpe.encode_bytes(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    out = byte_bpe.decode_bytes(ids, ranks, public_tokenizers.PATTERN)
-    return out.select("doc_id", (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
-                      F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = byte_bpe.round_trip(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return out.select("doc_id", (F.length("bpe.ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("bpe.ids", 256).alias("ids_sha256"), F.sha2("bpe.decoded", 256).alias("decoded_sha256"))
 
 
 def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
