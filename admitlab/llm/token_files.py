@@ -40,7 +40,7 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 400_000
 
 
 class FrameWriter:
