@@ -33,6 +33,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 TALL = 512
 MEMO_ENTRIES = 100_000
 ROWS_AT_ONCE = 20_000
+#: Characters of text cut into words at a time (a longer text is cut alone).
+CHARS_AT_ONCE = 1 << 20
 
 
 class PairTable:
@@ -203,6 +205,18 @@ class ByteBPE:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        group: list[str] = []
+        chars = 0
+        for t in texts:
+            if group and chars + len(t) > CHARS_AT_ONCE:
+                out += self._encode_group(group)
+                group, chars = [], 0
+            group.append(t)
+            chars += len(t)
+        return out + self._encode_group(group) if group else out
+
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
         if len(self.after_space) > MEMO_ENTRIES or len(self.at_start) > MEMO_ENTRIES:
             self.after_space, self.at_start = {}, {}
         cut = [_cut(t, self.after_space) for t in texts]
