@@ -106,15 +106,12 @@ def plan_order(df: DataFrame, spec: OrderSpec, n_buckets: int | None = None,
     hot = [c for c in sorted(mult) if mult[c] >= 2]
     hot_info = {}
     if hot:
-        aggs = []
-        for i, h in enumerate(hot):
-            m = vd == F.lit(h)
-            aggs += [F.min(F.when(m, F.col(tb))).alias(f"a{i}"), F.max(F.when(m, F.col(tb))).alias(f"b{i}"),
-                     F.count_if(m).alias(f"c{i}")]
-        r = base.agg(*aggs).first()
-        for i, h in enumerate(hot):
-            if r[f"c{i}"]:
-                hot_info[h] = (int(r[f"a{i}"]), int(r[f"b{i}"]), max(1, math.ceil(r[f"c{i}"] / target)))
+        # hot values are at most the number of ranges: a table, not literals
+        values = F.broadcast(spark.createDataFrame([(h,) for h in hot], "_ord_v double"))
+        found = (base.join(values, vd == F.col("_ord_v")).groupBy("_ord_v")
+                 .agg(F.min(tb).alias("lo"), F.max(tb).alias("hi"), F.count(F.lit(1)).alias("c")))
+        hot_info = {r["_ord_v"]: (int(r["lo"]), int(r["hi"]), max(1, math.ceil(r["c"] / target)))
+                    for r in found.collect()}
     null_split = None
     if n_rows - n_val > 0:
         null_split = (int(s0["nmin"]), int(s0["nmax"]), max(1, math.ceil((n_rows - n_val) / target)))
@@ -183,20 +180,23 @@ def ordered(df: DataFrame, spec: OrderSpec, sums: tuple[str, ...] = (),
         p = piece(lo, hi, m)
         b2 = F.when(F.col(vd).isNull(), p).otherwise(b2)
         hp = F.when(F.col(vd).isNull(), F.when(p == 0, 1).otherwise(2)).otherwise(hp)
-    major_hot = []
-    for h, (lo, hi, m) in hot_info.items():
-        eq = F.col(vd) == F.lit(h)
-        p = piece(lo, hi, m)
-        if spec.descending:
-            inside = F.when(eq, p + 1).otherwise(F.lit(0))  # larger values of the range come first
-        else:
-            inside = F.when(eq, p).otherwise(F.lit(m))  # the hot value opens its range
-        idx = distinct_cuts.index(h) + 1  # bucket i covers [splits[i], splits[i+1])
-        major_hot.append((idx, inside))
+    split_cols = ["_ord_at", "_ord_v", "_ord_lo", "_ord_hi", "_ord_m"]
+    if hot_info:
+        # one row per hot value (at most the number of ranges), met by range:
+        # bucket i covers [splits[i], splits[i+1]), so a hot value opens its range
+        at = {c: i + 1 for i, c in enumerate(distinct_cuts)}
+        hot = df.sparkSession.createDataFrame([(at[h], h, *split) for h, split in hot_info.items()],
+                                              "_ord_at int, _ord_v double, _ord_lo long, _ord_hi long, _ord_m int")
+        b = b.join(F.broadcast(hot), F.col(vd).isNotNull() & (major == F.col("_ord_at")), "left")
+        lo, hi, m = (F.col(c) for c in split_cols[2:])
+        eq = F.col(vd) == F.col("_ord_v")
+        p = F.floor((F.col(tb) - lo) * m / (hi - lo + 1)).cast("int")
+        # descending: larger values of the range come first
+        inside = F.when(eq, p + 1).otherwise(0) if spec.descending else F.when(eq, p).otherwise(m)
+        b2 = F.when(F.col("_ord_v").isNotNull(), inside).otherwise(b2)
         hp = F.when(eq, F.when(p == 0, 1).otherwise(2)).otherwise(hp)
-    for idx, inside in major_hot:
-        b2 = F.when(F.col(vd).isNotNull() & (major == idx), inside).otherwise(b2)
-    b = b.withColumn("_b1", b1).withColumn("_b2", b2.cast("int")).withColumn("_hp", hp.cast("int")).drop("_major")
+    b = (b.withColumn("_b1", b1).withColumn("_b2", b2.cast("int")).withColumn("_hp", hp.cast("int"))
+          .drop("_major", *split_cols))
     keyed = b  # rows with their range key (feeds the small range table)
 
     # -- local windows
@@ -310,10 +310,7 @@ def moving_frame(df: DataFrame, order_col: str, value_cols: list[str], preceding
     o = ordered(df, spec, plan=plan).drop("_rank", "_dense_rank", "_le")
     total = plan.n_rows
     spark = df.sparkSession
-    try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001
-        parts = 8
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # about one block per shuffle partition on small data, never more than
     # rows_per_block rows in one block on large data
     block = max(preceding + 1, min(math.ceil(max(total, 1) / max(parts, 1)), rows_per_block))

@@ -2,9 +2,8 @@
 
 A window ``PARTITION BY key ORDER BY date, id`` sends every row of a key to one
 task.  That is right for ordinary keys, but one key may hold a large share of
-all rows.  Keys with more than ``max_rows_per_key`` rows are found without a
-shuffle (``freqItems`` sketches merged from every partition, then an exact
-count of the few candidates) and take a second path:
+all rows.  Keys with more than ``max_rows_per_key`` rows are found by an exact
+count per key and take a second path:
 
 * the rows of hot keys get one sortable number per (hot key, date) and go
   through the bucketed global order (``operators.order``): range buckets split
@@ -38,9 +37,8 @@ def clear_hot_keys() -> None:
 
 
 def hot_keys(df: DataFrame, key: str, max_rows_per_key: int) -> list:
-    """Keys with more than ``max_rows_per_key`` rows (exact), found with one
-    count, one frequent-items pass and one filtered count of the candidates.
-    At most n / max_rows_per_key keys can qualify, so the list is bounded.
+    """Keys with more than ``max_rows_per_key`` rows: one exact count per key,
+    combined on the map side (the shuffle holds a key once per task).  At most n / max_rows_per_key keys can qualify, so the list is bounded.
 
     The answer is remembered per (semantic plan, key, limit) for the life of
     the process: jobs over the same input plan pay for the detection once."""
@@ -52,17 +50,8 @@ def hot_keys(df: DataFrame, key: str, max_rows_per_key: int) -> list:
 
 
 def _detect_hot(df: DataFrame, key: str, max_rows_per_key: int) -> list:
-    n = df.count()
-    if n <= max_rows_per_key:
-        return []
-    support = max(1e-4, min(1.0, max_rows_per_key / n))
-    cands = df.stat.freqItems([key], support).first()[0] or []
-    cands = [c for c in cands if c is not None]
-    if not cands:
-        return []
-    exact = (df.filter(F.col(key).isin(cands)).groupBy(key).count()
-               .filter(F.col("count") > max_rows_per_key).select(key))
-    return sorted(r[0] for r in exact.collect())
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).count()
+    return sorted(r[0] for r in counts.filter(F.col("count") > max_rows_per_key).select(key).collect())
 
 
 def sequence(df: DataFrame, key: str, date_col: str, tiebreak: str,
@@ -112,10 +101,7 @@ def sequence(df: DataFrame, key: str, date_col: str, tiebreak: str,
 
     if not lag_cols and not lead_cols:  # no neighbour values needed: no blocks
         return cold.unionByName(o.select(*cold.columns))
-    try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001
-        parts = 8
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     block = F.greatest(F.lit(2), F.least(F.ceil(F.col("_n") / F.lit(parts)), F.lit(rows_per_block)))
     blk = F.floor((F.col("_rn") - 1) / block).cast("bigint")
     pos = (F.col("_rn") - 1) - blk * block

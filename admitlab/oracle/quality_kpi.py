@@ -53,6 +53,8 @@ AGE_BRACKET = """CASE WHEN age < 30 THEN '{young}' WHEN age BETWEEN 30 AND 60 TH
 ORACLE = {
     # ---- 2.1
     "column_profile": _profile_sql(),
+    "orphan_encounters": "SELECT COUNT(*) AS encounters, COUNT(*) FILTER (WHERE o_custkey IS NULL OR o_custkey NOT IN"
+                         " (SELECT c_custkey FROM customer)) AS orphans FROM orders",
     "table_scan": H + "SELECT * FROM enc",
     "table_sample": H + "SELECT * FROM enc ORDER BY id LIMIT 10",
     "row_count": H + "SELECT COUNT(*) AS total_rows FROM enc",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import expr as X
 from ..functions import fixed as FX
@@ -14,38 +15,51 @@ def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """Per column in schema order: position, name, Spark type, nullability
     (the catalogue query), plus rows, NULLs and distinct values from the data.
 
-    Row and NULL counts are one aggregate.  Distinct counts unpivot the table
-    into narrow (column, value-as-text) rows, de-duplicate them with a partial
-    (map-side) aggregate and count per column - one exchange of two narrow
-    columns instead of one wide row copy per column.  ``exact_distinct=False``
-    uses HyperLogLog++ sketches instead (one pass, no exchange of values)."""
+    One scan: every value becomes a narrow row (column number, number or text).
+    Integers, dates, booleans and decimals of up to 18 digits travel as one
+    bigint, other types as text; equal values of a column meet in a partial
+    (map-side) aggregate, and the counts follow from its groups.
+    ``exact_distinct=False`` uses HyperLogLog++ sketches instead (no exchange
+    of values)."""
     cols = df.columns
     fields = {f.name: f for f in df.schema.fields}
     meta = df.sparkSession.createDataFrame(
         [(i + 1, c, fields[c].dataType.simpleString(), "YES" if fields[c].nullable else "NO")
          for i, c in enumerate(cols)],
         "ordinal_position int, column_name string, data_type string, is_nullable string")
-    nulls = df.agg(F.count(F.lit(1)).alias("row_count"),
-                   *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
-    nulls = nulls.selectExpr("row_count", f"stack({len(cols)}, " + ", ".join(
-        f"'{c}', _n{i}" for i, c in enumerate(cols)) + ") AS (column_name, null_count)")
     if exact_distinct:
-        pairs = df.selectExpr(f"stack({len(cols)}, " + ", ".join(
-            f"'{c}', CAST(`{c}` AS STRING)" for c in cols) + ") AS (column_name, v)")
-        distinct = (pairs.filter(F.col("v").isNotNull()).distinct()
-                         .groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count")))
-        # columns holding only NULLs have no value rows
-        distinct = meta.select("column_name").join(distinct, "column_name", "left").select(
-            "column_name", F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"))
+        slots = ", ".join(f"{i + 1}, {_value_slots(fields[c])}" for i, c in enumerate(cols))
+        seen = (df.selectExpr(f"stack({len(cols)}, {slots}) AS (ordinal_position, num, txt)")
+                  .groupBy("ordinal_position", "num", "txt").agg(F.count(F.lit(1)).alias("n")))
+        is_null = F.col("num").isNull() & F.col("txt").isNull()
+        counts = seen.groupBy("ordinal_position").agg(
+            F.sum("n").alias("row_count"), F.sum(F.when(is_null, F.col("n"))).alias("null_count"),
+            F.count_if(~is_null).alias("distinct_count"))
     else:
-        d = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
-        distinct = d.selectExpr(f"stack({len(cols)}, " + ", ".join(
-            f"'{c}', _d{i}" for i, c in enumerate(cols)) + ") AS (column_name, distinct_count)")
-    # three tables of one row per column: small joins
-    return (meta.join(nulls, "column_name").join(distinct, "column_name")
+        one = df.agg(F.count(F.lit(1)).alias("rows"),
+                     *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
+                     *[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(cols)])
+        counts = one.selectExpr(f"stack({len(cols)}, " + ", ".join(
+            f"{i + 1}, rows, n{i}, d{i}" for i in range(len(cols)))
+            + ") AS (ordinal_position, row_count, null_count, distinct_count)")
+    # two tables of one row per column: a small join (an empty table has no groups)
+    return (meta.join(counts, "ordinal_position", "left")
                 .select("ordinal_position", "column_name", "data_type", "is_nullable",
-                        F.col("row_count").cast("bigint"),
-                        F.col("null_count").cast("bigint"), F.col("distinct_count").cast("bigint")))
+                        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                          for c in ("row_count", "null_count", "distinct_count")]))
+
+
+def _value_slots(field: T.StructField) -> str:
+    """SQL for (bigint, text): the value in the one that fits its type, NULL in
+    the other."""
+    c, t = f"`{field.name}`", field.dataType
+    if isinstance(t, T.IntegralType | T.BooleanType):
+        return f"CAST({c} AS BIGINT), CAST(NULL AS STRING)"
+    if isinstance(t, T.DateType):
+        return f"CAST(unix_date({c}) AS BIGINT), CAST(NULL AS STRING)"
+    if isinstance(t, T.DecimalType) and t.precision <= 18:
+        return f"CAST({c} * {10 ** t.scale}BD AS BIGINT), CAST(NULL AS STRING)"
+    return f"CAST(NULL AS BIGINT), CAST({c} AS STRING)"
 
 
 def table_scan(df: DataFrame) -> DataFrame:

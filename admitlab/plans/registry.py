@@ -27,12 +27,25 @@ REFERRAL_START = 137
 JSON_THRESHOLD = 50
 LOOKUP_PATIENT = "PAT0000500"
 
+#: Jobs that use income, payer or region, or every column.  All others read
+#: the columns of ``orders`` and join neither customer nor geography.
+ALL_COLUMNS = {
+    "column_profile", "table_scan", "table_sample", "impute_income", "standardize_labels", "impute_multi",
+    "drop_duplicate_encounters", "missing_counts", "category_profile", "numeric_ranges", "payer_mix",
+    "rate_by_income_tier", "insured_vs_uninsured", "payer_price_gap", "revenue_by_region", "payer_profitability",
+    "age_income_crosstab", "diagnosis_by_region", "revenue_pivot_by_month", "wealth_health", "debt_ratio",
+    "debt_ratio_rounded", "bad_debt", "bad_debt_exposure", "patient_lookup", "json_patients_by_payer", "regex_match",
+    "scale_income_by_payer",
+}
+
 _REGISTRY: dict[str, Job] = {}
 
 
 def _enc_job(fn, **params) -> Job:
+    source = T.encounters if fn.__name__ in ALL_COLUMNS else T.admissions
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(T.encounters(spark, sf_dir), **params)
+        return fn(source(spark, sf_dir), **params)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -113,6 +126,7 @@ def _register_all() -> None:
     register("tree_roots", lambda spark, d: closure.roots(T.referral_tree(spark, d), "doctor_id", "referred_by_id"))
     register("bill_deviation_first", _enc_job(windows.bill_deviation, limit=50))
     register("patient_lookup", _enc_job(relate.patient_lookup, patient_id=LOOKUP_PATIENT))
+    register("orphan_encounters", T.orphan_encounters)
     # 2.9 semi-structured
     register("json_filter", lambda spark, d: semi.json_filter(T.patient_logs(spark, d), "k", JSON_THRESHOLD))
     register("unnest_counts", lambda spark, d: semi.unnest_counts(T.patient_surveys(spark, d)))

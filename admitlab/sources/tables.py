@@ -66,8 +66,8 @@ def _encounter_exprs() -> list[str]:
         "o_orderkey AS id",
         "o_custkey AS patient_key",
         "concat('PAT', lpad(CAST(o_custkey AS STRING), greatest(7, length(CAST(o_custkey AS STRING))), '0')) AS patient_id",
-        "CAST(CASE WHEN o_orderkey % 997 = 0 THEN 105 ELSE 18 + (c_custkey * 7) % 78 END AS INT) AS age",
-        "CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender",
+        "CAST(CASE WHEN o_orderkey % 997 = 0 THEN 105 ELSE 18 + (o_custkey * 7) % 78 END AS INT) AS age",
+        "CASE WHEN o_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender",
         f"{admit} AS admission_date",
         f"date_add({admit}, CAST(1 + (o_orderkey * 3) % 10 AS INT)) AS discharge_date",
         "CAST(CASE WHEN c_custkey % 20 = 3 THEN NULL ELSE CAST(c_acctbal * 8 + 30000 AS DECIMAL(12,2)) END"
@@ -121,6 +121,26 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encounter columns that ``orders`` alone gives: all but income, payer
+    and region.  Jobs that use no other column read this view and join
+    nothing.  Every order has its customer (job ``orphan_encounters`` counts
+    those that have none), so its rows are those of ``encounters``."""
+    key = _memo_key(spark, sf_dir, "__admissions__")
+    if key not in _READ_MEMO:
+        own = [e for e in _encounter_exprs() if "c_" not in e.rsplit(" AS ", 1)[0] and not e.startswith("r_name")]
+        _READ_MEMO[key] = read_table(spark, sf_dir, "orders").where("o_custkey IS NOT NULL").selectExpr(*own)
+    return _READ_MEMO[key]
+
+
+def orphan_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key integrity: encounters, and those whose customer is unknown."""
+    o = read_table(spark, sf_dir, "orders").select("o_custkey")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    return o.join(c, o.o_custkey == c.c_custkey, "left").agg(
+        F.count(F.lit(1)).alias("encounters"), F.count_if(F.col("c_custkey").isNull()).alias("orphans"))
+
+
 # ---------------------------------------------------------------- side tables
 
 def delinquency(spark: SparkSession, sf_dir: str) -> DataFrame:
