@@ -38,7 +38,8 @@ def clear_hot_keys() -> None:
 
 def hot_keys(df: DataFrame, key: str, max_rows_per_key: int) -> list:
     """Keys with more than ``max_rows_per_key`` rows: one exact count per key,
-    combined on the map side (the shuffle holds a key once per task).  At most n / max_rows_per_key keys can qualify, so the list is bounded.
+    combined on the map side (the shuffle holds a key once per task).  At most
+    n / max_rows_per_key keys can qualify, so the list is bounded.
 
     The answer is remembered per (semantic plan, key, limit) for the life of
     the process: jobs over the same input plan pay for the detection once."""
@@ -62,7 +63,8 @@ def sequence(df: DataFrame, key: str, date_col: str, tiebreak: str,
     """``df`` plus ``_seq`` (1-based position in the key's (date, tiebreak)
     order), ``_prev_<c>`` for ``lag_cols``, ``_next_<c>`` for ``lead_cols`` and
     ``_cum_<c>`` for ``range_sums``: the sum of c over the key's rows up to
-    this row's date (default RANGE frame: same-date rows share it)."""
+    this row's date (default RANGE frame: same-date rows share it).  Rows
+    without a date come first in their key, on both paths."""
     if hot is None:
         hot = hot_keys(df, key, max_rows_per_key)
     w = Window.partitionBy(key).orderBy(date_col, tiebreak)
@@ -87,7 +89,7 @@ def sequence(df: DataFrame, key: str, date_col: str, tiebreak: str,
     cold = plain(df.join(hot_df, key, "left_anti"))
 
     h = df.join(hot_df, key).withColumn(
-        "_hv", F.col("_hidx") * _DAY_SPAN + F.unix_date(F.col(date_col)) + _DAY_SHIFT)
+        "_hv", F.col("_hidx") * _DAY_SPAN + F.coalesce(F.unix_date(F.col(date_col)) + _DAY_SHIFT, F.lit(0)))
     o = ordered(h, OrderSpec("_hv", tiebreak), sums=tuple(range_sums)).drop("_rank", "_dense_rank", "_le")
     # one row per hot key: first row number and the sums of all earlier hot keys
     per_key = h.groupBy("_hidx").agg(*[F.sum(c).alias(f"_ks_{c}") for c in range_sums],

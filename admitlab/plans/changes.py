@@ -4,6 +4,8 @@ way the row trigger logged single updates."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +72,8 @@ def bill_audit(old: DataFrame, new: DataFrame, null_safe: bool = False) -> DataF
                                     F.col("new_amount").cast("double").alias("new_amount"))
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    """INSERT ... SELECT into the audit table: append to Parquet."""
-    log.withColumn("change_date", F.current_timestamp()).write.mode("append").parquet(path)
+def append_log(log: DataFrame, path: str, change_date: dt.date | None = None) -> None:
+    """INSERT ... SELECT into the audit table: append to Parquet, with the
+    given change date or else the time of the append."""
+    when = F.current_timestamp() if change_date is None else F.lit(change_date)
+    log.withColumn("change_date", when).write.mode("append").parquet(path)

@@ -61,9 +61,13 @@ def _regional_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Materialised view: aggregate, store under the shared checkpoint
     folder, read the stored copy back.  Every refresh is a new version in a
     folder of its own, so results read from an earlier one stay readable."""
+    return kpi.materialize(kpi.regional_stats(T.encounters(spark, sf_dir)), _shared_path(spark, "mv_regional_stats"))
+
+
+def _shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder."""
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
-    path = f"{base.rstrip('/')}/mv_regional_stats/{uuid.uuid4().hex}"
-    return kpi.materialize(kpi.regional_stats(T.encounters(spark, sf_dir)), path)
+    return f"{base.rstrip('/')}/{name}/{uuid.uuid4().hex}"
 
 
 def _delinquent_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +115,7 @@ def _register_all() -> None:
     register("moving_avg_daily_dense", _enc_job(timeline.moving_avg_daily, dense=True))
     register("churn_status", _enc_job(timeline.churn_status, as_of=AS_OF))
     # 2.6 risk, 2.7 finance
-    for name in ["lace_view", "lace_score", "predictive_risk", "risk_validation",
+    for name in ["lace_view", "lace_score", "lace_score_sql", "predictive_risk", "risk_validation",
                  "risk_validation_predictive", "risk_category", "young_high_risk", "high_risk_list"]:
         register(name, _enc_job(getattr(risk, name)))
     for name in ["debt_ratio", "debt_ratio_rounded", "bad_debt", "bad_debt_exposure"]:
@@ -149,6 +153,12 @@ def _register_all() -> None:
     register("bill_audit", _audit(False))
     register("bill_audit_null_safe", _audit(True))
 
+    def _audit_log(spark, d):
+        path = _shared_path(spark, "bill_audit_log")
+        changes.append_log(_audit(False)(spark, d), path, AS_OF)
+        return spark.read.parquet(path)
+    register("bill_audit_log", _audit_log)
+
 
 def jobs() -> dict[str, Job]:
     if not _REGISTRY:

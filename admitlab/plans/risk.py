@@ -29,6 +29,14 @@ def lace_score(df: DataFrame) -> DataFrame:
     return df.select("id", "patient_id", X.lace_uncapped().cast("bigint").alias("lace_score"))
 
 
+def lace_score_sql(df: DataFrame) -> DataFrame:
+    """The same through the SQL function ``calculate_lace``."""
+    register_sql_functions(df.sparkSession)
+    return df.selectExpr("id", "patient_id", """CAST(calculate_lace(
+        datediff(discharge_date, admission_date), admission_type = 'Emergency', comorbidity_score,
+        previous_admissions_12m) AS BIGINT) AS lace_score""")
+
+
 def _predictive_score():
     w = FX.RISK_WEIGHTS
     return (F.when(F.col("age") > 70, w["age_over_70"]).otherwise(0)

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from admitlab.operators.order import OrderSpec, ordered, plan_order
 from admitlab.operators.sequence import hot_keys, sequence
 from admitlab.sources.tables import encounters
-from conftest import SF_MID
+from sf_dirs import SF_MID
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,10 @@ def test_hot_patient_detected(skewed):
     assert hot_keys(skewed, "patient_key", 1000) == [0]
 
 
-def test_sequence_equals_plain_window(skewed):
+@pytest.mark.parametrize("undated", [0, 7])
+def test_sequence_equals_plain_window(skewed, undated):
+    if undated:  # rows without a date come first in their patient
+        skewed = skewed.withColumn("admission_date", F.when(F.col("id") % undated != 0, F.col("admission_date")))
     got = sequence(skewed, "patient_key", "admission_date", "id", ("discharge_date",), ("admission_date",),
                    ("readmitted_30_days",), max_rows_per_key=1000)
     w = Window.partitionBy("patient_key").orderBy("admission_date", "id")

@@ -7,7 +7,7 @@ import pytest
 from admitlab.oracle.compare import compare, duck
 from admitlab.oracle.registry import oracle_sql
 from admitlab.plans.registry import jobs
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 SQL = oracle_sql()
 JOBS = jobs()

@@ -1,7 +1,7 @@
 """Physical plans have the shape the design relies on."""
 
 from admitlab.plans.registry import jobs
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def _plan(df):

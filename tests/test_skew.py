@@ -11,7 +11,7 @@ from admitlab.operators.sequence import hot_keys
 from admitlab.plans import intervals
 from admitlab.plans.registry import jobs
 from admitlab.sources.tables import encounters
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 PER_PATIENT = ["visit_gap", "visit_gap_context", "revisit_detail", "frequent_flyers", "care_episodes",
                "gap_distribution_5", "bill_delta", "bill_trends", "visit_sequence"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from admitlab.plans import changes
 from admitlab.sources.tables import delinquency, encounters
 from admitlab.streaming.audit import audit_changes, start_audit_stream
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 
 def test_stream_matches_batch_diff(spark):

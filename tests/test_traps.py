@@ -137,7 +137,7 @@ def test_two_requests_for_a_patient_do_not_double_rows(spark):
 
 def test_earlier_version_of_a_stored_view_stays_readable(spark):
     from admitlab.plans.registry import jobs
-    from conftest import SF_MID, SF_SMALL
+    from sf_dirs import SF_MID, SF_SMALL
     first = jobs()["regional_stats"](spark, SF_SMALL)
     n = first.count()
     jobs()["regional_stats"](spark, SF_MID).count()
@@ -177,7 +177,7 @@ def test_zscore_degenerate(spark):
 def test_gap_distribution_adds_up(spark):
     from admitlab.plans import intervals
     from admitlab.sources.tables import encounters
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     enc = encounters(spark, SF_SMALL)
     gaps = intervals.with_gaps(enc).filter(F.col("days_gap").isNotNull()).count()
     for f in (intervals.gap_distribution_4, intervals.gap_distribution_5):
@@ -198,7 +198,7 @@ def test_append_log(spark, tmp_path):
 
 def test_referral_chain_sql_equals_loop(spark):
     from admitlab.sources.tables import referral_tree
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     tree = referral_tree(spark, SF_SMALL)
     a = sorted(tuple(r) for r in relate.referral_chain(tree, 137).collect())
     b = sorted(tuple(r) for r in relate.referral_chain_sql(tree, 137).collect())
@@ -208,7 +208,7 @@ def test_referral_chain_sql_equals_loop(spark):
 def test_sql_lace_function_equals_expression(spark):
     from admitlab.plans import risk
     from admitlab.sources.tables import encounters
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     risk.register_sql_functions(spark)
     enc = encounters(spark, SF_SMALL)
     enc.createOrReplaceTempView("enc_for_lace")
@@ -231,7 +231,7 @@ def test_to_char_padding(spark):
 def test_roots_by_pointer_doubling(spark):
     from admitlab.operators.closure import roots, walk_up
     from admitlab.sources.tables import referral_tree
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     tree = referral_tree(spark, SF_SMALL)
     got = {r["doctor_id"]: (r["root"], r["depth"]) for r in roots(tree, "doctor_id", "referred_by_id").collect()}
     assert len(got) == tree.count()
