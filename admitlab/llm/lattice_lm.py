@@ -329,7 +329,8 @@ def score_documents(docs: DataFrame, held_out: Column, piece_file: str, id_col:
 
     scored = store(words.mapInArrow(lattice, "word binary, c long, c_all long, base double, model double"), "lm-scored")
     least = _levels(words)
-    top = scored.where(((F.col("c_all") >= least) & (F.length("word") <= FREQUENT_BYTES))
+    # a chance too small for a double stays a logarithm, which the join keeps
+    top = scored.where(((F.col("c_all") >= least) & (F.length("word") <= FREQUENT_BYTES) & (F.col("model") > -300))
                        | (F.col("word") == F.lit(bytearray(END)))).collect()  # FREQUENT_WORDS + 1 rows at most
     known = sc.broadcast(({bytes(r["word"]): i for i, r in enumerate(top)},
                           np.array([(r["base"], 10.0 ** r["model"], r["c"] > 0) for r in top], float).reshape(-1, 3)))

@@ -118,6 +118,14 @@ def test_edge_tables(make_docs, llm):
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0 and r["score"] < 0 for r in got)
 
 
+def test_words_too_unlikely_for_a_double(make_docs, llm):
+    from pyspark.sql import functions as F
+    odd = "".join(chr(0x10F000 + 37 * k) for k in range(16))  # 64 bytes of no known piece
+    docs = make_docs([(k, "the common words of the training text " * 4000) for k in range(4)] + [(9, f"{odd} {odd} the")])
+    got = {r["doc_id"]: r["score"] for r in M.score_documents(docs, F.col("doc_id") == 9, PIECES).collect()}
+    assert -1500 < got[9] < -300 and all(math.isfinite(x) for x in got.values())
+
+
 def test_query_on_whole_table(llm):
     from admitlab.llm.queries import op2_lattice_lm
     d = "/root/testdata/sf0.001"
