@@ -161,6 +161,8 @@ def _best_literal(rows: DataFrame, names: list[str], edges: dict[str, list[float
     """The literal of highest gain on rows (y, one column per measure)."""
     bins = [F.struct(F.lit(n).alias("m"), sum((F.when(F.col(n) > e, 1).otherwise(0) for e in edges[n]), F.lit(0)).alias("b"))
             for n in names if edges[n]]
+    if not bins:  # no rows to learn from
+        return None, 0.0
     counts = rows.select("y", F.explode(F.array(*bins)).alias("x")).groupBy("x.m", "x.b").agg(
         F.sum(1 - F.col("y")).alias("pos"), F.sum("y").alias("neg")).collect()
     best, top = None, 0.0
