@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,14 +97,18 @@ def column_texts(batch: pa.RecordBatch, i: int = 0) -> Iterable[str]:
     return (x or "" for x in batch.column(i).to_pylist())
 
 
-def batches(schema: pa.Schema, rows: Iterator[tuple], size: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Tuples as Arrow batches of at most ``size`` rows."""
+def batches(schema: pa.Schema, rows: Iterator[tuple], size: int = 4096, weigh: Callable[[tuple], int] | None = None,
+            limit: int = 0) -> Iterator[pa.RecordBatch]:
+    """Tuples as Arrow batches of at most ``size`` rows; with ``weigh``, a batch
+    also ends with the row that brings its weight to ``limit``."""
     buf: list[tuple] = []
+    weight = 0
     for r in rows:
         buf.append(r)
-        if len(buf) >= size:
+        weight += weigh(r) if weigh else 0
+        if len(buf) >= size or (weigh and weight >= limit):
             yield _batch(schema, buf)
-            buf = []
+            buf, weight = [], 0
     if buf:
         yield _batch(schema, buf)
 

@@ -88,9 +88,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.createDataFrame([(conv, i, r, text) for i, r in enumerate(roles)],
                                  T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
                                                T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
-    out = chat_format.format_chat(rows.unionByName(more))
-    return out.select("conv_id", chat_format.read_back(F.col("formatted"), F.col("loss_spans")).alias("d"),
-                      "valid").select("conv_id", "d.*", "valid")
+    out = chat_format.read_segments(chat_format.format_segments(rows.unionByName(more)))
+    return out.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid")
 
 
 def queries() -> dict[str, Query]:

@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 from admitlab.llm import chat_format as C
 from admitlab.llm import queries, sql
@@ -50,3 +51,43 @@ def test_query_matches_sql_and_the_planted_conversation(llm):
     text = r"\### Assistant: </turn> ok"
     assert r["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest() and r["loss_chars"] == len(text)
     assert r["turns_sha256"] == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
+def test_a_long_conversation_is_never_one_string_or_cell(llm):
+    n, text = 2_000, "<\\" + "é" * 20_000  # 80 MB of text in memory
+    turns = ((1, "assistant" if i % 2 else "user", text) for i in range(n))
+    tracemalloc.start()
+    (row,) = C.digests(C.walk(turns, T), T)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert row[0] == 1 and row[1] == n and row[3] == n // 2 * len(text) and row[6] is True
+    loss = hashlib.sha256()
+    for _ in range(n // 2):
+        loss.update(text.encode())
+    assert row[4] == loss.hexdigest() and peak < 4 << 20
+    rows = [(1, i, "assistant" if i % 2 else "user", text[:900]) for i in range(200)]
+    segs = C.format_segments(llm.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = segs.orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(600)) and max(len(r["piece"]) for r in got) < 2 * 900
+    assert T.parse("".join(r["piece"] for r in got)) == [r[2:] for r in rows]
+
+
+def test_segments_read_back_like_the_whole_text(llm):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo </turn>"), (2, 0, "assistant", "x"), (3, 1, "user", "b"),
+            (3, 0, "user", "a"), (None, 0, "user", "q"), (None, 1, "assistant", ""), (7, 0, "robot", None)]
+    df = llm.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = {r["conv_id"]: r for r in C.format_chat(df).collect()}
+    got = {r["conv_id"]: r for r in C.read_segments(C.format_segments(df)).collect()}
+    assert whole.keys() == got.keys()
+    for k, r in got.items():
+        w = whole[k]
+        assert (r["valid"], r["end_state"], r["bad_turn"], 3 * r["n_turns"], r["formatted_chars"]) == (
+            w["valid"], w["end_state"], w["bad_turn"], w["n_segments"], len(w["formatted"]))
+        turns = "".join(f"{a}\n{b}\n" for a, b in T.parse(w["formatted"]))
+        assert r["turns_sha256"] == hashlib.sha256(turns.encode()).hexdigest()
+    out = [(1, 0, "p", False, "asked"), (1, 2, "q", False, "asked")]
+    try:
+        list(C.digests(iter(out), T))
+    except ValueError:
+        return
+    raise AssertionError("a missing segment was not seen")
