@@ -149,10 +149,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     ``n_links`` counts the other rows at cosine >= ``threshold`` in double
     precision, ``component_id`` is the smallest id that links reach.  Vectors
     that are NULL, empty, zero, or hold NULL or non-finite components link with
-    nothing, and neither do those whose length is not the most frequent one (of
-    equally frequent ones, the longest).  A row with a NULL id counts as a link
-    of others and has the component of its equals.  Repeated rows are rows of
-    their own; extra columns are ignored; an empty table gives an empty one.
+    nothing; vectors of different lengths never link, and each length that two
+    rows share is joined on its own, one after another (lengths are few).  A row
+    with a NULL id counts as a link of others and has the component of its
+    equals.  Repeated rows are rows of their own; extra columns are ignored; an
+    empty table gives an empty one.
     """
     eps = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
     vec = F.col("embedding")
@@ -160,18 +161,24 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     usable = F.coalesce((F.size(vec) > 0) & finite & F.exists(vec, lambda x: x != 0), F.lit(False))
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").alias("embedding"))
     rows = store(rows.withColumn("width", F.when(usable, F.size(vec))), "ego-rows")
-    widths = rows.where("width is not null").groupBy("width").count().orderBy(F.desc("count"), F.desc("width")).head(1)
-    width = widths[0]["width"] if widths else 0
-    used, rest = rows.where(F.col("width") == width), rows.where(F.coalesce(F.col("width") != width, F.lit(True)))
-    alone = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                        F.lit(True).alias("kept"))
-    if not width:
-        return alone
+    counts = rows.where("width is not null").groupBy("width").count().where("count > 1")
+    widths = sorted(r["width"] for r in counts.collect())
+    rest = rows.where(~F.col("width").isin(widths) | F.col("width").isNull()) if widths else rows
+    out = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                      F.lit(True).alias("kept"))
+    for width in widths:
+        used = rows.where(F.col("width") == width)
+        out = out.unionByName(_linked(used, width, threshold, eps, interval_rows, principal))
+    return out
+
+
+def _linked(used: DataFrame, width: int, threshold: float, eps: float, interval_rows: int, principal: int) -> DataFrame:
+    """``near_vectors`` of usable vectors of one length, rows (vec_id, embedding)."""
     # one row per different vector; "low" is NULL if none of its rows has an id
     reps = store(used.groupBy("embedding").agg(F.min("vec_id").alias("low"), F.count("*").alias("n"))
                  .withColumn("rep", F.monotonically_increasing_id()), "ego-reps")
     mean, axes = principal_axes(reps, width, min(principal, width))
-    sc = rows.sparkSession.sparkContext
+    sc = used.sparkSession.sparkContext
     frame = sc.broadcast((mean, axes))
 
     @F.arrow_udf("array<double>")
@@ -236,7 +243,6 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
                          F.coalesce("component", "rep").alias("group"))
     lowest = named.groupBy("group").agg(F.min("low").alias("component_id"))
     named = named.join(lowest, "group").select("embedding", "n_links", "component_id")
-    linked = used.join(named, "embedding").select(
+    return used.join(named, "embedding").select(
         "vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"),
                                                         F.col("component_id").isNull()).alias("kept"))
-    return linked.unionByName(alone)

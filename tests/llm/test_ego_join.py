@@ -60,6 +60,16 @@ def test_odd_vectors(llm):
     assert E.near_vectors(df.where("vec_id in (1, 2)")).count() == 2
 
 
+def test_every_length_has_its_links(llm):
+    rng = np.random.default_rng(3)
+    rows = [(i, v) for i, v in enumerate(clustered(rng, 40, 12))] + [(100 + i, v) for i, v in enumerate(clustered(rng, 24, 5))]
+    rows += [(200, [1.0]), (201, [2.0]), (202, [-1.0]), (203, [1.0, 1.0]), (204, None), (None, [3.0, 0.0, 0.0, 1.0])]
+    got = E.near_vectors(llm.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    want = sorted(brute(rows), key=str)
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=str) == want
+    assert sum(n for k, n, _ in want if k is not None and k >= 100) > 0
+
+
 def test_distant_pieces_are_skipped():
     rng = np.random.default_rng(0)
     x = E._unit(np.repeat(np.eye(4), 300, axis=0) + rng.normal(size=(1200, 4)) * 0.01)
