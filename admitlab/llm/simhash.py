@@ -99,31 +99,41 @@ def links(points: DataFrame, max_bits: int = 2, hot_key: int = 256) -> DataFrame
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, seed: int) -> DataFrame:
-    """Rows doc_id, unnamed (hash of the text where the id is NULL), fp,
-    component_id."""
+    """Rows doc_id, mark (hash of the text), fp, group (smallest fingerprint
+    that links reach), component_id."""
     text, ident = text_or_empty(text_col), F.col(f"`{id_col}`").cast("long")
-    fps = store(docs.select(ident.alias("doc_id"), _unnamed(ident, text).alias("unnamed"),
-                            fingerprints(text, shingle, seed).alias("fp")), "simhash-fps")
-    reps = store(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-reps")
-    comp = connected_components(links(reps, max_bits))
-    named = reps.join(comp.select(F.col("node").alias("n2"), "component"), F.col("node") == F.col("n2"), "left")
-    named = named.select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(named, "fp")
+    return grouped(store(docs.select(ident.alias("doc_id"), F.xxhash64(text).alias("mark"),
+                                     fingerprints(text, shingle, seed).alias("fp")), "simhash-fps"), max_bits)
 
 
-def _unnamed(ident: Column, text: Column) -> Column:
-    return F.when(ident.isNull(), F.xxhash64(text))
+def grouped(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Rows (doc_id, fp, ...) with group and component_id; fingerprints are the
+    nodes, so rows without ids link like any other."""
+    reps = store(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-reps")
+    comp = connected_components(links(reps.select(F.col("fp").alias("node"), "fp"), max_bits))
+    named = reps.join(comp.select(F.col("node").alias("n2"), "component"), F.col("fp") == F.col("n2"), "left")
+    named = store(named.select("fp", "low", F.coalesce("component", "fp").alias("group")), "simhash-groups")
+    lowest = named.groupBy("group").agg(F.min("low").alias("component_id"))
+    return fps.join(named.select("fp", "group").join(lowest, "group"), "fp")
+
+
+def kept_rows(rows: DataFrame) -> DataFrame:
+    """(doc_id, mark) of each group's row of smallest id, of equal ids the one
+    of the smallest mark; a row without id only where no row has one."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark"))
+    return rows.groupBy("group").agg(first.alias("k")).select("k.doc_id", "k.mark")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     max_bits: int = 2, seed: int = 42) -> DataFrame:
     """(doc_id, fp, component_id), one row per input row.
 
-    ``component_id`` is the smallest id that links reach.  NULL and empty texts
-    have fingerprint 0 and link like any other.  A row with a NULL id gets the
-    component of its fingerprint, NULL where no row of it has an id (such a
-    fingerprint links to no other).  Repeated rows stay; extra columns are
-    ignored; an empty table gives an empty one.
+    ``component_id`` is the smallest id that links reach, also through rows
+    without ids; it is NULL where they reach no id.  NULL and empty texts have
+    fingerprint 0 and link like any other.  An id with different texts is in the
+    component of each of its texts, and groups that are not linked may then have
+    the same smallest id.  Repeated rows stay; extra columns are ignored; an
+    empty table gives an empty one.
     """
     return _grouped(docs, id_col, text_col, shingle, max_bits, seed).select("doc_id", "fp", "component_id")
 
@@ -131,16 +141,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                          max_bits: int = 2, seed: int = 42) -> DataFrame:
     """The rows of ``docs`` that keep one document of each group: the one with
-    the group's smallest id (of repeated rows with that id, one).  A group of
-    rows without ids keeps one of them."""
-    rows = _grouped(docs, id_col, text_col, shingle, max_bits, seed)
-    named = rows.where("doc_id = component_id").select("doc_id", "unnamed")
-    nameless = rows.where("component_id is null").groupBy("fp").agg(F.min("unnamed").alias("unnamed")).select(
-        F.lit(None).cast("long").alias("doc_id"), "unnamed")
-    kept = named.unionByName(nameless).distinct()
-    i, u, own = fresh(docs, "kept_id"), fresh(docs, "kept_unnamed"), fresh(docs, "unnamed_text")
+    the group's smallest id; of rows with that id the one whose text has the
+    smallest XXH64 hash, and of repeated rows one.  Different texts under one id
+    are documents of their own.  A group of rows without ids keeps the one of
+    the smallest hash.
+    """
+    kept = kept_rows(_grouped(docs, id_col, text_col, shingle, max_bits, seed))
+    i, m, own = fresh(docs, "kept_id"), fresh(docs, "kept_mark"), fresh(docs, "text_mark")
     ident = F.col(f"`{id_col}`").cast("long")
-    out = docs.withColumn(own, _unnamed(ident, text_or_empty(text_col))).join(
-        kept.select(F.col("doc_id").alias(i), F.col("unnamed").alias(u)),
-        ident.eqNullSafe(F.col(i)) & F.col(own).eqNullSafe(F.col(u)), "left_semi")
+    out = docs.withColumn(own, F.xxhash64(text_or_empty(text_col))).join(
+        kept.select(F.col("doc_id").alias(i), F.col("mark").alias(m)),
+        ident.eqNullSafe(F.col(i)) & (F.col(own) == F.col(m)), "left_semi")
     return out.dropDuplicates([id_col, own]).drop(own)

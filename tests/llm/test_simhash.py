@@ -83,6 +83,17 @@ def test_near_duplicates_edges(make_docs):
     assert S.near_duplicates(docs.limit(0)).count() == 0 and S.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_without_ids_link_and_texts_of_one_id_stay_apart(llm, make_docs):
+    far = (1 << 40) - 1
+    rows = [(5, 1, 0), (None, 2, 0b11), (8, 3, 0b1111), (None, 4, far), (None, 5, far ^ 1), (9, 7, far << 20), (9, 6, far << 20)]
+    got = S.grouped(llm.createDataFrame(rows, "doc_id long, mark long, fp long"), 2)
+    assert {r["mark"]: r["component_id"] for r in got.collect()} == {1: 5, 2: 5, 3: 5, 4: None, 5: None, 6: 9, 7: 9}
+    assert sorted((r["doc_id"] or 0, r["mark"]) for r in S.kept_rows(got).collect()) == [(0, 4), (5, 1), (9, 6)]
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    out = S.drop_near_duplicates(make_docs([(3, a), (3, b), (3, b), (4, a)])).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out) == [(3, a), (3, b)]
+
+
 def test_query_on_whole_table(llm):
     d = "/root/testdata/sf0.001"
     fps = {r["doc_id"]: brute_fp(r["text"]) for r in llm.read.parquet(f"{d}/documents.parquet").collect()}
