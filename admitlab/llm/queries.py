@@ -1,4 +1,4 @@
-"""The ten operators as queries over the driver's tables."""
+"""The operators as queries over the driver's tables."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import byte_bpe, chat_format, ego_join, lattice_lm, mixing, pair_rank, rule_lists, simhash, token_files, toxicity
+from . import byte_bpe, chat_format, ego_join, lattice_lm, mixing, pair_rank, rule_lists, simhash, token_files, toxicity, url_rules
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,8 @@ BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
 ACCEPT = 0.3
+URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
+             ("com", "/de/", "block"))
 EXTRA_CONVERSATION = (-7, ("user", "assistant"), r"\### Assistant: </turn> ok")
 
 
@@ -92,6 +94,13 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid")
 
 
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in URL_RULES])))
+    return url_rules.judge_urls(pages, rules).select("page_id", "judged.*")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_byte_bpe, op2_lattice_lm, op3_simhash, op4_token_files, op5_toxicity, op6_mix, op7_rules,
-                                      op8_quality, op9_ego_join, op10_chat)}
+                                      op8_quality, op9_ego_join, op10_chat, op12_url_filters)}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import ChatTemplate
-from .queries import EXTRA_CONVERSATION
+from .queries import EXTRA_CONVERSATION, URL_RULES
 
 
 def _lit(text: str) -> str:
@@ -60,5 +60,24 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = c
 FROM comp LEFT JOIN n USING (vec_id)"""
 
 
+def _op12() -> str:
+    rules = ", ".join(f"({_lit(h)}, {_lit(p)}, {_lit(v)})" for h, p, v in URL_RULES)
+    return f"""
+WITH rules(rh, rp, rv) AS (VALUES {rules}),
+rest AS (
+  SELECT row_number() OVER () AS k, page_id,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+  FROM pages),
+parts AS (
+  SELECT k, page_id, regexp_extract(r, '^[^/?#]*') AS h, regexp_extract(regexp_replace(r, '^[^/?#]*', ''), '^[^?#]*') AS path
+  FROM rest),
+low AS (
+  SELECT k, page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parts),
+best AS (
+  SELECT k, arg_max((rh || rp, rv), length(rh || rp)) AS b
+  FROM low JOIN rules ON starts_with(path, rp) AND (host = rh OR ends_with(host, '.' || rh)) GROUP BY k)
+SELECT page_id, host, path, b[1] AS rule, coalesce(b[2], 'allow') AS verdict FROM low LEFT JOIN best USING (k)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_ego_join": _op9(), "op10_chat": _op10()}
+    return {"op9_ego_join": _op9(), "op10_chat": _op10(), "op12_url_filters": _op12()}
