@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import byte_bpe, chat_format, ego_join, lattice_lm, mixing, pair_rank, rule_lists, simhash, token_files, toxicity, url_rules
+from . import byte_bpe, chat_format, ego_join, lattice_lm, mixing, pair_rank, rule_lists, simhash, spelling, token_files, toxicity, url_rules
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,11 @@ def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages, rules).select("page_id", "judged.*")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_byte_bpe, op2_lattice_lm, op3_simhash, op4_token_files, op5_toxicity, op6_mix, op7_rules,
-                                      op8_quality, op9_ego_join, op10_chat, op12_url_filters)}
+                                      op8_quality, op9_ego_join, op10_chat, op12_url_filters,
+                                      op13_spelling)}
