@@ -9,13 +9,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import byte_bpe, chat_format, ego_join, lattice_lm, mixing, pair_rank, rule_lists, simhash, spelling, token_files, toxicity, url_rules
+from . import (
+    byte_bpe,
+    chat_format,
+    ego_join,
+    lattice_lm,
+    mixing,
+    pair_rank,
+    rule_lists,
+    simhash,
+    spelling,
+    token_align,
+    token_files,
+    toxicity,
+    url_rules,
+)
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 ACCEPT = 0.3
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
@@ -94,6 +109,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid")
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return token_align.align_tokens(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))
+
+
 def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     rules = spark.range(1).select(F.inline(F.array(*[
@@ -107,5 +127,5 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_byte_bpe, op2_lattice_lm, op3_simhash, op4_token_files, op5_toxicity, op6_mix, op7_rules,
-                                      op8_quality, op9_ego_join, op10_chat, op12_url_filters,
+                                      op8_quality, op9_ego_join, op10_chat, op11_token_align, op12_url_filters,
                                       op13_spelling)}
