@@ -8,7 +8,7 @@ next length) or moves one letter between two groups, so a cell meets only these
 neighbours.  A large cell is split by a hash of the word; a pair of parts is a
 tile, the unit of work of a task.
 
-In a tile the rows of letter counts are sorted and cut into boxes of ``BOX``
+In a tile the rows of letter counts are split into boxes of at most ``BOX`` like
 rows.  Boxes further apart than the limit are skipped; for the others a product
 of the count matrices gives all squared distances at once.  Pairs within the
 limit are verified letter by letter.  A tile returns one row per word that has a
@@ -34,7 +34,7 @@ DELETE_MOD = 97
 GROUPS = 3
 #: Words and letters of one side of a tile, at most (one word may be longer).
 TILE_WORDS, TILE_LETTERS = 32_768, 4 << 20
-BOX = 128
+BOX = 32
 #: Bytes of counted words that a task holds before it hands them on.
 HELD_BYTES = 32 << 20
 
@@ -135,26 +135,67 @@ def _routed(vocabulary: DataFrame) -> DataFrame:
 
 
 class Words:
-    """Words of one length: letters, letter counts sorted into boxes, weights."""
+    """Words of one length with their weights, letters and counts of the letters
+    in ``columns``, in boxes of at most ``BOX`` words of like counts."""
 
-    def __init__(self, words: list[bytes], n: np.ndarray):
+    def __init__(self, words: list[bytes], n: np.ndarray, columns: np.ndarray):
         self.length = len(words[0])
-        letters = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), self.length)
-        at = np.arange(len(words))[:, None] * len(_LETTERS) + _PLACE[letters]
-        counts = np.bincount(at.ravel(), minlength=len(words) * len(_LETTERS)).reshape(len(words), -1)
-        code = np.ascontiguousarray(counts.astype(np.uint8 if self.length < 256 else ">u4"))
-        order = np.argsort(code.view(f"S{code.shape[1] * code.itemsize}").ravel(), kind="stable")
+        letters, counts = _counted(words)
+        counts = counts[:, columns].astype(np.int16 if self.length < 1 << 14 else np.int64)
+        order, self.starts = _boxes(counts)
         self.words = [words[k] for k in order.tolist()]
         self.letters, self.n = letters[order], n[order]
-        # products of whole numbers below 2 ** 24 are exact in single precision
-        self.counts = counts[order].astype(np.float32 if self.length < 4000 else np.float64)
+        self.low = np.minimum.reduceat(counts[order], self.starts)
+        self.high = np.maximum.reduceat(counts[order], self.starts)
+        # products of whole and half numbers below 2 ** 23 are exact in single precision
+        self.counts = counts[order].astype(np.float32 if self.length < 2000 else np.float64)
         self.square = (self.counts ** 2).sum(axis=1)
-        cuts = np.arange(0, len(words), BOX)
-        self.low = np.minimum.reduceat(self.counts, cuts)
-        self.high = np.maximum.reduceat(self.counts, cuts)
         self.rank = np.empty(len(words), np.int64)
         self.rank[sorted(range(len(words)), key=self.words.__getitem__)] = np.arange(len(words))
 
+    def widened(self, left: bool) -> np.ndarray:
+        """Counts with two more columns, so that the product of two sides is
+        minus half the squared distance of their rows."""
+        half, one = -self.square[:, None] / 2, np.ones((len(self.words), 1), self.counts.dtype)
+        return np.hstack([self.counts, *((half, one) if left else (one, half))])
+
+
+def _counted(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Letters and letter counts of words of one length."""
+    letters = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
+    at = np.arange(len(words))[:, None] * len(_LETTERS) + _PLACE[letters]
+    counts = np.bincount(at.ravel(), minlength=len(words) * len(_LETTERS))
+    return letters, counts.reshape(len(words), len(_LETTERS))
+
+
+def letters_used(*sides: list[bytes]) -> np.ndarray:
+    """Places of the letters that occur in any of the words."""
+    return _PLACE[np.frombuffer(bytes(sorted(set().union(*(w for s in sides for w in s)))), np.uint8)]
+
+
+def _boxes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows and where its boxes start: rows are halved by the
+    count that varies most among them, where its value changes next to the
+    middle, until at most ``BOX`` are left."""
+    order, starts, at = [], [], 0
+    stack = [np.arange(len(counts))]
+    while stack:
+        rows = stack.pop()
+        if len(rows) <= BOX:
+            order.append(rows)
+            starts.append(at)
+            at += len(rows)
+            continue
+        mine = counts[rows]
+        value = mine[:, mine.var(axis=0).argmax()]
+        by = np.argsort(value, kind="stable")
+        value, half = value[by], len(rows) // 2
+        below, above = np.searchsorted(value, value[half], "left"), np.searchsorted(value, value[half], "right")
+        cut = below if half - below <= above - half else above
+        cut = int(cut) if 0 < cut < len(rows) else half
+        stack += [rows[by[cut:]], rows[by[:cut]]]
+    return np.concatenate(order), np.array(starts)
+
 
 def _one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Rows of letters of equal or next length: does one edit part them?"""
@@ -167,33 +208,39 @@ def _one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ~wrong.any(axis=1)
 
 
-def near_pairs(a: Words, b: Words, skipped: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def near_pairs(a: Words, b: Words, made: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of ``a`` and ``b`` that one edit parts, a box of ``a`` at a time;
-    ``b`` has the length of ``a`` or the next one.  ``skipped`` counts the
-    products made and all products."""
+    ``b`` has the length of ``a`` or the next one.  With ``a`` on both sides
+    every pair comes once, the lesser row first.  ``made`` counts the distances
+    computed and all distances."""
     limit = 2 if a.length == b.length else 1
-    starts = np.arange(0, len(b.words), BOX)
-    for k, lo in enumerate(range(0, len(a.words), BOX)):
-        gap = np.maximum(0, np.maximum(a.low[k] - b.high, b.low - a.high[k]))
-        close = np.flatnonzero((gap ** 2).sum(axis=1) <= limit)
-        rows = (starts[close][:, None] + np.arange(BOX)).ravel()
-        rows = rows[rows < len(b.words)]
-        x = a.counts[lo:lo + BOX]
-        if skipped is not None:
-            skipped[0] += len(x) * len(rows)
-            skipped[1] += len(x) * len(b.words)
-        distance = a.square[lo:lo + BOX, None] + b.square[rows] - 2 * (x @ b.counts[rows].T)
-        i, j = np.nonzero(distance <= limit)
-        i, j = i + lo, rows[j]
-        step = max(1, TILE_LETTERS // b.length)
-        for s in range(0, len(i), step):
-            ii, jj = i[s:s + step], j[s:s + step]
-            good = _one_edit(a.letters[ii], b.letters[jj])
-            yield ii[good], jj[good]
+    left, right = a.widened(True), b.widened(False)
+    sizes = np.diff(np.r_[b.starts, len(b.words)])
+    step = max(1, TILE_LETTERS // b.length)
+    for k, (lo, hi) in enumerate(zip(a.starts.tolist(), [*a.starts[1:].tolist(), len(a.words)], strict=True)):
+        # counts are whole numbers: a squared distance of at most 2 is the sum of the differences
+        gap = np.maximum(0, np.maximum(a.low[k] - b.high, b.low - a.high[k])).sum(axis=1)
+        close = gap <= limit
+        if a is b:
+            close[:k] = False
+        rows = np.flatnonzero(np.repeat(close, sizes))
+        if made is not None:
+            made[0] += (hi - lo) * len(rows)
+            made[1] += (hi - lo) * len(b.words)
+        at = np.flatnonzero(left[lo:hi] @ right[rows].T >= -limit / 2)
+        for s in range(0, len(at), step):
+            i, j = np.divmod(at[s:s + step], len(rows))
+            i, j = i + lo, rows[j]
+            if a is b:
+                i, j = i[i < j], j[i < j]
+            good = _one_edit(a.letters[i], b.letters[j])
+            yield i[good], j[good]
 
 
 def _best(own: Words, other: Words, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[str, int, int, str]]:
     """(word, near words, largest n, its word) for each row of ``own`` in ``i``."""
+    if not len(i):
+        return
     order = np.lexsort((other.rank[j], -other.n[j], i))
     i, j = i[order], j[order]
     first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
@@ -209,19 +256,20 @@ def _tile(group: pa.Table) -> pa.Table:
     n = group.column("n").to_numpy()
     words = [w.encode("latin-1") for w in group.column("word").to_pylist()]
     ends = group.column("tile")[0].as_py().split("|")
-    sides = [Words([words[k] for k in np.flatnonzero(side == s).tolist()], n[side == s]) if (side == s).any() else None
-             for s in (0, 1)]
+    split = [[words[k] for k in np.flatnonzero(side == s).tolist()] for s in (0, 1)]
     rows: list[tuple] = []
     mirrored = ends[0] == ends[1]
-    a, b = (sides[0], sides[0]) if mirrored else sides
-    if a is not None and b is not None:
+    if mirrored or all(split):
+        columns = letters_used(*split)
+        a, b = (Words(x, n[side == s], columns) if x else None for s, x in enumerate(split))
+        b = a if mirrored else b
         found = [*near_pairs(a, b)]
         if found:
             i, j = np.concatenate([p[0] for p in found]), np.concatenate([p[1] for p in found])
-            if len(i):
-                rows += _best(a, b, i, j)
-                if not mirrored:
-                    rows += _best(b, a, j, i)
+            if mirrored:
+                rows += _best(a, a, np.r_[i, j], np.r_[j, i])
+            else:
+                rows += [*_best(a, b, i, j), *_best(b, a, j, i)]
     return pa.Table.from_batches(list(batches(NEAR, iter(rows), 1 << 16)), NEAR)
 
 

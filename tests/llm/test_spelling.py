@@ -84,19 +84,24 @@ def test_near_pairs_equal_all_pairs(monkeypatch):
     by_length = defaultdict(list)
     for w in words:
         by_length[len(w)].append(w.encode("latin-1"))
-    made = {k: S.Words(v, np.arange(len(v))) for k, v in by_length.items()}
 
     def apart(a, b):
         if len(a) == len(b):
             return sum(x != y for x, y in zip(a, b)) == 1
         return any(b[:k] + b[k + 1:] == a for k in range(len(b)))
-    skipped = [0, 0]
-    for k, a in made.items():
-        for b in (a, made.get(k + 1)):
-            if b is not None:
-                got = {(a.words[i], b.words[j]) for ii, jj in S.near_pairs(a, b, skipped) for i, j in zip(ii, jj)}
-                assert got == {(x, y) for x in a.words for y in b.words if apart(x, y)}
-    assert 0 < skipped[0] < skipped[1]
+    made = [0, 0]
+    for k in by_length:
+        for m in (k, k + 1):
+            if m in by_length:
+                columns = S.letters_used(by_length[k], by_length[m])
+                a, b = (S.Words(by_length[x], np.arange(len(by_length[x])), columns) for x in (k, m))
+                for x, y in ((a, b), (a, a)):
+                    got = [(x.words[i], y.words[j]) for ii, jj in S.near_pairs(x, y, made) for i, j in zip(ii, jj)]
+                    assert len(got) == len(set(got))
+                    want = {(v, w) for v in x.words for w in y.words if apart(v, w)}
+                    assert set(got) | ({(w, v) for v, w in got} if x is y else set()) == want
+                    assert x is not y or len(want) == 2 * len(got)
+    assert 0 < made[0] < made[1]
 
 
 def test_corpus_equals_brute_force(llm, make_docs, monkeypatch):
