@@ -95,4 +95,11 @@ SELECT patient_id, CAST(total_bill_amount AS DOUBLE) AS total_bill_amount, {rdiv
   CASE WHEN z > 3 THEN 'Extreme Outlier (3σ+)' WHEN z > 2 THEN 'Moderate Outlier (2σ+)' WHEN z > 1 THEN 'Above Average (1σ+)'
        WHEN z < -1 THEN 'Below Average (-1σ)' ELSE 'Normal Range' END AS outlier_status
 FROM z ORDER BY z_score DESC""",
+    "bill_spread": H + f"""SELECT primary_diagnosis, COUNT(total_bill_amount) AS bills,
+  {rdiv(f'SUM({C})', 'COUNT(total_bill_amount) * 100', 2)} AS avg_bill,
+  ROUND(stddev_samp(CAST(total_bill_amount AS DOUBLE)), 2) AS bill_stddev FROM enc GROUP BY 1""",
+    "patient_bill_share": H + f"""SELECT e.id, e.patient_id, CAST(e.total_bill_amount AS DOUBLE) AS total_bill_amount,
+  CAST(t.total AS DOUBLE) AS patient_total, t.visits AS patient_visits,
+  {rdiv('CAST(e.total_bill_amount * 100 AS BIGINT) * 100', 't.total * 100', 2)} AS pct_of_patient
+FROM enc e JOIN (SELECT patient_id, SUM(total_bill_amount) AS total, COUNT(*) AS visits FROM enc GROUP BY 1) t USING (patient_id)""",
 }

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ..functions import expr as X
 from ..functions.numeric import rdiv
+from ..operators import histogram
 from ..operators.sequence import hot_keys, sequence
 
 # A patient with more visits than this is "hot": its visits are ordered by
@@ -21,11 +22,11 @@ from ..operators.sequence import hot_keys, sequence
 MAX_ROWS_PER_KEY = 2_000_000
 
 
-def patient_sequence(enc: DataFrame, lag=(), lead=(), sums=(), hot=None) -> DataFrame:
+def patient_sequence(enc: DataFrame, lag=(), lead=(), sums=(), hot=None, max_rows: int | None = None) -> DataFrame:
     """Visits of each patient in (admission_date, id) order: ``_seq``,
     ``_prev_<c>``, ``_next_<c>``, ``_cum_<c>`` (see operators.sequence)."""
     return sequence(enc, "patient_key", "admission_date", "id", tuple(lag), tuple(lead), tuple(sums),
-                    MAX_ROWS_PER_KEY, hot)
+                    max_rows or MAX_ROWS_PER_KEY, hot)
 
 
 def patient_hot_keys(enc: DataFrame) -> list:
@@ -113,23 +114,35 @@ def gap_distribution_5(enc: DataFrame) -> DataFrame:
                .orderBy("window_order"))
 
 
-def gap_by_diagnosis(enc: DataFrame, exact_median: bool = True) -> DataFrame:
+def gap_by_diagnosis(enc: DataFrame) -> DataFrame:
     """Per diagnosis: readmissions, average / min / max / median gap.
 
-    The exact median keeps one entry per different gap of a group;
-    ``exact_median=False`` takes ``percentile_approx``."""
-    gap = F.col("days_gap")
-    median = (F.percentile(gap, 0.5) if exact_median
-              else F.percentile_approx(gap, 0.5, 10000).cast("double"))
-    return (_readmissions(enc).groupBy("primary_diagnosis")
-            .agg(F.count(F.lit(1)).alias("readmission_count"),
-                 rdiv(F.sum(gap), F.count(gap), 1).alias("avg_days_to_readmit"),
+    Gaps are days, so a diagnosis has few different ones: the rows collapse to
+    (diagnosis, gap, n), and the median is selected from the cumulated counts.
+    No aggregate holds a map of values."""
+    h = _gap_counts(enc)
+    n, gap = F.col("n"), F.col("days_gap")
+    return (h.groupBy("primary_diagnosis")
+            .agg(F.sum(n).alias("readmission_count"),
+                 rdiv(F.sum(gap * n), F.sum(n), 1).alias("avg_days_to_readmit"),
                  F.min(gap).alias("min_days"),
                  F.max(gap).alias("max_days"),
-                 F.round(median, 1).alias("median_days"))
+                 F.round(histogram.percentile_cont("days_gap", 0.5), 1).alias("median_days"))
             .orderBy("avg_days_to_readmit"))
 
 
+def gap_percentiles(enc: DataFrame, shares: tuple[int, ...] = (25, 50, 90)) -> DataFrame:
+    """Per diagnosis the discrete percentiles of the gap: values that occur."""
+    h = _gap_counts(enc)
+    return h.groupBy("primary_diagnosis").agg(
+        F.sum("n").alias("readmission_count"),
+        *[histogram.percentile_disc("days_gap", k / 100).alias(f"p{k}_days") for k in shares])
+
+
+def _gap_counts(enc: DataFrame) -> DataFrame:
+    return histogram.grouped_running_counts(_readmissions(enc), "days_gap", "primary_diagnosis")
+
+
 def high_risk_share(enc: DataFrame) -> DataFrame:
     r = _readmissions(enc)
     hi = F.sum(F.when(F.col("days_gap") <= 30, 1).otherwise(0))

@@ -6,6 +6,8 @@ of groups, never by the table)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,7 +15,7 @@ from pyspark.sql.window import Window
 from ..functions import expr as X
 from ..functions import fixed as FX
 from ..functions.numeric import money, ravg, rdiv, scaled_sum
-
+from ..operators.matview import View
 
 
 def _rate(digits: int):
@@ -104,10 +106,12 @@ def regional_stats(df: DataFrame) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("total_patients"), ravg(F.col("total_bill_amount"), 2, 2).alias("avg_cost")))
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Store a result (overwrite = REFRESH) and return the stored copy."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def regional_view(name: str, rows: Callable[[DataFrame], DataFrame]) -> View:
+    """The same as a stored view: counts and cents by region add up over input files."""
+    bill = F.col("total_bill_amount")
+    return View(name, ("hospital_region",), rows,
+                {"n": F.count(F.lit(1)), "bills": F.count(bill), "cents": scaled_sum(bill, 2)},
+                {"total_patients": F.col("n"), "avg_cost": rdiv(F.col("cents"), F.col("bills") * 100, 2)})
 
 
 def los_by_hospital_type(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ FIXTURES.md (as_of date, regex pattern, start node, ...).
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed as FX
-from ..operators import closure
+from ..operators import closure, matview
 from ..sources import tables as T
 from . import changes, finance, intervals, kpi, quality, relate, risk, semi, timeline, windows
 
@@ -34,7 +35,8 @@ ALL_COLUMNS = {
     "drop_duplicate_encounters", "missing_counts", "category_profile", "numeric_ranges", "payer_mix",
     "rate_by_income_tier", "insured_vs_uninsured", "payer_price_gap", "revenue_by_region", "payer_profitability",
     "age_income_crosstab", "diagnosis_by_region", "revenue_pivot_by_month", "wealth_health", "debt_ratio",
-    "debt_ratio_rounded", "bad_debt", "bad_debt_exposure", "patient_lookup", "json_patients_by_payer", "regex_match",
+    "debt_ratio_rounded", "bad_debt", "bad_debt_exposure", "patient_lookup", "json_patients_by_payer", "json_patient_lists",
+    "regex_match",
     "scale_income_by_payer",
 }
 
@@ -58,10 +60,31 @@ def register(key: str, job: Job) -> None:
 
 
 def _regional_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Materialised view: aggregate, store under the shared checkpoint
-    folder, read the stored copy back.  Every refresh is a new version in a
-    folder of its own, so results read from an earlier one stay readable."""
-    return kpi.materialize(kpi.regional_stats(T.encounters(spark, sf_dir)), _shared_path(spark, "mv_regional_stats"))
+    """Materialised view: bring the stored view of these tables up to date (only
+    order files that are new or changed are read) and re-read it by its name."""
+    root, view = _views_root(spark), regional_view(spark, sf_dir)
+    others = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("customer", "nation", "region")]
+    matview.refresh(spark, root, view, f"{sf_dir.rstrip('/')}/orders.parquet", others)
+    return matview.read_view(spark, root, view.name)
+
+
+def regional_view(spark: SparkSession, sf_dir: str) -> matview.View:
+    """One stored view per folder of tables."""
+    name = "regional_stats-" + hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:16]
+    return kpi.regional_view(name, lambda orders: T.encounters_from(orders, spark, sf_dir, ("_part",)))
+
+
+def _views_root(spark: SparkSession) -> str:
+    """Stored views outlive a session, so they are kept below the shared folder
+    itself and not below the session's own part of it."""
+    return f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/views"
+
+
+def _hot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``diagnosis_history`` with patients above a thousandth of the visits on the
+    path of hot patients (at most a thousand of them), in parts of 8 visits."""
+    enc = T.admissions(spark, sf_dir)
+    return semi.diagnosis_history(enc, chunk=8, max_rows=max(8, enc.count() // 1000))
 
 
 def _shared_path(spark: SparkSession, name: str) -> str:
@@ -96,7 +119,7 @@ def _register_all() -> None:
     register("executive_dashboard_wide", _enc_job(kpi.executive_dashboard, wide=True))
     register("regional_stats", _regional_stats)
     for name in ["visit_gap", "visit_gap_context", "visit_gap_risk", "revisit_detail",
-                 "gap_distribution_4", "gap_distribution_5", "gap_by_diagnosis",
+                 "gap_distribution_4", "gap_distribution_5", "gap_by_diagnosis", "gap_percentiles",
                  "high_risk_share", "frequent_flyers", "case_management_targets",
                  "care_episodes"]:
         register(name, _enc_job(getattr(intervals, name)))
@@ -104,7 +127,7 @@ def _register_all() -> None:
     for name in ["bill_rank", "top_bills_per_diagnosis", "los_outliers", "moving_avg_bill", "bill_deviation",
                  "bill_delta", "bill_trends", "monthly_cumulative", "running_total", "top_cost_percentiles",
                  "cost_ntiles", "quartile_summary", "spend_cdf", "cdf_threshold", "visit_sequence",
-                 "pareto_top1", "top1_patients", "bill_zscore"]:
+                 "pareto_top1", "top1_patients", "bill_zscore", "bill_spread", "patient_bill_share"]:
         register(name, _enc_job(getattr(windows, name)))
     register("running_total_range", _enc_job(windows.running_total, frame="range"))
     # 2.3 time
@@ -127,6 +150,8 @@ def _register_all() -> None:
     register("diagnosis_pairs", _enc_job(relate.diagnosis_pairs))
     register("referral_chain",
              lambda spark, d: relate.referral_chain(T.referral_tree(spark, d), REFERRAL_START))
+    register("referral_chain_sql",
+             lambda spark, d: relate.referral_chain_sql(T.referral_tree(spark, d), REFERRAL_START))
     register("tree_roots", lambda spark, d: closure.roots(T.referral_tree(spark, d), "doctor_id", "referred_by_id"))
     register("bill_deviation_first", _enc_job(windows.bill_deviation, limit=50))
     register("patient_lookup", _enc_job(relate.patient_lookup, patient_id=LOOKUP_PATIENT))
@@ -134,9 +159,10 @@ def _register_all() -> None:
     # 2.9 semi-structured
     register("json_filter", lambda spark, d: semi.json_filter(T.patient_logs(spark, d), "k", JSON_THRESHOLD))
     register("unnest_counts", lambda spark, d: semi.unnest_counts(T.patient_surveys(spark, d)))
-    for name in ["diagnosis_history", "unnest_history", "json_summary", "json_patients_by_payer",
-                 "json_profile"]:
+    for name in ["diagnosis_history", "diagnosis_positions", "unnest_history", "json_summary", "json_patients_by_payer",
+                 "json_patient_lists", "json_profile"]:
         register(name, _enc_job(getattr(semi, name)))
+    register("diagnosis_history_hot", _hot_history)
     register("regex_match", _enc_job(semi.regex_match, pattern=REGEX))
     # 2.10 table versions
     register("scale_income_by_payer", _enc_job(changes.scale_income_by_payer))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rdiv
+from ..operators.lists import CHUNK, chunked_lists, joined, positions
+from .intervals import patient_sequence
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -18,11 +20,22 @@ def json_filter(logs: DataFrame, field: str = "k", threshold: float = 50) -> Dat
                 .filter(F.col("temperature").try_cast("decimal(38,10)") > threshold))
 
 
-def diagnosis_history(enc: DataFrame) -> DataFrame:
-    """Diagnoses of each patient in visit order: one row per visit with its
-    place in the history, so no list of unbounded length is built.  Visit
-    numbers come from the hot-key-safe sequence."""
-    from .intervals import patient_sequence
+def diagnosis_history(enc: DataFrame, chunk: int = CHUNK, max_rows: int | None = None) -> DataFrame:
+    """The comma list of each patient's diagnoses in visit order (date, id).
+
+    One row per patient with up to ``chunk`` visits; a longer history goes on in
+    further parts, each with the number of its first visit, so no cell and no
+    task grows with a patient.  Positions come from the hot-key-safe sequence
+    (``max_rows``: visits above which a patient is spread over tasks).  NULL
+    diagnoses are left out of the text, as STRING_AGG does."""
+    rows = patient_sequence(enc.select("patient_key", "patient_id", "admission_date", "id", "primary_diagnosis"), max_rows=max_rows)
+    lists = chunked_lists(rows, ["patient_key", "patient_id"], "_seq", F.col("primary_diagnosis"), chunk)
+    return lists.select("patient_id", "part", "first_position", F.col("n").alias("visits"),
+                        joined(F.col("items")).alias("diagnosis_history"))
+
+
+def diagnosis_positions(enc: DataFrame) -> DataFrame:
+    """The same history as rows: one per visit with its place."""
     return patient_sequence(enc).select("patient_id", F.col("_seq").cast("bigint").alias("position"),
                                         F.col("primary_diagnosis").alias("diagnosis"))
 
@@ -65,6 +78,17 @@ def json_patients_by_payer(enc: DataFrame) -> DataFrame:
     return enc.select("insurance_type", "id", F.to_json(obj, _KEEP_NULLS).alias("patient")).orderBy("insurance_type", "id")
 
 
+def json_patient_lists(enc: DataFrame, chunk: int = 1000) -> DataFrame:
+    """``json_agg`` of the elements {patient_id, total_bill} per payer in the order
+    of ids: JSON arrays of up to ``chunk`` elements with the place of their first
+    one.  Put one after the other they are the payer's whole array."""
+    obj = F.to_json(F.struct("patient_id", F.col("total_bill_amount").alias("total_bill")), _KEEP_NULLS)
+    rows = positions(enc.select("insurance_type", "id", obj.alias("element")), "insurance_type", "id")
+    lists = chunked_lists(rows, ["insurance_type"], "_pos", F.col("element"), chunk)
+    return lists.select("insurance_type", "part", "first_position", F.col("n").alias("elements"),
+                        F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("patients"))
+
+
 def json_profile(enc: DataFrame) -> DataFrame:
     """Nested JSON per (patient, age, gender): demographics, financial,
     clinical.  Averages are rounded exactly (cost to cents, rates to 4

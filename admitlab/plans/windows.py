@@ -16,6 +16,8 @@ from pyspark.sql.window import Window
 from ..functions import expr as X
 from ..functions import fixed as FX
 from ..functions.numeric import money, rdiv
+from ..operators import histogram
+from ..operators.calendar import with_running_sums
 from ..operators.order import OrderSpec, moving_frame, ntile, ordered
 from .intervals import patient_sequence
 
@@ -90,9 +92,10 @@ def moving_avg_bill(enc: DataFrame, rows: int = 10) -> DataFrame:
 
 def bill_deviation(enc: DataFrame, rows: int = 10, limit: int | None = None) -> DataFrame:
     """Moving average plus deviation, % difference and HIGH / LOW flag.
-    ``limit`` keeps the first rows by id (the reference shows 50); the
+    ``limit`` keeps the first rows by id (the reference shows 50): their frames
+    hold no later row, so they are taken first (a top-k per task); the other
     registered job keeps all rows."""
-    m = _moving(enc, rows - 1)
+    m = _moving(enc.orderBy("id").limit(limit) if limit else enc, rows - 1)
     s, n, b = F.col("_win_sum__c"), F.col("_win_cnt__c"), F.col("_c")
     status = (F.when(2 * b * n > 3 * s, FX.BILL_STATUS[0]).when(2 * b * n < s, FX.BILL_STATUS[1])
                .otherwise(FX.BILL_STATUS[2]))
@@ -101,9 +104,7 @@ def bill_deviation(enc: DataFrame, rows: int = 10, limit: int | None = None) ->
                    rdiv(b * n - s, n * 100, 2).alias("deviation_from_avg"),
                    rdiv((b * n - s) * 100, s, 2).alias("pct_diff"),
                    status.alias("bill_status"))
-    if limit:
-        out = out.orderBy("id").limit(limit)
-    return out
+    return out.orderBy("id") if limit else out
 
 
 def bill_delta(enc: DataFrame) -> DataFrame:
@@ -132,30 +133,22 @@ def bill_trends(enc: DataFrame, trend: str | None = FX.TRENDS[0]) -> DataFrame:
 
 def monthly_cumulative(enc: DataFrame) -> DataFrame:
     """Revenue running within each month (default RANGE frame: same-day rows
-    share the total).
-
-    A month can hold any share of the rows, so the sum is not a window per
-    month: it is the global running sum by date (bucketed order) minus the
-    revenue of all earlier months (a per-month aggregate, one row per month)."""
-    e = enc.select("id", "admission_date", BILL).withColumn("_month", F.trunc("admission_date", "MM"))
-    o = ordered(e, OrderSpec("admission_date", "id"), sums=(BILL,))
-    months = e.groupBy("_month").agg(F.sum(BILL).alias("_ms"), F.count(BILL).alias("_mc"))
-    wm = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)  # one row per month
-    months = months.select("_month", F.coalesce(F.sum("_ms").over(wm), F.lit(0)).alias("_before"),
-                           F.coalesce(F.sum("_mc").over(wm), F.lit(0)).alias("_nbefore"))
-    j = o.join(months, "_month")  # one row per month on the right
-    # SUM is NULL while the month has shown no non-NULL bill yet
-    seen = F.col(f"_rangen_{BILL}") - F.col("_nbefore") > 0
-    return j.select("admission_date", money(F.col(BILL)).alias(BILL),
-                    money(F.when(seen, F.col(f"_range_{BILL}") - F.col("_before"))).alias("monthly_cumulative_revenue"))
+    share the total), from day sums: rows are summed per day and look the
+    running sum of their day up, so no window runs over rows."""
+    o = with_running_sums(enc.select("admission_date", BILL), "admission_date", BILL)
+    return o.select("admission_date", money(F.col(BILL)).alias(BILL),
+                    money(F.col("_month_running")).alias("monthly_cumulative_revenue"))
 
 
 def running_total(enc: DataFrame, frame: str = "rows") -> DataFrame:
     """Running revenue by admission date.  ``frame='rows'``: ROWS frame with id
-    as tie-break; ``'range'``: the default RANGE frame, same-day rows share."""
-    e = enc.select("id", "admission_date", BILL)
-    o = ordered(e, OrderSpec("admission_date", "id"), sums=(BILL,))
-    col = f"_rows_{BILL}" if frame == "rows" else f"_range_{BILL}"
+    as tie-break; ``'range'``: the default RANGE frame, same-day rows share the
+    sum of their day."""
+    if frame == "range":
+        o, col = with_running_sums(enc.select("admission_date", BILL), "admission_date", BILL), "_running"
+    else:
+        o = ordered(enc.select("id", "admission_date", BILL), OrderSpec("admission_date", "id"), sums=(BILL,))
+        col = f"_rows_{BILL}"
     return o.select("admission_date", money(F.col(BILL)).alias(BILL), money(F.col(col)).alias("running_total"))
 
 
@@ -185,26 +178,34 @@ def cost_ntiles(enc: DataFrame) -> DataFrame:
 
 def quartile_summary(enc: DataFrame) -> DataFrame:
     """min / max / average bill per NTILE(4) over all rows (NULL bills sort
-    last, so they sit in the last quartile)."""
-    o = _bill_order(enc, False, False)
-    q = o.withColumn("quartile", ntile(4, F.col("_rn"), F.col("_n")))
-    return q.groupBy("quartile").agg(money(F.min(BILL)).alias("min_cost"), money(F.max(BILL)).alias("max_cost"),
-                                     rdiv(F.sum(_cents()), F.count(BILL) * 100, 2).alias("avg_cost"))
+    last, so they sit in the last quartile), from the histogram of bills."""
+    scan, total = histogram.running_counts(enc.select(BILL), BILL)
+    q = histogram.tiles(scan, total, 4)
+    big = "decimal(38,0)"
+    known = F.when(F.col(BILL).isNotNull(), F.col("rows"))
+    return q.groupBy(F.col("tile").alias("quartile")).agg(
+        money(F.min(BILL)).alias("min_cost"), money(F.max(BILL)).alias("max_cost"),
+        rdiv(F.sum((_cents().cast(big) * F.col("rows")).cast(big)), F.sum(known) * 100, 2).alias("avg_cost"))
 
 
 def spend_cdf(enc: DataFrame) -> DataFrame:
-    """CUME_DIST of the bill (NULL bills last, so their cdf is 1)."""
-    o = _bill_order(enc, False, False)
-    return o.select("patient_id", money(F.col(BILL)).alias(BILL), (F.col("_le") / F.col("_n")).alias("cdf"))
+    """CUME_DIST of the bill (NULL bills last, so their cdf is 1): every row looks
+    its bill up in the running counts of the histogram."""
+    scan, total = histogram.running_counts(enc.select(BILL), BILL)
+    share = scan.select(F.col(BILL).alias("_bill"), (F.col("upto") / F.lit(total)).alias("cdf"))
+    rows = enc.select("patient_id", BILL)
+    return rows.join(share, F.col(BILL).eqNullSafe(F.col("_bill"))).select(
+        "patient_id", money(F.col(BILL)).alias(BILL), "cdf")
 
 
 def cdf_threshold(enc: DataFrame, p: float = 0.8, top: float = 0.9) -> DataFrame:
-    """Largest bill with cdf <= p, smallest bill with cdf >= p, rows with cdf > top."""
-    c = spend_cdf(enc)
-    b, cdf = F.col(BILL), F.col("cdf")
-    return c.agg(F.max(F.when(cdf <= p, b)).alias("bill_at_or_below_p"),
-                 F.min(F.when(cdf >= p, b)).alias("bill_at_or_above_p"),
-                 F.count_if(cdf > top).alias("rows_above_top"))
+    """Largest bill with cdf <= p, smallest bill with cdf >= p, rows with cdf > top,
+    from the histogram of bills: one row per different bill."""
+    scan, total = histogram.running_counts(enc.select(BILL), BILL)
+    b, cdf = money(F.col(BILL)), F.col("upto") / F.lit(total)
+    return scan.agg(F.max(F.when(cdf <= p, b)).alias("bill_at_or_below_p"),
+                    F.min(F.when(cdf >= p, b)).alias("bill_at_or_above_p"),
+                    F.coalesce(F.sum(F.when(cdf > top, F.col("n"))), F.lit(0)).alias("rows_above_top"))
 
 
 def visit_sequence(enc: DataFrame) -> DataFrame:
@@ -270,3 +271,21 @@ def bill_zscore(enc: DataFrame) -> DataFrame:
                      (F.round(z, 2) + F.lit(0.0)).alias("z_score"),
                      band.alias("outlier_status"))
              .orderBy(F.col("z_score").desc()))
+
+
+def bill_spread(enc: DataFrame) -> DataFrame:
+    """Per diagnosis: bills, mean and sample standard deviation."""
+    return enc.groupBy("primary_diagnosis").agg(
+        F.count(BILL).alias("bills"), rdiv(F.sum(_cents()), F.count(BILL) * 100, 2).alias("avg_bill"),
+        F.round(F.stddev_samp(F.col(BILL).cast("double")), 2).alias("bill_stddev"))
+
+
+def patient_bill_share(enc: DataFrame) -> DataFrame:
+    """Every bill as a share of its patient's bills: SUM(bill) OVER (PARTITION BY
+    patient) without ORDER BY.  The window has the exchange that the aggregate
+    would need too, and its rows spill, so a hot patient is a long task only."""
+    w = Window.partitionBy("patient_key")
+    c = _cents()
+    return enc.select("id", "patient_id", money(F.col(BILL)).alias(BILL),
+                      money(F.sum(BILL).over(w)).alias("patient_total"), F.count(F.lit(1)).over(w).alias("patient_visits"),
+                      rdiv(c * 100, F.sum(c).over(w), 2).alias("pct_of_patient"))

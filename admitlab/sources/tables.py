@@ -106,7 +106,12 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = _memo_key(spark, sf_dir, "__encounters__")
     if key in _READ_MEMO:
         return _READ_MEMO[key]
-    o = read_table(spark, sf_dir, "orders")
+    _READ_MEMO[key] = out = encounters_from(read_table(spark, sf_dir, "orders"), spark, sf_dir)
+    return out
+
+
+def encounters_from(orders: DataFrame, spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The admissions of some orders; ``keep`` names order columns to carry along."""
     c = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -114,11 +119,9 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     # no hint: the planner broadcasts nation and region after checking their
     # size (file statistics, then AQE's measured size)
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
-    j = (o.join(c, o.o_custkey == c.c_custkey)
-          .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
-    out = j.selectExpr(*_encounter_exprs())
-    _READ_MEMO[key] = out
-    return out
+    j = (orders.join(c, orders.o_custkey == c.c_custkey)
+         .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
+    return j.selectExpr(*_encounter_exprs(), *keep)
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
