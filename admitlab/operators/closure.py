@@ -1,16 +1,18 @@
 """Walk a parent-pointer tree upwards (the recursive CTE, as a loop of joins).
 
-Each step joins the current frontier with the edge table on the parent key.
-The loop ends when the frontier is empty; a node that repeats on its own path
-(a cycle) leaves the frontier.  Each level is checkpointed to the shared
-checkpoint folder, so a level never recomputes the joins before it.
+``ancestors`` lifts by powers of two: after round k every node knows its ancestor
+2^k levels up, and the paths found so far are extended by their whole length at
+once, so a path of n levels needs about log2(n) rounds.  ``walk_up`` is the plain
+walk, one join a level; ``roots`` finds the top of every node.  Each round is
+stored in the shared folder, so none recomputes the joins before it.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -42,6 +44,45 @@ def walk_up(nodes: DataFrame, start: DataFrame, node_col: str, parent_col: str)
     return result.drop("_path")
 
 
+def ancestors(nodes: DataFrame, starts: DataFrame, node_col: str, parent_col: str) -> DataFrame:
+    """(start, node, level) for every node on the way up from each start: level 1
+    is the start itself.  ``starts`` has a column ``start``; those without a row
+    in ``nodes`` have no path.
+
+    A round is one stored table that holds the jumps of 2^k levels (``n`` NULL)
+    and the paths (``n`` levels above ``node``'s start), so nothing but its
+    numbers of jumps and path rows reaches the driver.  No path is gathered in a row: a
+    cycle shows as a node met before, keeps its lowest level and ends the loop.
+    Parents that have no row end a path; repeated rows of a node count once."""
+    spark = nodes.sparkSession
+    folder = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/ancestors-{uuid.uuid4().hex}"
+    known = nodes.where(F.col(node_col).isNotNull()).groupBy(F.col(node_col).cast("long").alias("node")).agg(
+        F.min(F.col(parent_col).cast("long")).alias("up"))
+    up = known.join(known.select(F.col("node").alias("up")), "up", "left_semi")  # parents that have a row
+    none = F.lit(None).cast("long")
+    begin = starts.select(F.col("start").cast("long").alias("node")).distinct().join(known.select("node"), "node", "left_semi")
+    rows = up.select("node", "up", none.alias("start"), none.alias("n")).unionByName(
+        begin.select("node", none.alias("up"), F.col("node").alias("start"), F.lit(0).cast("long").alias("n")))
+    size, k = -1, 0
+    while True:
+        counted = Observation()
+        rows.observe(counted, F.count("n").alias("paths"), F.count("up").alias("jumps")).write.parquet(f"{folder}/{k}")
+        rows = spark.read.schema(rows.schema).parquet(f"{folder}/{k}")
+        # no node has an ancestor that far up, or no path grew: what is left runs in a cycle
+        if counted.get["jumps"] == 0 or counted.get["paths"] == size:
+            break
+        size = counted.get["paths"]
+        jump, path = rows.where("n is null"), rows.where("n is not null")
+        over = jump.select(F.col("node").alias("at"), F.col("up").alias("to"))
+        longer = (path.join(over, path.node == over.at)
+                  .select(F.col("to").alias("node"), "start", (F.col("n") + (1 << k)).alias("n")))
+        paths = (path.select("node", "start", "n").unionByName(longer).groupBy("node", "start").agg(F.min("n").alias("n"))
+                 .select("node", none.alias("up"), "start", "n"))
+        rows = jump.join(over, jump.up == over.at).select("node", F.col("to").alias("up"), "start", "n").unionByName(paths)
+        k += 1
+    return rows.where("n is not null").select("start", "node", (F.col("n") + 1).cast("int").alias("level"))
+
+
 def roots(nodes: DataFrame, node_col: str, parent_col: str) -> DataFrame:
     """Top-level ancestor and depth of EVERY node (pointer doubling).
 
@@ -50,7 +91,7 @@ def roots(nodes: DataFrame, node_col: str, parent_col: str) -> DataFrame:
     pointer's pointer (one join of the table with itself on ``up = node``)
     and adds the distances, so after k rounds a node has jumped 2^k levels:
     a tree of depth D needs about log2(D) joins instead of D.  Rounds stop
-    when no pointer moves (or after ``max_rounds``); each round is
+    when no pointer moves; each round is
     checkpointed to the shared folder.  A root is a node without a parent in
     the table; a node whose pointer does not end on a root (it is in, or
     leads into, a cycle) gets a NULL root and depth.

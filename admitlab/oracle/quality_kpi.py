@@ -80,6 +80,8 @@ WHERE age > 100 OR total_bill_amount > 100000 ORDER BY total_bill_amount DESC NU
 GROUP BY patient_id, admission_date HAVING COUNT(*) > 1""",
     "drop_duplicate_encounters": H + """SELECT * FROM enc WHERE id IN (
   SELECT MIN(id) FROM enc GROUP BY patient_id, admission_date)""",
+    "delete_duplicate_encounters": H + """SELECT * FROM enc e WHERE NOT EXISTS (
+  SELECT 1 FROM enc f WHERE f.patient_id = e.patient_id AND f.admission_date = e.admission_date AND f.id < e.id)""",
     "missing_counts": H + """SELECT COUNT(*) FILTER (WHERE household_income IS NULL) AS missing_income,
   COUNT(*) FILTER (WHERE comorbidity_score IS NULL) AS missing_comorbidity,
   COUNT(*) FILTER (WHERE total_bill_amount IS NULL) AS missing_bill FROM enc""",

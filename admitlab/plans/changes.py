@@ -58,14 +58,37 @@ def set_bill(enc: DataFrame, patients: DataFrame, amount: float = 50000.00) -> D
                       if c == "total_bill_amount" else F.col(c) for c in enc.columns])
 
 
-def bill_audit(old: DataFrame, new: DataFrame, null_safe: bool = False) -> DataFrame:
+def _bill_buckets(version: DataFrame, buckets: int) -> DataFrame:
+    """``version`` narrowed to id, patient and bill, with a bucket of the id."""
+    return version.select("id", "patient_id", "total_bill_amount",
+                          F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("_bucket"))
+
+
+def changed_buckets(old: DataFrame, new: DataFrame, buckets: int = 4096) -> list[int]:
+    """Buckets of ids whose rows or bills differ between two versions, by their
+    row count, XOR and sum of hashes.  One partial aggregate per version; at most
+    ``buckets`` rows meet and reach the driver."""
+    def sums(version: DataFrame, tag: str) -> DataFrame:
+        h = F.xxhash64("id", F.col("total_bill_amount").isNull(), "total_bill_amount")
+        return _bill_buckets(version, buckets).groupBy("_bucket").agg(
+            F.struct(F.count(F.lit(1)), F.bit_xor(h), F.sum(h.cast("decimal(20,0)"))).alias(tag))
+    both = sums(old, "_old").join(sums(new, "_new"), "_bucket", "full")
+    return sorted(r[0] for r in both.where(~F.col("_old").eqNullSafe(F.col("_new"))).select("_bucket").collect())
+
+
+def bill_audit(old: DataFrame, new: DataFrame, null_safe: bool = False, buckets: int = 4096) -> DataFrame:
     """(id, patient_id, old_amount, new_amount) for rows whose bill changed.
 
     Default compares with ``<>`` like the trigger (changes from or to NULL are
-    not logged); ``null_safe=True`` logs them too."""
-    o = old.select("id", "patient_id", F.col("total_bill_amount").alias("old_amount"))
-    n = new.select("id", F.col("total_bill_amount").alias("new_amount"))
-    j = o.join(n, "id")
+    not logged); ``null_safe=True`` logs them too.  Checksums per bucket of ids
+    come first: only rows of buckets that differ are joined, and two equal
+    versions are not joined at all."""
+    differ = changed_buckets(old, new, buckets)
+    o, n = (_bill_buckets(v, buckets) for v in (old, new))
+    if len(differ) < buckets:
+        o, n = (v.where(F.col("_bucket").isin(differ) if differ else F.lit(False)) for v in (o, n))
+    j = (o.select("id", "patient_id", F.col("total_bill_amount").alias("old_amount"))
+         .join(n.select("id", F.col("total_bill_amount").alias("new_amount")), "id"))
     changed = (~F.col("old_amount").eqNullSafe(F.col("new_amount"))) if null_safe \
         else (F.col("old_amount") != F.col("new_amount"))
     return j.filter(changed).select("id", "patient_id", F.col("old_amount").cast("double").alias("old_amount"),

@@ -11,6 +11,10 @@ from ..functions import fixed as FX
 from ..functions.numeric import money, rdiv
 
 
+#: Pieces that one patient's rows are dealt over in the first step of a minimum.
+SALTS = 16
+
+
 def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     """Per column in schema order: position, name, Spark type, nullability
     (the catalogue query), plus rows, NULLs and distinct values from the data.
@@ -136,15 +140,34 @@ def duplicate_encounters(df: DataFrame) -> DataFrame:
               .drop("patient_key"))
 
 
-def drop_duplicate_encounters(df: DataFrame) -> DataFrame:
+def first_encounters(df: DataFrame) -> DataFrame:
+    """(id): the lowest id per (patient, admission_date), in two narrow steps.
+
+    The first step groups by a salt of the id too, so a patient that holds a
+    third of the rows is spread over tasks even where the rows already lie by
+    patient.  NULL patients and dates group like values."""
+    keys = ["patient_key", "admission_date"]
+    salted = df.select(*keys, "id", F.pmod("id", F.lit(SALTS)).alias("_salt"))
+    return (salted.groupBy(*keys, "_salt").agg(F.min("id").alias("id"))
+            .groupBy(*keys).agg(F.min("id").alias("id")).select("id"))
+
+
+def drop_duplicate_encounters(df: DataFrame, narrow: DataFrame | None = None) -> DataFrame:
     """New table version keeping the lowest id per (patient, admission_date).
 
-    One aggregate keeps the whole row of the lowest id: one scan, one exchange,
-    and a map-side aggregate, so a group of any size costs one row per task.
-    NULL patients and dates group like values, so their lowest id stays too."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return (df.groupBy(F.col("patient_key").alias("_k"), F.col("admission_date").alias("_d"))
-              .agg(F.min_by(row, "id").alias("_row")).select("_row.*"))
+    The ids to keep come from three narrow columns, of ``narrow`` where the same
+    rows can be had without ``df``'s joins; whole rows are then fetched by id (a
+    semi join), so no aggregate carries or sorts them."""
+    keep = first_encounters(df if narrow is None else narrow).withColumnRenamed("id", "_keep")
+    return df.join(keep, F.col("id") == F.col("_keep"), "left_semi")
+
+
+def delete_duplicate_encounters(df: DataFrame, narrow: DataFrame | None = None) -> DataFrame:
+    """The same as the DELETE says it: an anti join against the ids that go, the
+    rows of a (patient, admission_date) that has a lower id."""
+    ids = (df if narrow is None else narrow).select("id")
+    gone = ids.join(first_encounters(df if narrow is None else narrow), "id", "left_anti").withColumnRenamed("id", "_gone")
+    return df.join(gone, F.col("id") == F.col("_gone"), "left_anti")
 
 
 def missing_counts(df: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed as FX
 from ..operators import closure, matview
 from ..sources import tables as T
+from ..sources.parts import PartTable
 from . import changes, finance, intervals, kpi, quality, relate, risk, semi, timeline, windows
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +94,14 @@ def _shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}/{uuid.uuid4().hex}"
 
 
+def _set_bill_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``set_bill`` on the stored table: only parts with such a patient are rewritten."""
+    table = PartTable(_shared_path(spark, "encounter_parts"), 64)
+    table.save(T.encounters(spark, sf_dir))
+    table.change(_delinquent_requests(spark, sf_dir), changes.set_bill)
+    return table.read(spark)
+
+
 def _delinquent_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.delinquency(spark, sf_dir).select("patient_key", F.col("customer_id").alias("patient_id"),
                                                F.lit("Home Health").alias("disposition"))
@@ -101,9 +110,11 @@ def _delinquent_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _register_all() -> None:
     for name in ["column_profile", "table_scan", "table_sample", "row_count", "impute_income",
                  "standardize_labels", "age_brackets", "length_of_stay", "impute_multi",
-                 "threshold_outliers", "duplicate_encounters", "drop_duplicate_encounters",
+                 "threshold_outliers", "duplicate_encounters",
                  "missing_counts", "category_profile", "date_range", "numeric_ranges"]:
         register(name, _enc_job(getattr(quality, name)))
+    for fn in (quality.drop_duplicate_encounters, quality.delete_duplicate_encounters):
+        register(fn.__name__, lambda spark, d, fn=fn: fn(T.encounters(spark, d), T.admissions(spark, d)))
     register("age_brackets_rows", _enc_job(quality.age_brackets, descending=None, distinct=False))
     register("age_brackets_young_adult",
              _enc_job(quality.age_brackets, young_label=FX.AGE_YOUNG_LABELS[1], descending=False))
@@ -150,6 +161,9 @@ def _register_all() -> None:
     register("diagnosis_pairs", _enc_job(relate.diagnosis_pairs))
     register("referral_chain",
              lambda spark, d: relate.referral_chain(T.referral_tree(spark, d), REFERRAL_START))
+    # a batch of starts at once
+    register("referral_chains", lambda spark, d: relate.referral_chains(
+        T.referral_tree(spark, d), T.referral_tree(spark, d).where("doctor_id % 100 = 99").select(F.col("doctor_id").alias("start"))))
     register("referral_chain_sql",
              lambda spark, d: relate.referral_chain_sql(T.referral_tree(spark, d), REFERRAL_START))
     register("tree_roots", lambda spark, d: closure.roots(T.referral_tree(spark, d), "doctor_id", "referred_by_id"))
@@ -158,6 +172,8 @@ def _register_all() -> None:
     register("orphan_encounters", T.orphan_encounters)
     # 2.9 semi-structured
     register("json_filter", lambda spark, d: semi.json_filter(T.patient_logs(spark, d), "k", JSON_THRESHOLD))
+    register("json_filter_variant",
+             lambda spark, d: semi.json_filter_variant(T.patient_logs(spark, d), "k", JSON_THRESHOLD))
     register("unnest_counts", lambda spark, d: semi.unnest_counts(T.patient_surveys(spark, d)))
     for name in ["diagnosis_history", "diagnosis_positions", "unnest_history", "json_summary", "json_patients_by_payer",
                  "json_patient_lists", "json_profile"]:
@@ -171,9 +187,11 @@ def _register_all() -> None:
     register("set_bill",
              lambda spark, d: changes.set_bill(T.encounters(spark, d), _delinquent_requests(spark, d)))
 
+    register("set_bill_stored", _set_bill_stored)
+
     def _audit(null_safe):
         def run(spark, d):
-            old = T.encounters(spark, d)
+            old = T.admissions(spark, d)
             return changes.bill_audit(old, changes.set_bill(old, _delinquent_requests(spark, d)), null_safe)
         return run
     register("bill_audit", _audit(False))

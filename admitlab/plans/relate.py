@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.closure import walk_up
+from ..operators.closure import ancestors
 
 
 def delinquent_in(enc: DataFrame, keys: DataFrame) -> DataFrame:
@@ -50,9 +50,16 @@ def diagnosis_pairs(enc: DataFrame, top: int = 5) -> DataFrame:
 
 
 def referral_chain(doctors: DataFrame, start_id: int) -> DataFrame:
-    """From one doctor up to the root, with level 1 for the start."""
-    start = doctors.filter(F.col("doctor_id") == start_id)
-    return walk_up(doctors, start, "doctor_id", "referred_by_id")
+    """From one doctor up to the root, with level 1 for the start: the path by
+    binary lifting, then its rows by a join."""
+    start = doctors.sparkSession.range(1).select(F.lit(int(start_id)).alias("start"))
+    return referral_chains(doctors, start).drop("start")
+
+
+def referral_chains(doctors: DataFrame, starts: DataFrame) -> DataFrame:
+    """The same for every doctor of ``starts`` (column ``start``) at once."""
+    path = ancestors(doctors, starts, "doctor_id", "referred_by_id")
+    return doctors.join(path, doctors.doctor_id == path.node).drop("node")
 
 
 _PID = re.compile(r"^PAT(\d{7}|[1-9]\d{7,})$")
