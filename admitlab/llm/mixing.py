@@ -13,6 +13,11 @@ than 1/200 of their source's words are sampled first, the longest before the
 rest, each tier for its share of the words and what earlier tiers left over;
 all other documents are then sampled for what is left of the target.
 
+Rows equal in source, id and text are one group of m: of the m * p rows that are
+to get a copy more, the whole part is certain and only the remainder is a
+document of its own in the sample; which of the equal rows get it goes by their
+place in the input.
+
 u is a hash of seed, id and text, so reruns agree however rows are spread.  No
 source is sorted in one place: words are summed per (source, bucket of the
 rank), only the bucket that holds the end is ranked row by row.
@@ -24,6 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.lists import positions
 from .common import SPACE_CLASS, fresh, store
 
 #: Buckets of the rank per source: the one that holds the end is sorted.
@@ -72,7 +78,24 @@ def _prepare(docs: DataFrame, id_col: str, source_col: str, text_col: str, weigh
         F.coalesce(F.col(f"`{weight_col}`").cast("double"), F.lit(0.0)), F.lit(0.0))
     return docs.withColumn(rank, F.struct(
         source.alias("source"), word_count(text).alias("size"), weight.alias("w"),
-        F.xxhash64(F.lit(seed), ident, text).alias("h1"), F.xxhash64(F.lit(seed + 1), ident, text).alias("h2"))), rank
+        F.xxhash64(F.lit(seed), ident, text).alias("h1"), F.xxhash64(F.lit(seed + 1), ident, text).alias("h2"),
+        F.lit(1).cast("long").alias("m"))), rank
+
+
+def _count_equal(ranked: DataFrame, r: str) -> tuple[DataFrame, DataFrame]:
+    """(``ranked`` with the number of equal rows in field m of the rank column,
+    one stored rank per group of equal rows)."""
+    groups = store(ranked.select(f"{r}.*").groupBy("source", "size", "w", "h1", "h2").agg(F.count("*").alias("m")).select(
+        F.struct("source", "size", "w", "h1", "h2", "m").alias(r)), "mix-sizes")
+    repeated = store(groups.where(F.col(f"{r}.m") > 1).select(
+        F.col(f"{r}.source").alias("eq_source"), F.col(f"{r}.h1").alias("eq_h1"), F.col(f"{r}.h2").alias("eq_h2"),
+        F.col(f"{r}.w").alias("eq_w"), F.col(f"{r}.m").alias("eq_m")), "mix-repeated")
+    if repeated.isEmpty():
+        return ranked, groups
+    same = (F.col(f"{r}.h1") == F.col("eq_h1")) & (F.col(f"{r}.h2") == F.col("eq_h2")) & (
+        F.col(f"{r}.source").eqNullSafe(F.col("eq_source")) & (F.col(f"{r}.w") == F.col("eq_w")))
+    counted = ranked.join(repeated, same, "left").withColumn(r, F.col(r).withField("m", F.coalesce("eq_m", F.lit(1).cast("long"))))
+    return counted.drop("eq_source", "eq_h1", "eq_h2", "eq_w", "eq_m"), groups
 
 
 def _expected(r: str) -> Column:
@@ -82,9 +105,11 @@ def _expected(r: str) -> Column:
 
 
 def _ranked(df: DataFrame, r: str) -> DataFrame:
-    """Adds whole copies, the chance of one more, and the Pareto rank."""
-    out = df.withColumn("_e", _expected(r))
-    out = out.withColumn("_whole", F.floor("_e").cast("long")).withColumn("_p", F.col("_e") - F.col("_whole"))
+    """Adds whole copies of a row, the certain copies more of its group of equal
+    rows, the chance of one more, and the Pareto rank."""
+    out = df.withColumn("_e", _expected(r)).withColumn("_whole", F.floor("_e").cast("long"))
+    out = out.withColumn("_more", (F.col("_e") - F.col("_whole")) * F.col(f"{r}.m"))
+    out = out.withColumn("_sure", F.floor("_more").cast("long")).withColumn("_p", F.col("_more") - F.col("_sure"))
     u = _uniform(F.col(f"{r}.h1"))
     odds = (u / (F.lit(1.0) - u)) / (F.col("_p") / (F.lit(1.0) - F.col("_p")))
     out = out.withColumn("_q", F.when(F.col("_p") > 0, odds / (F.lit(1.0) + odds)))  # monotone in the odds, in (0, 1)
@@ -117,12 +142,16 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
              weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_copies: int = 3, seed: int = 17,
              weight_col: str | None = None) -> tuple[DataFrame, DataFrame, str]:
     """(documents with a rank column, one row per source with its target and
-    the place where its sample ends, name of the rank column)."""
+    the place where its sample ends, name of the rank column).
+
+    Nulls, empty texts, repeated rows and an empty table as in ``mix_documents``.
+    Sources are ordered and filled in one task, a row each: that suits named
+    sources, not a source per host of a crawl."""
     ranked, r = _prepare(docs, id_col, source_col, text_col, weight_col, seed)
-    narrow = store(ranked.select(r), "mix-sizes")
+    ranked, narrow = _count_equal(ranked, r)
+    words = F.col(f"{r}.size") * F.col(f"{r}.m")
     sums = narrow.groupBy(F.col(f"{r}.source").alias("source")).agg(
-        F.sum(f"{r}.size").alias("source_size"),
-        F.sum(F.col(f"{r}.size") * F.col(f"{r}.w")).alias("weighted_size"))
+        F.sum(words).alias("source_size"), F.sum(words * F.col(f"{r}.w")).alias("weighted_size"))
     sums = store(sums, "mix-sources")
     goal = targets(sums.select("source", "source_size"), weights, max_copies).join(
         sums.select(F.col("source").alias("s2"), "weighted_size"), F.col("source").eqNullSafe(F.col("s2"))).select(
@@ -138,7 +167,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
         _long_sample, "long_source string, long_cut array<struct<tier:long,q:double,h2:long>>, long_words long"),
         "mix-long")
     by_bucket = rows.groupBy("plan_source", "target", F.when(~F.col("_long"), F.col("_b")).alias("_b")).agg(
-        F.sum(F.col("_whole") * size).alias("sure"),
+        F.sum((F.col("_whole") * F.col(f"{r}.m") + F.col("_sure")) * size).alias("sure"),
         F.sum(F.when(F.col("_q").isNotNull(), size).otherwise(0)).alias("words"))
     by_bucket = by_bucket.join(long_end, F.col("plan_source").eqNullSafe(F.col("long_source")), "left")
     per = Window.partitionBy("plan_source")
@@ -164,7 +193,8 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
 
 
 def with_copies(ranked: DataFrame, plan: DataFrame, r: str, out_col: str) -> DataFrame:
-    """``ranked`` with the number of copies each row gets in ``out_col``."""
+    """``ranked`` with the number of copies each row gets in ``out_col``.  Of
+    equal rows, the first ones by their place in the input get one copy more."""
     rows = _ranked(ranked.join(plan, _same_source(r)), r)
     here = F.struct(F.col("_q"), F.col(f"{r}.h2").alias("h2"))
     short = F.col("cut_bucket").isNull() | (F.col("_b") < F.col("cut_bucket")) | (
@@ -172,8 +202,19 @@ def with_copies(ranked: DataFrame, plan: DataFrame, r: str, out_col: str) -> Dat
     long_ = F.coalesce(F.exists("long_cut", lambda c: (c["tier"] == F.col("_tier")) & (
         here <= F.struct(c["q"].alias("_q"), c["h2"].alias("h2")))), F.lit(False))
     more = F.col("_q").isNotNull() & F.when(F.col("_long"), long_).otherwise(short)
-    return rows.withColumn(out_col, F.col("_whole") + F.when(more, 1).otherwise(0)).drop(
-        "_e", "_whole", "_p", "_q", "_b", "_tier", "_long")
+    rows = rows.withColumn("_sure", F.col("_sure") + F.when(more, 1).otherwise(0)).drop(
+        "_e", "_more", "_p", "_q", "_b", "_tier", "_long")
+    single = rows.where(F.col(f"{r}.m") == 1).withColumn(out_col, F.col("_whole") + F.col("_sure"))
+    single = single.drop("_whole", "_sure")
+    equal = rows.where(F.col(f"{r}.m") > 1)
+    if equal.isEmpty():
+        return single
+    # written once, so that a row's place is the same in all that follows
+    equal = store(equal.withColumn("_place", F.monotonically_increasing_id()), "mix-equal")
+    group = F.concat_ws("|", f"{r}.h1", f"{r}.h2", f"{r}.w", F.coalesce(f"{r}.source", F.lit("")), F.col(f"{r}.source").isNull())
+    placed = positions(equal.withColumn("_group", group), "_group", "_place")
+    first = F.when(F.col("_pos") <= F.col("_sure"), 1).otherwise(0)
+    return single.unionByName(placed.withColumn(out_col, F.col("_whole") + first).select(*single.columns))
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
@@ -181,8 +222,12 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 
     NULL texts have size 0, NULL sources form one source that comes last.
     Documents without words are taken by rank like others and add nothing.
-    Rows equal in id and text get the same number of copies.  Input columns of
-    any name are kept as they are; an empty table gives an empty one.
+    Of rows equal in source, id and text some may get one copy more than others,
+    so that a row which makes up much of a source still meets the target; ties of
+    the rank do not occur otherwise.  Texts of any length are counted whole; one
+    that is longer than its source's target may miss it by up to its length.
+    Input columns of any name are kept as they are; an empty table gives an empty
+    one.
     """
     slim = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns)])
     at = {k: f"in_{docs.columns.index(options.pop(k, d))}"

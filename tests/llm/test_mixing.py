@@ -109,3 +109,28 @@ def test_query(llm):
     assert goal == pytest.approx(brute_targets(sizes))
     off = {s: abs(taken[s] - goal[s]) / goal[s] for s in goal}
     assert max(off.values()) < 0.05, off
+
+
+@pytest.mark.parametrize("share,seed", [(400, 17), (400, 19), (900, 17), (1000, 17)])
+def test_a_row_that_makes_up_much_of_a_source(make_docs, share, seed):
+    """Equal rows: the source still meets its target within one document, reruns agree."""
+    one = "word " * 100
+    rows = [(7, one, "a")] * share + [(1000 + i, one + str(i), "a") for i in range(1000 - share)]
+    rows += [(5000 + i, "x " * 101, "b") for i in range(900)] + [(1, "", "c"), (1, "", "c"), (1, None, None), (1, None, None)]
+
+    def taken(df):
+        ranked, plan, r = M.mix_plan(df, seed=seed)
+        return [(x["doc_id"], x["text"], x["source"], x["copies"], x["target"], x[r]["size"]) for x in
+                M.with_copies(ranked, plan, r, "copies").collect()]
+    docs = make_docs(rows)
+    got = taken(docs)
+    assert sorted(map(repr, got)) == sorted(map(repr, taken(docs.repartition(7)))) and len(got) == len(rows)
+    for source in "ab":
+        mine = [x for x in got if x[2] == source]
+        assert abs(sum(x[3] * x[5] for x in mine) - mine[0][4]) <= 101
+        assert max(x[3] for x in mine) <= 3
+    copies = [x[3] for x in got if x[0] == 7]
+    assert max(copies) - min(copies) <= 1
+    target = next(x[4] for x in got if x[2] == "a")
+    total = sum(x[5] for x in got if x[2] == "a")
+    assert abs(sum(copies) - share * target / total) <= 1  # its own share of the target
