@@ -40,7 +40,12 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
-MEMO_ENTRIES = 400_000
+#: Runs and odd words kept by a worker, twice at most.
+MEMO_ENTRIES = 300_000
+RUNS_AT_ONCE = 2048
+CHARS_AT_ONCE = 1 << 20
+#: Pieces that equal rows may be spread over.
+SPREAD = 1024
 
 
 class FrameWriter:
@@ -104,66 +109,92 @@ class FrameReader:
 
 
 class WordEncoder:
-    """The tokenizers library with a bounded memo of space-separated words.
-
-    The vocabulary's pre-tokenizer never joins across white space, so the ids
-    of a text are the ids of its words in a row.  New words are given to the
-    library many at a time, joined by spaces; the word ends among the ids cut
-    the result (a word end closes each pre-token, so words made of one plain
-    run of letters have exactly one).
+    """The tokenizers library with a bounded memo of runs.
+
+    The vocabulary's pre-tokenizer never joins across white space and cuts a
+    word of plain characters into runs of letters, single digits and runs of
+    signs, so the ids of plain words are those of their runs in a row.  Words
+    with any other character, an apostrophe or the string of a special token
+    are given to the library as they are.  New runs go to the library many at a
+    time, joined by spaces; the word ends among the ids cut the result.
     """
 
-    RUN = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+    # where no odd word is left, a byte from 0x80 on belongs to a small accented letter
+    RUN = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+    SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
     def __init__(self, data: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_buffer(data)
-        self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
         suffix = self.lib.model.end_of_word_suffix
         vocab = self.lib.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         if suffix:
             for t, i in vocab.items():
                 self.ends[i] = t.endswith(suffix)
+        special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
+        if any(c.isspace() for t in special for c in t):
+            raise ValueError("a special token with white space would join words")
+        # the first byte of a character that is not plain, or a special token, with the rest of its word
+        first = b"".join({t.lower().encode()[:1] for t in special})
+        tails = [rb"(?<=%s)%s" % (re.escape(t[:1]), re.escape(t[1:])) for t in (x.lower().encode() for x in special)]
+        self.odd = re.compile(rb"['\x00-\x1f\x7f\xc2-\xff" + re.escape(first) + rb"](?:" + b"|".join(
+            [rb"(?<=['\x00-\x1f\x7f\xc2\xc4-\xff])", rb"(?<=\xc3)(?![\xa0-\xb6\xb8-\xbf])", *tails]) + rb")[^ ]*")
         self.memo: dict[bytes, bytes] = {}
-        self.runs: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_runs(self, runs: list[bytes]) -> None:
-        for lo in range(0, len(runs), 64):
-            part = runs[lo:lo + 64]
-            ids = np.array(self.lib.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(part):  # not one word end each: ask for each alone
-                self.runs.update(zip(part, self._whole([r.decode() for r in part]), strict=True))
-                continue
-            for r, a, b in zip(part, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
-                self.runs[r] = ids[a:b].tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        plain, odd = [], []
-        for w in words:
-            runs = self.RUN.findall(w.lower())
-            if sum(map(len, runs)) == len(w):
-                plain.append((w, runs))
-            else:
-                odd.append(w)
-        new = {r for _, runs in plain for r in runs if r not in self.runs}
-        self._learn_runs(list(new))
-        for w, runs in plain:
-            self.memo[w] = b"".join([self.runs[r] for r in runs])
+    def _learn(self, runs: list[bytes], odd: list[bytes]) -> None:
+        for lo in range(0, len(runs), RUNS_AT_ONCE):
+            part = runs[lo:lo + RUNS_AT_ONCE]
+            raw = self._whole([b" ".join(part).decode()])[0]
+            stops = (4 * np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 4).tolist()
+            if len(stops) == len(part):
+                self.memo.update(zip(part, [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
+            else:  # not one word end each: ask for each alone
+                odd = odd + part
         self.memo.update(zip(odd, self._whole([w.decode("utf-8", "surrogatepass") for w in odd]), strict=True))
 
-    def encode(self, texts: Iterable[str], end: bytes) -> list[bytes]:
-        if len(self.memo) > MEMO_ENTRIES or len(self.runs) > MEMO_ENTRIES:
-            self.memo, self.runs = {}, {}
-        words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        self._learn({w for ws in words for w in ws if w not in self.memo})
-        get = self.memo.__getitem__
-        return [b"".join(map(get, ws)) + end for ws in words]
+    def _cut(self, text: bytes, odd: set[bytes]) -> list[bytes]:
+        """Plain runs and odd words in order; the odd words also go to ``odd``."""
+        flat = text.translate(self.SPACES).lower()
+        out, at = [], 0
+        for m in self.odd.finditer(flat):
+            start = flat.rfind(b" ", at, m.start()) + 1 or at
+            out += self.RUN.findall(flat, at, start)
+            out.append(text[start:m.end()])
+            odd.add(out[-1])
+            at = m.end()
+        return out + self.RUN.findall(flat, at) if out else self.RUN.findall(flat)
+
+    def encode(self, texts: Iterable[str], end: bytes) -> Iterator[bytes]:
+        """Ids of each text with the end id, about ``CHARS_AT_ONCE`` characters at a time."""
+        group: list[str] = []
+        chars = 0
+        for t in texts:
+            if group and chars + len(t) > CHARS_AT_ONCE:
+                yield from self._encode_group(group, end)
+                group, chars = [], 0
+            group.append(t)
+            chars += len(t)
+        yield from self._encode_group(group, end)
+
+    def _encode_group(self, texts: list[str], end: bytes) -> list[bytes]:
+        if len(self.memo) > MEMO_ENTRIES:  # what is not met again while the next one fills is forgotten
+            self.memo, self.older = {}, self.memo
+        memo, older = self.memo, self.older
+        odd: set[bytes] = set()
+        cut = [self._cut(t.encode("utf-8", "surrogatepass"), odd) for t in texts]
+        new = set().union(*cut).difference(memo)
+        known = [r for r in new if r in older]
+        memo.update(zip(known, [older[r] for r in known], strict=True))
+        new.difference_update(known)
+        self._learn(list(new - odd), list(new & odd))
+        get = memo.__getitem__
+        return [b"".join(map(get, c)) + end for c in cut]
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
@@ -191,11 +222,15 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str | None =
     (file, n_docs, n_tokens, start): ``start`` counts the ids before the file.
 
     Documents are range-partitioned and sorted by id (NULL ids first, written
-    as the smallest int64; equal ids are ordered by their text, so reruns
-    agree).  NULL and empty texts give the end id alone.  Each task writes a
-    file under a name of its own and reports it; a task that is run again
-    writes another file, and only reported files are ever read.  An empty table
-    gives an empty manifest.
+    as the smallest int64) and, under one id, by a hash of the text, so reruns
+    agree; equal rows are spread by their place in the input, so an id or a row
+    that holds a third of the table goes to several files.  NULL and empty texts
+    give the end id alone; texts of any length are encoded whole; repeated rows
+    stay repeated; columns other than the two named are not read.  Strings of
+    special tokens in a text get their ids, as the library gives them.  Each
+    task writes a file under a name of its own and reports it; a task that is
+    run again writes another file, and only reported files are ever read.  An
+    empty table gives an empty manifest.
     """
     spark = docs.sparkSession
     data = spark.sparkContext.broadcast(file_bytes(tokenizer_file))
@@ -204,7 +239,8 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str | None =
     end = int(end_id).to_bytes(4, "little")
     ordered = (docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(low)).alias("id"),
                            text_or_empty(text_col).alias("text"))
-               .repartitionByRange("id").sortWithinPartitions("id", "text")
+               .withColumns({"mark": F.xxhash64("text"), "place": F.monotonically_increasing_id() % SPREAD})
+               .repartitionByRange("id", "mark", "place").sortWithinPartitions("id", "mark", "place", "text").drop("mark", "place")
                .withColumn("part", F.spark_partition_id()))
 
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +299,10 @@ def read_token_files(manifest: DataFrame, wanted: set[int] | None = None, digest
     unsigned 32-bit), or their crc32 as ``ids_crc32`` with ``digest``.
 
     One file is read by one task, frame by frame, and every frame read is held
-    against its checksum; ``wanted`` reads only the frames of these documents.
+    against its checksum; ``wanted`` reads only the frames of these documents
+    (an id that occurs often gives all its documents).  A document of any length
+    is one frame and one row; columns of the manifest other than file and start
+    are not read; an empty manifest gives an empty result.
     """
     low = -(1 << 63)
     schema = pa.schema([*list(DOCUMENT)[:3], ("ids_crc32", pa.int64())]) if digest else DOCUMENT

@@ -13,14 +13,13 @@ VOCAB = P.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def lib():
-    t = Tokenizer.from_file(VOCAB)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(VOCAB)
 
 
 HARD = ["", None, " ", "Hello, World! it's", "I'M don't 'tis", "naïve CAFÉ Ünïcode", "éa ́b", "日本語 テキスト",
         "a b　c", "12345 a1b2", "<|endoftext|> x", "ΑΣ ΑΣΑΣ", "\x1cq\x1d r", "x" * 3000, "||| *** $$$", "İstanbul ǅ",
-        "ﬁ ½", "tab\tnew\nline  end "]
+        "ﬁ ½", "tab\tnew\nline  end ", "a <|endoftext|> b", "x<|endoftext|>y<|startoftext|> <|startoftext|>", "<|ENDOFTEXT|> <|endof",
+        "don't<|endoftext|>won't", "plain 漢字漢字 plain É Éa aÉ ÿþ÷× \x7fz z\x00", "'", "' '", "ab'", "Don't STOP'S, it'll"]
 
 
 def test_every_text_like_the_library(lib):
@@ -28,10 +27,41 @@ def test_every_text_like_the_library(lib):
     for _ in range(2):  # the second time from the memo
         for t in HARD:
             want = lib.encode(t or "", add_special_tokens=False).ids + [2]
-            got = np.frombuffer(enc.encode([t or ""], (2).to_bytes(4, "little"))[0], "<u4").tolist()
+            got = np.frombuffer(next(enc.encode([t or ""], (2).to_bytes(4, "little"))), "<u4").tolist()
             assert got == want, repr(t)
 
 
+def test_memo_forgets_by_halves(lib, monkeypatch):
+    monkeypatch.setattr(K, "MEMO_ENTRIES", 6)
+    monkeypatch.setattr(K, "CHARS_AT_ONCE", 8)
+    monkeypatch.setattr(K, "RUNS_AT_ONCE", 2)
+    enc = K.WordEncoder(open(VOCAB, "rb").read())
+    texts = [t or "" for t in HARD] * 2 + ["one two three four five six seven eight nine", "one nine two"]
+    for t, got in zip(texts, enc.encode(texts, b""), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
+    assert len(enc.memo) < 40 and enc.older
+
+
+def test_hot_id_goes_to_several_files(llm, make_docs, lib):
+    docs = make_docs([(7, "the same row")] * 600 + [(7, f"row {i}") for i in range(300)] + [(1, "first"), (9, "last")])
+    llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = K.write_token_files(docs.repartition(4), VOCAB).cache()
+    finally:
+        llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [r["n_docs"] for r in manifest.collect()]
+    assert sum(files) == 902 and len(files) >= 6 and max(files) < 400
+    got = sorted(K.read_token_files(manifest).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [1, *[7] * 900, 9]
+    ids = {}
+    for r in got[1:-1]:
+        ids[bytes(r["ids"])] = ids.get(bytes(r["ids"]), 0) + 1
+    want = np.array([*lib.encode("the same row").ids, 2], "<u4").tobytes()
+    assert ids[want] == 600 and len(ids) == 301
+    again = sorted(K.read_token_files(K.write_token_files(docs.repartition(4), VOCAB)).collect(), key=lambda r: r["start"])
+    assert [bytes(r["ids"]) for r in got] == [bytes(r["ids"]) for r in again]
+
+
 def test_frames_seek_table_and_checksums():
     sink = io.BytesIO()
     w = K.FrameWriter(sink)
@@ -58,7 +88,7 @@ def test_files_round_trip_and_read_only_wanted_frames(make_docs, lib, monkeypatc
     manifest = K.write_token_files(docs, VOCAB, frame_tokens=64).cache()
     got = sorted(K.read_token_files(manifest).collect(), key=lambda r: r["start"])
     at = 0
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     assert [r["doc_id"] for r in got] == [r[0] for r in order]
     for r, (_, text) in zip(got, order, strict=True):
         want = lib.encode(text or "", add_special_tokens=False).ids + [2]
