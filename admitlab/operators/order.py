@@ -298,30 +298,33 @@ def ntile(n_buckets: int, rn: Column, total: Column) -> Column:
 def moving_frame(df: DataFrame, order_col: str, value_cols: list[str], preceding: int,
                  n_buckets: int | None = None, rows_per_block: int = 5_000_000) -> DataFrame:
     """Sums and counts over ``ROWS BETWEEN preceding PRECEDING AND CURRENT
-    ROW`` ordered by a unique column, without a single-task window.
-
-    The global row number comes from ``ordered``; rows are cut into blocks of
-    B >= preceding rows by row number, the last ``preceding`` rows of each
-    block are copied into the next block as a halo, the window runs per
-    block, and halo rows are dropped.  Adds ``_win_sum_<c>`` and
+    ROW`` ordered by a unique numeric column without NULLs, without a single-task
+    window.
+
+    Rows are cut into blocks by ranges of the column (quantile cuts); the last
+    ``preceding`` rows of each block, found by a top-k per task and block, are
+    copied into the next block as a halo; the window runs per block and halo rows
+    are dropped.  So the rows move once.  Blocks are few enough that each has at
+    least ``preceding`` rows: quantile cuts are off by at most a quarter of a
+    block, and a block is eight times that long.  Adds ``_win_sum_<c>`` and
     ``_win_cnt_<c>`` per value column."""
     spec = OrderSpec(order_col, tiebreak=order_col)
-    plan = plan_order(df, spec, n_buckets)
-    o = ordered(df, spec, plan=plan).drop("_rank", "_dense_rank", "_le")
-    total = plan.n_rows
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # about one block per shuffle partition on small data, never more than
-    # rows_per_block rows in one block on large data
-    block = max(preceding + 1, min(math.ceil(max(total, 1) / max(parts, 1)), rows_per_block))
-    blk = F.floor((F.col("_rn") - 1) / block).cast("bigint")
-    pos = (F.col("_rn") - 1) % block
-    # every row goes to its block; the last `preceding` rows of a block also
-    # go to the next one as halo (explode: one pass, no second copy of the plan)
-    targets = F.when(pos >= block - preceding, F.array(blk, blk + 1)).otherwise(F.array(blk))
-    u = (o.withColumn("_own", blk).withColumn("_blk", F.explode(targets))
-          .withColumn("_halo", F.col("_blk") != F.col("_own")).drop("_own"))
-    w = Window.partitionBy("_blk").orderBy("_rn").rowsBetween(-preceding, 0)
+    plan = plan_order(df, spec, n_buckets, rows_per_block)
+    most = max(1, plan.n_rows // (8 * max(1, preceding)))
+    step = math.ceil((len(plan.cuts) + 1) / most)  # so many ranges make a block
+    cuts = sorted(set(plan.cuts[step - 1::step]))
+    at = df.withColumn("_vd", F.col(order_col).cast("double"))
+    if cuts:
+        at = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_vd", outputCol="_blk").transform(at)
+    else:
+        at = at.withColumn("_blk", F.lit(0.0))
+    at = at.withColumn("_halo", F.lit(False)).drop("_vd")
+    if cuts and preceding:
+        last = Window.partitionBy("_blk").orderBy(F.col(order_col).desc())
+        tail = (at.select(order_col, *value_cols, "_blk", F.row_number().over(last).alias("_last"))
+                .where(F.col("_last") <= preceding).drop("_last"))
+        at = at.unionByName(tail.withColumn("_blk", F.col("_blk") + 1).withColumn("_halo", F.lit(True)), allowMissingColumns=True)
+    w = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(-preceding, 0)
     for c in value_cols:
-        u = u.withColumn(f"_win_sum_{c}", F.sum(c).over(w)).withColumn(f"_win_cnt_{c}", F.count(c).over(w))
-    return u.filter(~F.col("_halo")).drop("_blk", "_halo")
+        at = at.withColumn(f"_win_sum_{c}", F.sum(c).over(w)).withColumn(f"_win_cnt_{c}", F.count(c).over(w))
+    return at.filter(~F.col("_halo")).drop("_blk", "_halo")

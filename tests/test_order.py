@@ -56,10 +56,11 @@ def test_matches_spark(spark, case, desc):
     assert len(g) == n
 
 
-def test_moving_frame(spark):
+@pytest.mark.parametrize("preceding,buckets", [(9, 7), (0, 5), (1, 60), (30, 300), (299, 4), (500, 4), (9, None)])
+def test_moving_frame(spark, preceding, buckets):
     df = _data(spark, 300, 100, 0.1, 5)
-    got = moving_frame(df, "id", ["v"], 9, n_buckets=7)
-    w = Window.orderBy("id").rowsBetween(-9, 0)
+    got = moving_frame(df, "id", ["v"], preceding, n_buckets=buckets)
+    w = Window.orderBy("id").rowsBetween(-preceding, 0)
     ref = df.withColumn("s", F.sum("v").over(w)).withColumn("c", F.count("v").over(w))
     g = {r["id"]: (r["_win_sum_v"], r["_win_cnt_v"]) for r in got.collect()}
     assert len(g) == 300
