@@ -13,14 +13,17 @@ How many documents hold an id pair linked is counted over the corpus; a document
 then gets the sum of these counts over its links and the number of links whose
 pair is the most frequent one of its A id.
 
-Long texts are encoded in parts, cut at single spaces between two other
+Texts are encoded word by word, cut at single spaces between two other
 characters: neither tokenizer has a token that runs from such a character into
-a space, so the ids are those of the whole text.
+a space, so the ids are those of the whole text.  A worker keeps the ids of the
+words it met in a bounded memo; the texts are aligned whole, long ones in parts
+that end with a word.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -36,6 +39,9 @@ from .common import batches, file_bytes, store, text_or_empty
 #: Characters after which a text is cut, and that are encoded at a time.
 PART_CHARS, CHUNK_CHARS = 1 << 16, 1 << 17
 DOCS_AT_ONCE = 2000
+#: About so many bytes of words and ids are kept by a worker.
+MEMO_BYTES = 96 << 20
+WORDS_AT_ONCE = 2000
 #: Id pairs whose counts are broadcast (17 bytes each); the others meet their
 #: counts in a join.
 FREQUENT_PAIRS = 1 << 20
@@ -188,28 +194,77 @@ class Pair:
         texts = [b"%d%s" % (i, end) for n, ends in ((len(self.bytes_a), b",|"), (len(self.bytes_b), b",;"))
                  for end in (ends[:1], ends[1:]) for i in range(n)]
         self.texts = np.array(texts, object)
+        self.memo: dict[str, tuple[bytes, bytes] | None] = {}
+        self.held = 0
 
     def parts(self, text: str) -> Iterator[str]:
         return text_parts(text, PART_CHARS if self.cuts else len(text))
 
+    def words(self, text: str) -> list[str]:
+        return _INNER_SPACE.split(text) if self.cuts else [text]
+
+    def _learn(self, words: set[str]) -> None:
+        """Ids of new words (little-endian int32, A and B), None for those that are
+        not given back byte for byte."""
+        plain = [w for w in words if w and not (w[0].isspace() or w[-1].isspace() or SPACE_MARK in w)] if self.cuts else []
+        odd = list(words.difference(plain))
+        for lo in range(0, len(plain), WORDS_AT_ONCE):
+            part = plain[lo:lo + WORDS_AT_ONCE]
+            whole = " " + " ".join(part)
+            raw = [w.encode() for w in part]
+            ends = np.cumsum([len(w) + 1 for w in raw])
+            a, b = self._ids([whole[1:]])[0]
+            cut_a, cut_b = self._ends(a, self.bytes_a, self.size_a, raw, ends), self._ends(b, self.bytes_b, self.size_b, raw, ends)
+            if cut_a is None or cut_b is None:
+                odd += part
+                continue
+            a, b = (np.array(x, "<i4").tobytes() for x in (a, b))
+            for w, a0, a1, b0, b1 in zip(part, [0, *cut_a], cut_a, [0, *cut_b], cut_b):
+                self.memo[w] = a[a0:a1], b[b0:b1]
+        for w, (a, b) in zip(odd, self._ids(odd), strict=True):
+            whole = b" " + w.encode()
+            good = b"".join([self.bytes_a[i] for i in a]) == whole == b"".join([self.bytes_b[i] for i in b])
+            self.memo[w] = (np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes()) if good else None
+        self.held += sum(200 + 6 * len(w) for w in words)
+
+    def _ids(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return list(zip(a, self.b.encode(texts, num_threads=1), strict=True)) if texts else []
+
+    @staticmethod
+    def _ends(ids: list[int], tokens: list[bytes], sizes: np.ndarray, words: list[bytes], ends: np.ndarray) -> list[int] | None:
+        """Byte offsets among the ids at which the words end; None if the tokens
+        are not the words' bytes."""
+        if b"".join([tokens[i] for i in ids]) != b" " + b" ".join(words):
+            return None
+        at = np.cumsum(sizes[np.array(ids)])
+        k = np.searchsorted(at, ends)
+        return (4 * (k + 1)).tolist() if (at[k] == ends).all() else None
+
     def align(self, work: list[tuple[Document, str]]) -> None:
         """Add each part to its document."""
         if not work:
             return
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for _, t in work], add_special_tokens=False)]
-        ids_b = self.b.encode([t for _, t in work], num_threads=1)
-        live = []
-        for k, (doc, text) in enumerate(work):
-            whole = b" " + text.encode()
-            doc.good = (doc.good and b"".join([self.bytes_a[i] for i in ids_a[k]]) == whole
-                        and b"".join([self.bytes_b[i] for i in ids_b[k]]) == whole)
+        if self.held > MEMO_BYTES:  # the older half goes
+            for w in list(itertools.islice(self.memo, len(self.memo) // 2)):
+                del self.memo[w]
+            self.held //= 2
+        cut = [self.words(text) for _, text in work]
+        new = set().union(*cut).difference(self.memo)
+        if new:
+            self._learn(new)
+        live, ids_a, ids_b = [], [], []
+        for k, ((doc, _), ws) in enumerate(zip(work, cut, strict=True)):
+            found = [self.memo[w] for w in ws]
+            doc.good = doc.good and None not in found
             if doc.good:
                 live.append(k)
+                ids_a.append(np.frombuffer(b"".join([f[0] for f in found]), "<i4"))
+                ids_b.append(np.frombuffer(b"".join([f[1] for f in found]), "<i4"))
         if not live:
             return
-        n_a, n_b = (np.array([len(ids[k]) for k in live]) for ids in (ids_a, ids_b))
-        a, b = (np.concatenate([np.array(ids[k], np.int64) for k in live]) for ids in (ids_a, ids_b))
-        del ids_a, ids_b
+        n_a, n_b = (np.array(list(map(len, ids))) for ids in (ids_a, ids_b))
+        a, b = (np.concatenate(ids).astype(np.int64) for ids in (ids_a, ids_b))
         cut_a, cut_b, link_a, link_b = aligned(np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), n_a, n_b)
         text, at = self._groups(a, b, cut_a, cut_b), np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
         part = np.repeat(np.arange(len(live)), n_a)

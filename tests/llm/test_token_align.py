@@ -118,6 +118,18 @@ def test_rows_equal_brute_force(pair, monkeypatch, sizes):
     assert [(r[0], *r[1:5], r[5]) for r in got] == [(w[0], *w[1:5], w[7]) for w in want]
 
 
+def test_memo_drops_its_older_half(monkeypatch):
+    for name, size in (("MEMO_BYTES", 2000), ("WORDS_AT_ONCE", 3), ("CHUNK_CHARS", 40)):
+        monkeypatch.setattr(T, name, size)
+    own = T.Pair(file_bytes(A), file_bytes(B))
+    rng = random.Random(12)
+    rows = list(enumerate([*ODD, *(prose(rng, 40) + str(i) for i in range(40)), *ODD]))
+    got = list(T.aligned_rows(own, iter(rows)))
+    want = brute(own, rows)
+    assert [(r[0], *r[1:5], r[5]) for r in got] == [(w[0], *w[1:5], w[7]) for w in want]
+    assert len(own.memo) < 120
+
+
 @pytest.mark.parametrize("frequent", [1 << 20, 40, 0])
 def test_counts_over_the_corpus(llm, make_docs, pair, frequent):
     rng = random.Random(2)
