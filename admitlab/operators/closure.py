@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def walk_up(nodes: DataFrame, start: DataFrame, node_col: str, parent_col: str) -> DataFrame:
     """All ancestors of the ``start`` rows (rows of ``nodes``), with ``level``
@@ -55,7 +57,7 @@ def ancestors(nodes: DataFrame, starts: DataFrame, node_col: str, parent_col: st
     cycle shows as a node met before, keeps its lowest level and ends the loop.
     Parents that have no row end a path; repeated rows of a node count once."""
     spark = nodes.sparkSession
-    folder = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/ancestors-{uuid.uuid4().hex}"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ancestors-{uuid.uuid4().hex}"
     known = nodes.where(F.col(node_col).isNotNull()).groupBy(F.col(node_col).cast("long").alias("node")).agg(
         F.min(F.col(parent_col).cast("long")).alias("up"))
     up = known.join(known.select(F.col("node").alias("up")), "up", "left_semi")  # parents that have a row

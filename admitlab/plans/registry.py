@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as FX
 from ..operators import closure, matview
+from ..session import ensure_checkpoint_dir
 from ..sources import tables as T
 from ..sources.parts import PartTable
 from . import changes, finance, intervals, kpi, quality, relate, risk, semi, timeline, windows
@@ -78,7 +79,9 @@ def regional_view(spark: SparkSession, sf_dir: str) -> matview.View:
 def _views_root(spark: SparkSession) -> str:
     """Stored views outlive a session, so they are kept below the shared folder
     itself and not below the session's own part of it."""
-    return f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/views"
+    own = ensure_checkpoint_dir(spark)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or own.rstrip("/").rsplit("/", 1)[0]
+    return f"{shared.rstrip('/')}/views"
 
 
 def _hot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +93,7 @@ def _hot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _shared_path(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
-    return f"{base.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
 
 
 def _set_bill_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
