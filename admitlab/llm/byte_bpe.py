@@ -300,7 +300,12 @@ def decode_bytes(df: DataFrame, rank_file: str, pattern: str, ids_col: str = "to
 def round_trip(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text", out_col: str = "bpe") -> DataFrame:
     """``df`` with a struct column (``ids``, ``decoded``), both binary: the ids
     as ``encode_bytes`` gives them and the bytes decoded from those ids, made by
-    one worker per task.  The memo of words ends with the task."""
+    one worker per task.  The memo of words ends with the task.
+
+    NULL and empty texts give two empty values; texts and pieces of any length are
+    taken whole (a piece of 80,000 bytes takes about 4 seconds, longer ones in
+    proportion); repeated rows stay repeated; a column named ``out_col`` is
+    replaced, all others are kept; an empty table gives an empty one."""
     data = df.sparkSession.sparkContext.broadcast(file_bytes(rank_file))
     key = hash((rank_file, pattern))
     kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
@@ -319,7 +324,9 @@ def round_trip(df: DataFrame, rank_file: str, pattern: str, text_col: str = "tex
 
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text") -> DataFrame:
     """The documents with ``token_ids`` (binary), ``n_tokens`` and ``decoded``
-    (string read back from the ids); a clashing input column is replaced."""
+    (string read back from the ids); a clashing input column is replaced.  NULL
+    and empty texts, long texts, repeated rows and an empty table as in
+    ``round_trip``."""
     at = fresh(docs, "bpe")
     out = round_trip(docs, rank_file, pattern, text_col, at)
     return (out.withColumn("token_ids", F.col(f"{at}.ids")).withColumn("n_tokens", (F.length(f"{at}.ids") / 4).cast("long"))

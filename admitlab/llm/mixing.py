@@ -194,7 +194,10 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
 
 def with_copies(ranked: DataFrame, plan: DataFrame, r: str, out_col: str) -> DataFrame:
     """``ranked`` with the number of copies each row gets in ``out_col``.  Of
-    equal rows, the first ones by their place in the input get one copy more."""
+    equal rows, the first ones by their place in the input get one copy more;
+    rows without words get copies by rank and add nothing; every row of
+    ``ranked`` is in the result, a column named ``out_col`` is replaced; an empty
+    table gives an empty one."""
     rows = _ranked(ranked.join(plan, _same_source(r)), r)
     here = F.struct(F.col("_q"), F.col(f"{r}.h2").alias("h2"))
     short = F.col("cut_bucket").isNull() | (F.col("_b") < F.col("cut_bucket")) | (
