@@ -5,11 +5,13 @@ word, prefix voters on the beginning of a word (for inflected and compounded
 forms), pattern voters on the shape of the text.  Lexicon and prefixes are the
 strings most strongly tied to label 1 among labelled training rows.
 
-A generative label model treats the true class as hidden: EM estimates each
-voter's firing rate in either class (its accuracy) from the votes, the labels
-taking part as one more, fallible voter.  Voters that depend on each other
+A generative label model treats the true class as hidden: EM starts from how
+many term voters of a text agree and estimates each voter's firing rate in either
+class (its accuracy) from the votes alone.  Voters that depend on each other
 within a class are found from their correlations, and their evidence counts
-once together.  Its posteriors train the linear classifier that scores texts.
+once together.  The posteriors of the voters train the linear classifier that
+scores texts.  Gold labels choose the lexicon and, at the end, the cut; they have
+no part in the label model.
 """
 
 from __future__ import annotations
@@ -33,7 +35,13 @@ MAX_ROWS = 20_000
 MAX_LEXICON = 160
 MIN_HITS = 4
 PREFIXES = (4, 5, 6)
-LABEL_ACCURACY = 0.97
+#: Chance of label 1 that EM starts from, by the number of distinct words and
+#: beginnings of words that vote: none, one, two, three or more.
+AGREEMENT = (0.01, 0.5, 0.9, 0.97)
+#: Votes added to each class when firing rates are estimated.
+ADDED_VOTES = 0.05
+#: Correlation within a class above which voters are taken for dependent.
+TIED = 0.5
 
 _BREAKS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalnum()),
                           b" " * sum(not chr(c).isalnum() for c in range(128)))
@@ -156,41 +164,53 @@ class LabelModel:
     prior: float
 
     def evidence(self, votes: np.ndarray) -> np.ndarray:
-        on = np.log(self.rate1 / self.rate0) * self.share
-        off = np.log((1 - self.rate1) / (1 - self.rate0)) * self.share
-        return votes @ (on - off) + off.sum() + logit(self.prior)
+        """Log odds of label 1: the prior and the voters that fire.  A voter that
+        abstains says nothing, as most of them know only a few words."""
+        return votes @ (np.log(self.rate1 / self.rate0) * self.share) + logit(self.prior)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         return sigmoid(self.evidence(votes))
 
 
-def fit_label_model(votes: np.ndarray, y: np.ndarray, rounds: int = 20) -> tuple[LabelModel, np.ndarray]:
-    """EM over the hidden class; returns the model over the voters and the
-    posterior of each row, for which its label votes too."""
+def agreement(votes: np.ndarray, n_terms: int) -> np.ndarray:
+    """The chance of label 1 that EM starts from, by the votes of the first
+    ``n_terms`` voters: words and their beginnings.  Those that always fire
+    together are one.  Patterns of shape get their accuracy from EM only: they
+    may agree on something that is not toxic."""
+    terms = votes[:, :n_terms]
+    _, first = np.unique(terms, axis=1, return_index=True)
+    return np.array(AGREEMENT)[np.minimum(terms[:, first].sum(axis=1), len(AGREEMENT) - 1).astype(int)]
+
+
+def fit_label_model(votes: np.ndarray, n_terms: int, rounds: int = 30) -> tuple[LabelModel, np.ndarray]:
+    """EM over the hidden class from the votes alone; returns the model and the
+    posterior of each row.  A row on which no term voter fires keeps the chance it
+    starts from."""
     n, v = votes.shape
-    post = np.where(y == 1, LABEL_ACCURACY, 1 - LABEL_ACCURACY)
-    right = LABEL_ACCURACY
+    post = agreement(votes, n_terms)
+    silent = votes[:, :n_terms].sum(axis=1) == 0
     share = np.ones(v)
     model = None
     for _ in range(rounds):
         w1, w0 = post.sum(), (1 - post).sum()
-        rate1 = (post @ votes + 0.5) / (w1 + 1.0)
-        rate0 = ((1 - post) @ votes + 0.5 * w0 / max(w1, 1.0)) / (w0 + w0 / max(w1, 1.0))
+        # as many votes are added to either class, so a voter that never fires says nothing
+        odds = w0 / max(w1, 1.0)
+        rate1 = (post @ votes + ADDED_VOTES) / (w1 + 2 * ADDED_VOTES)
+        rate0 = ((1 - post) @ votes + ADDED_VOTES * odds) / (w0 + 2 * ADDED_VOTES * odds)
         rate1, rate0 = np.clip(rate1, 1e-6, 1 - 1e-6), np.clip(rate0, 1e-6, 1 - 1e-6)
-        # dependence within a class: voters that fire together bring their evidence once
+        # dependence within a class, over the rows that are more likely in it than not: a few rows
+        # of the other class would make all its voters look dependent here
         tied = np.zeros((v, v))
-        for p, rate in ((post, rate1), (1 - post, rate0)):
-            centred = (votes - rate) * np.sqrt(p / max(p.sum(), 1.0))[:, None]
-            cov = centred.T @ centred
+        for inside in (post > 0.5, post <= 0.5):
+            centred = votes[inside] - votes[inside].mean(axis=0) if inside.any() else np.zeros((1, v))
+            cov = centred.T @ centred / max(1, len(centred))
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             tied = np.maximum(tied, cov / sd / sd[:, None])
-        tied = np.where(tied > 0.1, np.minimum(tied, 1.0), 0.0)
+        tied = np.where(tied > TIED, np.minimum(tied, 1.0), 0.0)
         np.fill_diagonal(tied, 1.0)
         share = 1.0 / tied.sum(axis=1)
         model = LabelModel(rate1, rate0, share, float(np.clip(w1 / n, 1e-4, 1 - 1e-4)))
-        says = np.where(y == 1, 1.0, -1.0) * logit(right)
-        new = sigmoid(model.evidence(votes) + says)
-        right = float(np.clip((new * (y == 1) + (1 - new) * (y == 0)).mean(), 0.6, 0.995))
+        new = np.where(silent, AGREEMENT[0], model.posterior(votes))
         done = np.abs(new - post).max() < 1e-4
         post = new
         if done:
@@ -219,7 +239,7 @@ def train(lexicon: list[str], votes: np.ndarray, y: np.ndarray) -> ToxicModel:
         beta = np.zeros(d + 1)
         beta[0] = 4.0 if len(y) and y[0] == 1 else -4.0
         return ToxicModel(tuple(lexicon), np.zeros(d), np.ones(d), beta, 0.0)
-    _, post = fit_label_model(votes[:, :-1], y)
+    _, post = fit_label_model(votes[:, :-1], len(lexicon))
     mean, scale = votes.mean(axis=0), np.maximum(votes.std(axis=0), 1e-2)
     x = np.hstack([np.ones((len(votes), 1)), (votes - mean) / scale])
     beta = fit(x, post, l2=1.0)
@@ -228,8 +248,14 @@ def train(lexicon: list[str], votes: np.ndarray, y: np.ndarray) -> ToxicModel:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held_rest: int = 2,
                  max_rows: int = MAX_ROWS, label: str = "toxic", text_col: str = "text") -> ToxicModel:
-    """Model from about ``max_rows`` labelled rows that are not held out."""
-    rows = store(labelled_sample(docs, labels, label, held_mod, held_rest, max_rows, text_col=text_col), "toxic-rows")
+    """Model from about ``max_rows`` labelled documents that are not held out
+    (``labelled_sample``).
+
+    NULL and empty texts take part as texts on which no voter fires, texts of any
+    length are read whole; repeated rows count once; of terms tied in strength the
+    first in code-point order is taken; labels of one kind only, or an empty
+    table, give a constant score; other columns are not read."""
+    rows = store(labelled_sample(docs, labels, label, max_rows, held_mod, held_rest, text_col=text_col), "toxic-rows")
     lexicon = learn_lexicon(rows)
 
     @F.arrow_udf("array<double>")
@@ -243,7 +269,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held_res
 
 def toxic_score(model: ToxicModel, text_col: str = "text", accept: float = 0.3) -> Column:
     """Score of a text, 0 to 1; ``accept`` or more means toxic.  NULL and empty
-    texts are scored like a text on which no voter fires."""
+    texts are scored like a text on which no voter fires; texts of any length are
+    read whole; equal texts have equal scores; an empty table has none."""
     data = (model, accept)
 
     @F.arrow_udf("double")
