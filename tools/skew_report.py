@@ -95,9 +95,7 @@ def main() -> None:
               "patient's rows go through the bucketed order (value ranges, then blocks with a one-row",
               "halo), so no task reads more than about its share.  `global-plain` is",
               "`row_number() OVER (ORDER BY bill, id)` without PARTITION BY (one task reads every row);",
-              "`global-bucketed` is `operators.order.ordered` on the same order, with ranges placed on",
-              "task slots (automatic from 5 M rows; the split run above uses the plain hash placement",
-              "its size gets by default).", ""]
+              "`global-bucketed` is `operators.order.ordered` on the same order; ranges are hashed to tasks.", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "SKEW.md"), "w") as f:
         f.write("\n".join(lines))
     print("\n".join(lines))
