@@ -44,6 +44,8 @@ COPY = 0.15
 END = b" end"
 FLUSH_WORDS = 200_000
 LATTICE_ROWS = 4096
+#: Bytes of a word whose arcs are held at a time.
+WINDOW = 4096
 
 
 def load_pieces(model: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -93,10 +95,12 @@ class Lattice:
         self.piece[list(ends)] = list(ends.values())
         self.size = len(surfaces)
 
-    def _arcs(self, rows: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(start, end, row numbers, piece ids) of all arcs, starts ascending."""
+    def _arcs(self, rows: np.ndarray, size: np.ndarray, first: int = 0,
+              last: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(start, end, row numbers, piece ids) of all arcs, or of those that start
+        in [first, last), starts ascending."""
         width = rows.shape[1]
-        for s in range(width):
+        for s in range(first, width if last is None else min(last, width)):
             live = np.flatnonzero(size > s)
             state = np.zeros(len(live), np.int32)
             for e in range(s, width):
@@ -131,20 +135,26 @@ class Lattice:
     def expected(self, words: list[bytes], logp: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece over the strings (each once)."""
         rows, size = self._matrix(words)
-        arcs = list(self._arcs(rows, size))
         n = np.arange(len(words))
         alpha = np.full((len(words), rows.shape[1] + 1), -np.inf)
         beta = alpha.copy()
         alpha[:, 0] = 0.0
         beta[n, size] = 0.0
-        for s, e, at, pid in arcs:
-            alpha[at, e] = np.logaddexp(alpha[at, e], alpha[at, s] + logp[pid])
+        windows = range(0, rows.shape[1], WINDOW)
+        held: list = []
+        for w in windows:
+            held = list(self._arcs(rows, size, w, w + WINDOW))
+            for s, e, at, pid in held:
+                alpha[at, e] = np.logaddexp(alpha[at, e], alpha[at, s] + logp[pid])
         total = alpha[n, size]
         out = np.zeros(self.size)
-        for s, e, at, pid in reversed(arcs):
-            through = logp[pid] + beta[at, e]
-            beta[at, s] = np.logaddexp(beta[at, s], through)
-            out += np.bincount(pid, np.exp(alpha[at, s] + through - total[at]), self.size)
+        # backwards, the arcs of a window are made again: only one window's are held
+        for w in reversed(windows):
+            arcs = held if w == windows[-1] else list(self._arcs(rows, size, w, w + WINDOW))
+            for s, e, at, pid in reversed(arcs):
+                through = logp[pid] + beta[at, e]
+                beta[at, s] = np.logaddexp(beta[at, s], through)
+                out += np.bincount(pid, np.exp(alpha[at, s] + through - total[at]), self.size)
         return out
 
     @staticmethod

@@ -59,6 +59,32 @@ def test_expected_counts_are_posteriors(pieces):
     assert better.sum() > lat.forward(words, logp).sum()
 
 
+def test_windows_give_the_same_counts(pieces, monkeypatch):
+    surfaces, logp = pieces
+    lat = M.Lattice(surfaces)
+    words = [b" internationalisation" * 3, b" a", b" " + bytes(range(97, 123)) * 4]
+    want = lat.expected(words, logp)
+    for window in (1, 7, 64):
+        monkeypatch.setattr(M, "WINDOW", window)
+        assert np.allclose(lat.expected(words, logp), want, rtol=1e-12, atol=1e-300)
+
+
+def test_a_long_word_holds_one_window(pieces, monkeypatch):
+    """Memory of the expected counts of one word without white space: 16 bytes a
+    byte for the two recursions and one window's arcs, not all arcs."""
+    monkeypatch.setattr(M, "WINDOW", 256)
+    import tracemalloc
+    surfaces, logp = pieces
+    lat = M.Lattice(surfaces)
+    word = b" " + b"base64textwithoutspaces" * 300  # 6,901 bytes
+    tracemalloc.start()
+    got = lat.expected([word], logp)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(got[i] * len(s) for i, s in enumerate(surfaces)) == pytest.approx(len(word))
+    assert peak < 16 * len(word) + (4 << 20)
+
+
 def brute_base(rows, is_held):
     words = {k: (t or "").encode().lower().split() + [M.END] for k, (_, t) in enumerate(rows)}
     c = collections.Counter(w for k, ws in words.items() if not is_held(rows[k][0]) for w in ws)
