@@ -120,8 +120,14 @@ def train(x: np.ndarray, y: np.ndarray, l2: float = 1.0) -> RankModel:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, held_mod: int = 5, held_rest: int = 0,
                 max_rows: int = MAX_ROWS, label: str = "quality", text_col: str = "text") -> RankModel:
-    """Model from about ``max_rows`` labelled rows that are not held out."""
-    rows = labelled_sample(docs, labels, label, held_mod, held_rest, max_rows, text_col=text_col)
+    """Model from about ``max_rows`` labelled documents that are not held out
+    (``labelled_sample``) and at most ``MAX_PAIRS`` pairs of them.
+
+    NULL and empty texts take part with all-zero features, texts of any length
+    are read whole; repeated rows count once and ties among features cost
+    nothing; labels of one kind only, or an empty table, give a constant score;
+    other columns are not read."""
+    rows = labelled_sample(docs, labels, label, max_rows, held_mod, held_rest, text_col=text_col)
     got = rows.select("doc_id", "y", _feature_udf(F.col("text")).alias("x")).toPandas().sort_values(["doc_id", "y"])
     return train(np.array(got["x"].tolist(), float), got["y"].to_numpy(int))
 
@@ -135,7 +141,8 @@ def _feature_udf(text: Column) -> Column:
 
 def quality_score(model: RankModel, text_col: str = "text", accept: float = 0.3) -> Column:
     """Score of a text, 0 to 1; ``accept`` or more means good.  NULL and empty
-    texts have the score of the all-zero features."""
+    texts have the score of the all-zero features; texts of any length are read
+    whole; equal texts have equal scores; an empty table has none."""
     data = (model, accept)
 
     @F.arrow_udf("double")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, fresh, store, text_or_empty
+from .labelled import labelled_sample
 
 #: At most about this many labelled rows are used for learning.
 MAX_ROWS = 20_000
@@ -238,17 +239,14 @@ def learn(rows: DataFrame, max_rules: int = MAX_RULES) -> DecisionList:
 
 def learn_rules(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS,
                 id_col: str = "doc_id", text_col: str = "text") -> DecisionList:
-    """Rules from about ``max_rows`` labelled rows (chosen by a hash of the id)
-    whose texts pass the base rules."""
-    known = labels.where(F.col(f"`{id_col}`").isNotNull() & F.col(f"`{label}`").isNotNull()).groupBy(
-        F.col(f"`{id_col}`").cast("long").alias("label_id")).agg(F.max(F.col(f"`{label}`").cast("int")).alias("y"))
-    n = known.count()
-    if n > max_rows:
-        steps = 1_000_000
-        known = known.where(F.pmod(F.xxhash64("label_id"), F.lit(steps)) < steps * max_rows // n).limit(2 * max_rows)
-    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(text_col).alias("t"))
-    rows = slim.join(F.broadcast(known), F.col("doc_id") == F.col("label_id")).select(
-        "doc_id", "y", text_stats(F.col("t")).alias("s"))
+    """Rules from about ``max_rows`` labelled documents (``labelled_sample``) whose
+    texts pass the base rules.
+
+    NULL and empty texts fail the base rules and take no part; texts of any
+    length are counted whole; repeated rows count once; without labels of both
+    kinds, or with an empty table, there is no rule; other columns are not read."""
+    rows = labelled_sample(docs, labels, label, max_rows, id_col=id_col, text_col=text_col).select(
+        "doc_id", "y", text_stats(F.col("text")).alias("s"))
     rows = store(rows, "rule-stats")  # else the filter moves below the join, to all documents
     rows = rows.where(~base_failed("s"))
     return learn(rows.select("doc_id", "y", *[measure(n, "s").alias(n) for n in MEASURES]))
