@@ -16,6 +16,7 @@ no part in the label model.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -177,9 +178,11 @@ def agreement(votes: np.ndarray, n_terms: int) -> np.ndarray:
     ``n_terms`` voters: words and their beginnings.  Those that always fire
     together are one.  Patterns of shape get their accuracy from EM only: they
     may agree on something that is not toxic."""
-    terms = votes[:, :n_terms]
-    _, first = np.unique(terms, axis=1, return_index=True)
-    return np.array(AGREEMENT)[np.minimum(terms[:, first].sum(axis=1), len(AGREEMENT) - 1).astype(int)]
+    distinct = {hashlib.sha256(votes[:, j].tobytes()).digest(): j for j in range(n_terms)}
+    agree = np.zeros(len(votes))
+    for j in distinct.values():
+        agree += votes[:, j]
+    return np.array(AGREEMENT)[np.minimum(agree, len(AGREEMENT) - 1).astype(int)]
 
 
 def fit_label_model(votes: np.ndarray, n_terms: int, rounds: int = 30) -> tuple[LabelModel, np.ndarray]:
@@ -202,7 +205,8 @@ def fit_label_model(votes: np.ndarray, n_terms: int, rounds: int = 30) -> tuple[
         # of the other class would make all its voters look dependent here
         tied = np.zeros((v, v))
         for inside in (post > 0.5, post <= 0.5):
-            centred = votes[inside] - votes[inside].mean(axis=0) if inside.any() else np.zeros((1, v))
+            centred = votes[inside] if inside.any() else np.zeros((1, v))
+            centred -= centred.mean(axis=0)
             cov = centred.T @ centred / max(1, len(centred))
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             tied = np.maximum(tied, cov / sd / sd[:, None])
@@ -264,7 +268,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held_res
         return pa.array([voters.votes(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
 
     got = rows.select("doc_id", "y", vote("text").alias("x")).toPandas().sort_values(["doc_id", "y"])
-    return train(lexicon, np.array(got["x"].tolist(), float), got["y"].to_numpy(int))
+    votes, y = np.array(got["x"].tolist(), float), got["y"].to_numpy(int)
+    del got
+    return train(lexicon, votes, y)
 
 
 def toxic_score(model: ToxicModel, text_col: str = "text", accept: float = 0.3) -> Column:
