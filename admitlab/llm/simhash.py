@@ -118,10 +118,12 @@ def grouped(fps: DataFrame, max_bits: int) -> DataFrame:
 
 
 def kept_rows(rows: DataFrame) -> DataFrame:
-    """(doc_id, mark) of each group's row of smallest id, of equal ids the one
-    of the smallest mark; a row without id only where no row has one."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark"))
-    return rows.groupBy("group").agg(first.alias("k")).select("k.doc_id", "k.mark")
+    """(doc_id, mark, n) of each group's row of smallest id, of equal ids the one
+    of the smallest mark; a row without id only where no row has one.  ``n`` rows
+    are equal in both."""
+    equal = rows.groupBy("group", "doc_id", "mark").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark", "n"))
+    return equal.groupBy("group").agg(first.alias("k")).select("k.doc_id", "k.mark", "k.n")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -146,10 +148,17 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     are documents of their own.  A group of rows without ids keeps the one of
     the smallest hash.
     """
-    kept = kept_rows(_grouped(docs, id_col, text_col, shingle, max_bits, seed))
+    kept = store(kept_rows(_grouped(docs, id_col, text_col, shingle, max_bits, seed)), "simhash-kept")
     i, m, own = fresh(docs, "kept_id"), fresh(docs, "kept_mark"), fresh(docs, "text_mark")
     ident = F.col(f"`{id_col}`").cast("long")
-    out = docs.withColumn(own, F.xxhash64(text_or_empty(text_col))).join(
-        kept.select(F.col("doc_id").alias(i), F.col("mark").alias(m)),
-        ident.eqNullSafe(F.col(i)) & (F.col(own) == F.col(m)), "left_semi")
-    return out.dropDuplicates([id_col, own]).drop(own)
+    marked = docs.withColumn(own, F.xxhash64(text_or_empty(text_col)))
+
+    def found(keys: DataFrame) -> DataFrame:
+        return marked.join(keys.select(F.col("doc_id").alias(i), F.col("mark").alias(m)),
+                           ident.eqNullSafe(F.col(i)) & (F.col(own) == F.col(m)), "left_semi")
+    # texts move once; only rows that have an equal are put together
+    repeated = kept.where("n > 1")
+    out = found(kept.where("n = 1"))
+    if not repeated.isEmpty():
+        out = out.unionByName(found(repeated).dropDuplicates([id_col, own]))
+    return out.drop(own)
