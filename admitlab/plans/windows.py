@@ -9,6 +9,8 @@ or WindowGroupLimit) before any exchange.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -253,10 +255,10 @@ def bill_zscore(enc: DataFrame) -> DataFrame:
     c = F.col("_c").cast("decimal(38,0)")
     st = e.agg(F.count(F.lit(1)).alias("n"), F.sum(c).alias("s"), F.sum(c * c).alias("q")).first()
     n_i = int(st["n"])
-    s_i = int(st["s"]) if st["s"] is not None else 0
-    q_i = int(st["q"]) if st["q"] is not None else 0
-    n, s, q = (F.lit(n_i).cast("double"), F.lit(s_i).cast("decimal(38,0)").cast("double"),
-               F.lit(q_i).cast("decimal(38,0)").cast("double"))
+    # literals are made from the Decimals: a Python int has to fit into 64 bits,
+    # which the sum of squares in sf0.1 exceeds from about 270,000 bills on
+    s_d, q_d = (F.lit(Decimal(0) if v is None else v).cast("decimal(38,0)") for v in (st["s"], st["q"]))
+    n, s, q = F.lit(n_i).cast("double"), s_d.cast("double"), q_d.cast("double")
     mean_c = s / n
     # sample sd: NULL for fewer than two bills; a zero sd gives NULL z-scores
     var = F.when(F.lit(n_i) > 1, (q - s * s / n) / (n - 1))
@@ -266,7 +268,7 @@ def bill_zscore(enc: DataFrame) -> DataFrame:
     band = (F.when(z > 3, extreme).when(z > 2, moderate).when(z > 1, above).when(z < -1, below)
              .otherwise(normal))
     return (e.select("patient_id", money(F.col(BILL)).alias(BILL),
-                     rdiv(F.lit(s_i).cast("decimal(38,0)"), F.lit(n_i * 100), 2).alias("population_mean"),
+                     rdiv(s_d, F.lit(n_i * 100), 2).alias("population_mean"),
                      (F.round(sd_c / 100, 2) + F.lit(0.0)).alias("standard_deviation"),
                      (F.round(z, 2) + F.lit(0.0)).alias("z_score"),
                      band.alias("outlier_status"))

@@ -174,6 +174,24 @@ def test_zscore_degenerate(spark):
         assert all(r["z_score"] is None and r["outlier_status"] == "Normal Range" for r in rows)
 
 
+def test_zscore_sums_beyond_64_bits(spark):
+    """The squares of 100 bills of about 9 billion exceed 64 bits by far."""
+    import statistics
+
+    from admitlab.plans.windows import bill_zscore
+    bills = [9_000_000_000 + k * 1_000_000 for k in range(100)]
+    df = spark.createDataFrame([(k, f"P{k}", float(b)) for k, b in enumerate(bills)],
+                               "id long, patient_id string, total_bill_amount double") \
+        .withColumn("total_bill_amount", F.col("total_bill_amount").cast("decimal(12,2)"))
+    assert sum((b * 100) ** 2 for b in bills) > 2 ** 63
+    rows = bill_zscore(df).collect()
+    mean, sd = statistics.fmean(bills), statistics.stdev(bills)
+    assert len(rows) == 100
+    assert {r["population_mean"] for r in rows} == {mean}
+    assert all(abs(r["standard_deviation"] / sd - 1) < 1e-6 for r in rows)
+    assert {r["patient_id"]: r["z_score"] for r in rows} == {f"P{k}": round((b - mean) / sd, 2) for k, b in enumerate(bills)}
+
+
 def test_gap_distribution_adds_up(spark):
     from admitlab.plans import intervals
     from admitlab.sources.tables import encounters
